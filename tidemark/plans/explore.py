@@ -142,11 +142,25 @@ def seasons_between(frame: DataFrame, first: int, last: int) -> DataFrame:
 
 # --- shared conditions --------------------------------------------------------------------------
 
-STARTED = C("started")
-FINISHED = C("finished")
-SCORED = STARTED & (C("points") > 0)
-COMPARABLE = STARTED & FINISHED & (C("grid_position") > 0)
-NET_GAIN = C("grid_position") - C("finish_position")
+def is_started() -> Column:
+    return C("started")
+
+
+def is_finished() -> Column:
+    return C("finished")
+
+
+def has_scored() -> Column:
+    return is_started() & (C("points") > 0)
+
+
+def is_comparable() -> Column:
+    """Both places count: started, finished, and not from the pit lane."""
+    return is_started() & is_finished() & (C("grid_position") > 0)
+
+
+def net_gain() -> Column:
+    return C("grid_position") - C("finish_position")
 
 
 def rows() -> Column:
@@ -160,7 +174,7 @@ def coverage(profile: DataFrame, as_of: dt.date) -> DataFrame:
         rows().alias("n"), F.min("race_date").alias("d0"), F.max("race_date").alias("d1"),
         count_where(C("race_date") > F.lit(as_of)).alias("future"),
         F.count("qualifying_position").alias("q"), F.count("pit_stops").alias("p"), F.count("gap_ms").alias("g"),
-        count_where(FINISHED).alias("fin"), count_where(~STARTED).alias("dns"))
+        count_where(is_finished()).alias("fin"), count_where(~is_started()).alias("dns"))
     return per_race.groupBy("season").agg(
         F.sum("n").alias("race_entries"), rows().alias("races"),
         F.min("d0").alias("first_race"), F.max("d1").alias("last_race"),
@@ -177,10 +191,10 @@ def status_breakdown(profile: DataFrame) -> DataFrame:
 def driver_season_rates(seasons: DataFrame, profile: DataFrame, season: int) -> DataFrame:
     """Source and computed season figures with start, finish and scoring rates of one season."""
     rates = profile.filter(C("season") == season).groupBy("driver_id").agg(
-        count_where(STARTED).alias("starts"),
-        count_where(STARTED & FINISHED).alias("finishes"),
-        count_where(SCORED).alias("scoring_races"),
-        mean_where(C("finish_position"), FINISHED & STARTED, 2).alias("mean_finish_when_finished"))
+        count_where(is_started()).alias("starts"),
+        count_where(is_started() & is_finished()).alias("finishes"),
+        count_where(has_scored()).alias("scoring_races"),
+        mean_where(C("finish_position"), is_finished() & is_started(), 2).alias("mean_finish_when_finished"))
     return seasons.filter(C("season") == season).join(rates, "driver_id").select(
         "driver_name", "source_position", "source_points", "race_points", "sprint_points", "race_wins",
         "race_podiums", "points_difference", "starts", "finishes", "scoring_races",
@@ -202,8 +216,8 @@ def team_contribution(performance: DataFrame, first: int, last: int) -> DataFram
 def team_consistency(profile: DataFrame) -> DataFrame:
     """How often both cars of a two-car weekend finished and scored."""
     weekends = profile.groupBy("season", "race_id", "constructor_name").agg(
-        rows().alias("entries"), count_where(STARTED).alias("starters"),
-        count_where(STARTED & FINISHED).alias("finishers"), count_where(SCORED).alias("scorers"))
+        rows().alias("entries"), count_where(is_started()).alias("starters"),
+        count_where(is_started() & is_finished()).alias("finishers"), count_where(has_scored()).alias("scorers"))
     two_started = (C("entries") == 2) & (C("starters") == 2)
     totals = weekends.groupBy("season", "constructor_name").agg(
         rows().alias("weekends"), count_where(two_started).alias("two_start_weekends"),
@@ -242,7 +256,7 @@ def recent_form(profile: DataFrame, rounds: int = 5) -> DataFrame:
     Rows are folded per round before the last round of the season is known, so it joins small data.
     """
     per_round = profile.groupBy("season", "round", "driver_name").agg(
-        count_where(STARTED).alias("starts"), F.sum("points").alias("points"), count_where(SCORED).alias("scored"))
+        count_where(is_started()).alias("starts"), F.sum("points").alias("points"), count_where(has_scored()).alias("scored"))
     last = with_group_totals(per_round, ["season"], F.max("round").alias("_last"))
     period = F.when(C("round") > C("_last") - rounds, f"Last {rounds} rounds").otherwise("Earlier rounds")
     totals = last.groupBy("season", "driver_name", period.alias("period")).agg(
@@ -254,11 +268,11 @@ def recent_form(profile: DataFrame, rounds: int = 5) -> DataFrame:
 
 
 def circuit_profiles(profile: DataFrame) -> DataFrame:
-    pole = (C("grid_position") == 1) & STARTED
+    pole = (C("grid_position") == 1) & is_started()
     per_race = profile.groupBy("circuit_name", "circuit_type", "race_id").agg(
-        count_where(STARTED).alias("starts"), count_where(STARTED & ~FINISHED).alias("out"),
+        count_where(is_started()).alias("starts"), count_where(is_started() & ~is_finished()).alias("out"),
         count_where(pole).alias("p1"), count_where(pole & (C("finish_position") == 1)).alias("p1_won"),
-        count_where(COMPARABLE).alias("n"), F.sum(F.when(COMPARABLE, NET_GAIN)).alias("gain"))
+        count_where(is_comparable()).alias("n"), F.sum(F.when(is_comparable(), net_gain())).alias("gain"))
     totals = per_race.groupBy("circuit_name", "circuit_type").agg(
         rows().alias("races"), F.sum("starts").alias("starts"), F.sum("out").alias("non_finishes"),
         F.sum("p1").alias("p1_starts"), F.sum("p1_won").alias("p1_wins"),
@@ -276,9 +290,9 @@ def venue_history(profile: DataFrame, country: str, last_season: int) -> DataFra
         "season", "race_id", "race_date", "circuit_layout_id").agg(
         F.max(F.when(first, C("driver_name"))).alias("winner"),
         F.max(F.when(first, C("grid_position"))).alias("winner_grid"),
-        count_where(STARTED).alias("starts"), count_where(STARTED & ~FINISHED).alias("non_finishes"),
-        count_where(COMPARABLE).alias("valid_position_changes"),
-        mean_where(NET_GAIN, COMPARABLE, 2).alias("mean_net_gain_finishers"))
+        count_where(is_started()).alias("starts"), count_where(is_started() & ~is_finished()).alias("non_finishes"),
+        count_where(is_comparable()).alias("valid_position_changes"),
+        mean_where(net_gain(), is_comparable(), 2).alias("mean_net_gain_finishers"))
 
 
 def points_reconciliation(driver_seasons: DataFrame, constructor_seasons: DataFrame) -> DataFrame:
@@ -332,18 +346,18 @@ def multi_category_entries(standings: DataFrame) -> DataFrame:
 
 def positions_gained(profile: DataFrame, season: int) -> DataFrame:
     return profile.filter(C("season") == season).groupBy("driver_name").agg(
-        count_where(STARTED).alias("starts"), count_where(COMPARABLE).alias("comparable_finishes"),
-        mean_where(NET_GAIN, COMPARABLE, 2).alias("mean_net_gain"),
-        F.median(F.when(COMPARABLE, NET_GAIN)).alias("median_net_gain"),
-        count_where(~FINISHED & STARTED).alias("non_finishes"),
+        count_where(is_started()).alias("starts"), count_where(is_comparable()).alias("comparable_finishes"),
+        mean_where(net_gain(), is_comparable(), 2).alias("mean_net_gain"),
+        F.median(F.when(is_comparable(), net_gain())).alias("median_net_gain"),
+        count_where(~is_finished() & is_started()).alias("non_finishes"),
         count_where(C("grid_position").isNull() | (C("grid_position") <= 0)).alias("missing_or_special_grid"))
 
 
 def venue_against_season(profile: DataFrame, country: str) -> DataFrame:
     """A driver's points at one venue against the mean of the other races of that season."""
-    away = profile.filter(STARTED & (C("country_id") != country)).groupBy("season", "driver_id").agg(
+    away = profile.filter(is_started() & (C("country_id") != country)).groupBy("season", "driver_id").agg(
         F.avg(C("points").cast("double")).alias("_mean"), rows().alias("other_races"))
-    here = profile.filter((C("country_id") == country) & STARTED)
+    here = profile.filter((C("country_id") == country) & is_started())
     return here.join(away, ["season", "driver_id"]).select(
         "season", "driver_name", "constructor_name", "grid_position", "finish_position", "finish_status",
         "retirement_reason", C("points").alias("venue_points"), "other_races",
@@ -384,7 +398,7 @@ def quality_report(silver: dict[str, DataFrame], profile: DataFrame, recent: Dat
                   "constructors_missing_for_standings"),
         groups("more_than_two_recent_team_entries", recent, ["race_id", "constructor_id"], 2),
         quality.failures("future_dated_results", profile.filter(C("race_date") > F.lit(as_of))),
-        quality.failures("non_finishers_with_points_recent", recent.filter(~FINISHED & (C("points") > 0))),
+        quality.failures("non_finishers_with_points_recent", recent.filter(~is_finished() & (C("points") > 0))),
         quality.failures(f"driver_points_mismatches_{first}_{last}", differing(driver_seasons)),
         quality.failures(f"constructor_points_mismatches_{first}_{last}", differing(constructor_seasons)),
         quality.failures("missing_recent_race_results", quality.missing_references(
@@ -406,7 +420,7 @@ def latest_points_diagnostic(facts: DataFrame, constructor_seasons: DataFrame, s
 
 
 def retirement_breakdown(profile: DataFrame) -> DataFrame:
-    outcome = R.outcome_group(STARTED, FINISHED, C("finish_status"), C("retirement_reason"))
+    outcome = R.outcome_group(is_started(), is_finished(), C("finish_status"), C("retirement_reason"))
     return profile.groupBy("season", outcome.alias("outcome_group")).agg(rows().alias("entries"))
 
 
