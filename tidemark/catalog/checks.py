@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from tidemark.catalog.oracle_tables import SEQ
 from tidemark.catalog.registry import query
 from tidemark.operators import parity, quality
-from tidemark.plans import silver, verification
-from tidemark.plans.retail import TAG, Retail
-from tidemark.plans.schema import GOLD_KEYS
+from tidemark.plans import gold, silver, verification
+from tidemark.plans.retail import MONEY, TAG, Retail
+from tidemark.plans.schema import GOLD_KEYS, TERMINAL_TASKS
+from tidemark.session import stored
 from tidemark.sources.tables import read_table
 
 C = F.col
@@ -112,9 +113,10 @@ _SILVER_CHECKS = {
 def silver_result_checks(spark: SparkSession, folder: str) -> DataFrame:
     """Everything that must hold before race results may replace the current table."""
     r = Retail(spark, folder)
+    results = stored(r.race_results, "race_results")
     parents = {name: getattr(r, name).withColumn("_release_seq", F.lit(SEQ).cast("bigint"))
                for name in ("races", "drivers", "constructors")}
-    return silver.checks("race_results", r.race_results, TAG, parents)
+    return silver.checks("race_results", results, TAG, parents)
 
 
 @query("Q13", """
@@ -171,7 +173,8 @@ _JOIN_CHECKS = {
     for n, (a, e) in _JOIN_CHECKS.items()) + ")")
 def join_verification(spark: SparkSession, folder: str) -> DataFrame:
     r = Retail(spark, folder)
-    return verification.join_verification(r.session_results, r.race_dimension)
+    results = stored(r.session_results, "session_results")  # six checks read it
+    return verification.join_verification(results, stored(r.race_dimension, "race_dimension"))
 
 
 _EXPECTED = {"session_results": 30000, "driver_season": 300, "constructor_season": 4000}
@@ -221,8 +224,6 @@ _HISTORY_CHECKS = {
 @query("D25 A4 A5 J4 U2 Q10", "SELECT *, CASE failures WHEN 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ("
        + _sum_checks(_HISTORY_CHECKS) + ")")
 def history_verification(spark: SparkSession, folder: str) -> DataFrame:
-    from tidemark.plans.schema import TERMINAL_TASKS
-
     r = Retail(spark, folder)
     declared_drivers = r.table("supplier").select(
         C("s_suppkey").cast("string").alias("driver_id"), C("s_nationkey").cast("string").alias("totalRaceWins"),
@@ -238,9 +239,8 @@ def history_verification(spark: SparkSession, folder: str) -> DataFrame:
     state = r.table("region").filter("r_regionkey = 0").select(
         F.lit(SEQ).cast("bigint").alias("release_seq"), F.lit("a").alias("attempt_id"),
         F.lit(1995).cast("bigint").alias("min_season"))
-    gold = {**r.gold, "session_results": r.facts}
     return verification.history_verification(
-        declared_drivers, declared_teams, gold, r.silver, state, markers, SEQ, 1995, 1995, _MODERN, _EXPECTED)
+        declared_drivers, declared_teams, r.stored_gold, r.silver, state, markers, SEQ, 1995, 1995, _MODERN, _EXPECTED)
 
 
 _PARITY = {
@@ -257,19 +257,10 @@ _PARITY = {
     for name, (table, keys) in _PARITY.items()))
 def gold_parity(spark: SparkSession, folder: str) -> DataFrame:
     """The four gold tables built twice: from one pass over the lines, and from cleaned raw text."""
-    from tidemark.plans import gold
-    from tidemark.plans.retail import MONEY
-
     r = Retail(spark, folder)
     cleaned = {name: silver.clean(name, r.raw(name, extras=False), TAG, 1995, points=MONEY) for name in r.silver}
-    facts = gold.session_facts(gold.tag_sessions(cleaned["race_results"], cleaned["sprint_results"]), SEQ)
-    again = {
-        "race_dimension": gold.race_dimension(cleaned["races"], cleaned["circuits"], SEQ),
-        "session_results": gold.session_results(facts, cleaned["drivers"], cleaned["constructors"]),
-        "driver_season": gold.driver_season(cleaned["driver_standings"], cleaned["drivers"], facts, SEQ),
-        "constructor_season": gold.constructor_season(
-            cleaned["constructor_standings"], cleaned["constructors"], facts, SEQ)}
-    return verification.parity_report({n: (r.gold[n], again[n], GOLD_KEYS[n]) for n in GOLD_KEYS})
+    again = gold.build_gold(cleaned, SEQ, lambda name, frame: stored(frame, f"again-{name}"))
+    return verification.parity_report({n: (r.stored_gold[n], again[n], GOLD_KEYS[n]) for n in GOLD_KEYS})
 
 
 @query("D26 Q4", _sum_checks({
@@ -291,4 +282,4 @@ def publish_gate(spark: SparkSession, folder: str) -> DataFrame:
     history = stale.withColumns({"valid_from_release": F.lit(SEQ).cast("bigint"),
                                  "valid_to_release": F.lit(None).cast("bigint")})
     return verification.published_check(
-        {**r.gold, "session_results": r.facts}, SEQ, history, r.drivers, r.drivers.columns)
+        r.stored_gold, SEQ, history, r.drivers, r.drivers.columns)

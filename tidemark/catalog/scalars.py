@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import query, rounded
 from tidemark.functions import releases, text
-from tidemark.functions.measures import count_where, percent
+from tidemark.functions.measures import count_where, percent, ratio
 from tidemark.operators.clean import in_scope, select_release, type_columns
 from tidemark.sources.tables import read_table, register, scan
 
@@ -151,7 +151,7 @@ def guarded_arithmetic(spark: SparkSession, folder: str) -> DataFrame:
     return t.select(
         "l_suppkey", F.abs(returned.cast("double") - C("gross").cast("double") / 2).alias("off_half"),
         percent(returned, C("gross")).alias("returned_pct"),
-        F.round(C("n_returned").cast("double") / F.nullif(C("n_over"), F.lit(0)).cast("double"), 2).alias("per_over"))
+        ratio(C("n_returned"), C("n_over"), 2).alias("per_over"))
 
 
 @query("P13", """

@@ -148,11 +148,14 @@ def added_columns(spark: SparkSession, folder: str) -> DataFrame:
 # --- history ------------------------------------------------------------------------------------
 
 def _incremental(spark: SparkSession, folder: str, retry: bool) -> DataFrame:
+    """The stored history after each release in turn; storing keeps every step's plan short."""
     first = snapshot(spark, folder, "v2024.1.0")
+    table = S.VersionedTable(spark, scratch(spark, "history"))
     history = H.empty_history(first, KEYS, TRACKED)
     for tag, seq in TAGS.items():
         for _ in range(2 if retry else 1):
-            history = H.apply_snapshot(history, snapshot(spark, folder, tag), seq, KEYS, TRACKED)
+            table.publish(H.apply_snapshot(history, snapshot(spark, folder, tag), seq, KEYS, TRACKED), seq)
+            history = table.read()
     return history
 
 

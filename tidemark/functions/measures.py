@@ -23,15 +23,24 @@ def zero_fill(column: Column) -> Column:
     return F.coalesce(column, F.lit(0))
 
 
-def ratio(part: Column, whole: Column, digits: int, scale: float = 1.0) -> Column:
-    """``scale * part / whole`` rounded half up; NULL where ``whole`` is zero."""
-    quotient = F.lit(scale) * part.cast("double") / F.nullif(whole, F.lit(0)).cast("double")
-    return F.round(quotient, digits)
+def quotient(part: Column, whole: Column) -> Column:
+    """Exact ``part / whole`` to at least twelve decimals; NULL where ``whole`` is zero.
+
+    Decimal division, since a binary quotient can land on the wrong side of a rounding tie.
+    """
+    return part.cast("decimal(28,4)") / F.nullif(whole.cast("decimal(22,2)"), F.lit(0))
+
+
+def ratio(part: Column, whole: Column, digits: int, scale: int = 1) -> Column:
+    """``scale * part / whole`` rounded half up, as DOUBLE."""
+    return F.round(quotient(part, whole) * F.lit(scale), digits).cast("double")
 
 
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:
-    return ratio(part, whole, digits, 100.0)
+    return ratio(part, whole, digits, 100)
 
 
 def mean_where(value: Column, condition: Column, digits: int) -> Column:
-    return F.round(F.avg(F.when(condition, value).cast("double")), digits)
+    """Rounded mean of the known values that meet the condition."""
+    chosen = F.when(condition, value)
+    return ratio(F.sum(chosen), F.count(chosen), digits)

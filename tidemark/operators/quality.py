@@ -46,6 +46,15 @@ def predicate_checks(frame: DataFrame, expectations: Mapping[str, Column | str],
     return _as_rows(frame.agg(*aggregates), names)
 
 
+def enforce(frame: DataFrame, expectations: Mapping[str, Column | str]) -> DataFrame:
+    """The frame itself, failing at the first row that breaks an expectation; streams too."""
+    for name, condition in expectations.items():
+        column = F.expr(condition) if isinstance(condition, str) else condition
+        met = F.assert_true(F.coalesce(column, F.lit(False)), F.lit(f"expectation failed: {name}"))
+        frame = frame.filter(met.isNull())
+    return frame
+
+
 def required_checks(frame: DataFrame, required: Iterable[str], expected_count: int | None = None) -> DataFrame:
     conditions = {f"null:{name}": F.col(name).isNotNull() for name in required}
     return predicate_checks(frame, conditions, expected_count)

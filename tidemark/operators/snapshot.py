@@ -104,23 +104,27 @@ class VersionedTable:
 
     def publish(self, frame: DataFrame, release_seq: int | None) -> int:
         """Write ``frame`` as the next version (schema and all) and switch to it; returns its rows."""
-        latest = self._latest()
+        return self._publish(frame, release_seq, self._latest())
+
+    def _publish(self, frame: DataFrame, release_seq: int | None, latest) -> int:
         version = (latest.version if latest else 0) + 1
         path = f"{self.root}/data/{version:08d}-{uuid.uuid4().hex}"
         written = Observation("written")
         frame.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(path)
         rows = written.get["rows"]
-        (self.spark.createDataFrame([(version, release_seq, path, rows)],
-                                    "version bigint, release_seq bigint, path string, row_count bigint")
-         .withColumn("published_at", F.current_timestamp())
+        (self.spark.range(1).select(
+            F.lit(version).cast("bigint").alias("version"), F.lit(release_seq).cast("bigint").alias("release_seq"),
+            F.lit(path).alias("path"), F.lit(rows).cast("bigint").alias("row_count"),
+            F.current_timestamp().alias("published_at"))
          .coalesce(1).write.mode("append").parquet(f"{self.root}/log"))
         return rows
 
     def merge(self, snapshot: DataFrame, keys: Sequence[str], release_seq: int) -> dict[str, int]:
         """Reconcile with a complete, checked snapshot; counts changes during the write itself."""
-        current = self.read() if self.exists() else empty_like(snapshot)
+        latest = self._latest()
+        current = self.spark.read.parquet(latest.path) if latest else empty_like(snapshot)
         seen = Observation("changes")
         counted = classify_changes(current, snapshot, keys).observe(
             seen, *[count_where(F.col("_change") == c).alias(c) for c in CHANGES])
-        self.publish(next_state(counted), release_seq)
+        self._publish(next_state(counted), release_seq, latest)
         return {c: seen.get[c] for c in CHANGES}

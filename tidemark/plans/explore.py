@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import results as R
-from tidemark.functions.measures import count_where, flag, known, mean_where, percent, ratio, zero_fill
+from tidemark.functions.measures import count_where, flag, mean_where, percent, quotient, ratio, zero_fill
 from tidemark.operators import quality
 from tidemark.operators.groups import dense_running_total, running_total, with_group_totals
 from tidemark.operators.pairs import member_pairs
@@ -356,13 +356,13 @@ def positions_gained(profile: DataFrame, season: int) -> DataFrame:
 def venue_against_season(profile: DataFrame, country: str) -> DataFrame:
     """A driver's points at one venue against the mean of the other races of that season."""
     away = profile.filter(is_started() & (C("country_id") != country)).groupBy("season", "driver_id").agg(
-        F.avg(C("points").cast("double")).alias("_mean"), rows().alias("other_races"))
+        quotient(F.sum("points"), rows()).alias("_mean"), rows().alias("other_races"))
     here = profile.filter((C("country_id") == country) & is_started())
     return here.join(away, ["season", "driver_id"]).select(
         "season", "driver_name", "constructor_name", "grid_position", "finish_position", "finish_status",
         "retirement_reason", C("points").alias("venue_points"), "other_races",
-        F.round("_mean", 2).alias("mean_other_race_points"),
-        F.round(C("points").cast("double") - C("_mean"), 2).alias("difference_from_other_races"))
+        F.round("_mean", 2).cast("double").alias("mean_other_race_points"),
+        F.round(C("points") - C("_mean"), 2).cast("double").alias("difference_from_other_races"))
 
 
 def quality_report(silver: dict[str, DataFrame], profile: DataFrame, recent: DataFrame,

@@ -7,7 +7,7 @@ as partial sums.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -164,6 +164,21 @@ def constructor_season(constructor_standings: DataFrame, constructors: DataFrame
     )
 
 
+def build_gold(silver: Mapping[str, DataFrame], release_seq: int,
+               keep: Callable[[str, DataFrame], DataFrame] = lambda _name, frame: frame) -> dict[str, DataFrame]:
+    """All four tables. ``keep`` may store each one; the season tables then read stored results."""
+    facts = session_facts(tag_sessions(silver["race_results"], silver["sprint_results"]), release_seq)
+    results = keep("session_results", session_results(facts, silver["drivers"], silver["constructors"]))
+    return {
+        "race_dimension": keep("race_dimension", race_dimension(silver["races"], silver["circuits"], release_seq)),
+        "session_results": results,
+        "driver_season": keep("driver_season", driver_season(
+            silver["driver_standings"], silver["drivers"], results, release_seq)),
+        "constructor_season": keep("constructor_season", constructor_season(
+            silver["constructor_standings"], silver["constructors"], results, release_seq)),
+    }
+
+
 # Checks of each table against the rows that drive it.
 GOLD_REQUIRED = {
     "race_dimension": ("race_id", "season", "round"),

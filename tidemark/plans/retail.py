@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import results as R
 from tidemark.plans import gold
 from tidemark.plans.schema import DATASETS
+from tidemark.session import stored
 from tidemark.sources.tables import read_table
 
 TAG = "v2001.8.0"
@@ -197,9 +198,9 @@ class Retail:
         return gold.constructor_season(self.constructor_standings, self.constructors, self.facts, SEQ)
 
     @cached_property
-    def gold(self) -> dict[str, DataFrame]:
-        return {name: getattr(self, name) for name in
-                ("race_dimension", "session_results", "driver_season", "constructor_season")}
+    def stored_gold(self) -> dict[str, DataFrame]:
+        """The four tables written once, for reports that read each of them several times."""
+        return gold.build_gold(self.silver, SEQ, lambda name, frame: stored(frame, name))
 
     def raw(self, name: str, tag: str = TAG, extras: bool = True) -> DataFrame:
         """A cleaned frame turned back into raw text columns of one release."""

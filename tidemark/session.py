@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators rely on. Joins and shuffles are sized by adaptive
 # execution, so nothing here depends on the size of the data or of the cluster.
@@ -62,3 +62,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """The frame written once to the shared folder and read back.
+
+    For frames that several checks read: the work is done once, the plan starts anew at a table
+    scan with its own column pruning, and a lost executor costs no recomputation.
+    """
+    path = scratch(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
