@@ -12,7 +12,7 @@ from tidemark.operators import snapshot as S
 from tidemark.operators.parity import bag_diff
 from tidemark.operators.quality import union_rows
 from tidemark.plans.schema import TERMINAL_TASKS
-from tidemark.session import scratch
+from tidemark.session import scratch, stored
 from tidemark.sources.tables import read_table
 from tidemark.streaming.cursor import advance_history, snapshot_source
 
@@ -204,7 +204,9 @@ def history_from_cursor(spark: SparkSession, folder: str) -> DataFrame:
     last: int | None = None
     for tag in ["v2024.1.0", "v2024.2.0", "v2024.2.0", "v2024.1.0", "v2024.10.0"]:
         source = snapshot_source(lambda t=tag: snapshot(spark, folder, t), TAGS[tag])
-        history, last = advance_history(history, last, source, KEYS, TRACKED)
+        found, cursor = advance_history(history, last, source, KEYS, TRACKED)
+        if cursor != last:
+            history, last = stored(found, "history"), cursor
     return history
 
 

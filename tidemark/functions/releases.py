@@ -8,14 +8,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # No leading zeros, one to three digits after the year.
-CANONICAL_TAG = r"^v[0-9]{4}\.(0|[1-9][0-9]{0,2})\.(0|[1-9][0-9]{0,2})$"
+CANONICAL_TAG = r"v[0-9]{4}\.(0|[1-9][0-9]{0,2})\.(0|[1-9][0-9]{0,2})"
 
 YEAR_STEP = 1_000_000
 RELEASE_STEP = 1_000
 
 
 def is_canonical(tag: Column) -> Column:
-    return F.coalesce(tag.rlike(CANONICAL_TAG), F.lit(False))
+    # \\z, as $ would let a trailing line break pass.
+    return F.coalesce(tag.rlike(rf"^{CANONICAL_TAG}\z"), F.lit(False))
 
 
 def release_seq(tag: Column) -> Column:

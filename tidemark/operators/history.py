@@ -52,7 +52,9 @@ def apply_snapshot(history: DataFrame, snapshot: DataFrame, seq: int,
                    keys: Sequence[str], tracked: Sequence[str]) -> DataFrame:
     """Both halves in one plan with one join of the open versions and the snapshot.
 
-    Applying a snapshot again changes nothing, also when only the first half had been stored.
+    Applying a snapshot again changes nothing, also when only the first half had been stored. The
+    history is read twice, so that closed versions pass through without a shuffle; publish the
+    result before applying the next snapshot to it.
     """
     columns = [*keys, *tracked, START, END]
     h = history.filter(F.col(END).isNull()).select(*columns, F.lit(True).alias("_live")).alias("h")

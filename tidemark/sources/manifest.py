@@ -30,15 +30,20 @@ def file_facts(spark: SparkSession, landing: str, dataset: str, tag: str) -> Dat
 
 
 def row_facts(spark: SparkSession, landing: str, dataset: str, tag: str) -> DataFrame:
-    """Rows and malformed rows of each file: short and long rows land in the rescue column.
+    """Rows and malformed rows of each file, read by position: the header may itself be at fault.
 
-    The parser only sees a malformed row if every column is asked for, so each rescued row counts
-    through a hash of all of them (always as one).
+    Short and long rows land in the rescue column. The parser only sees them if every column is
+    asked for, so each rescued row counts through a hash of all of them (always as one).
     """
-    rows = csv.read_snapshot(spark, landing, dataset, tag, strict=False)
-    columns = [c for c in rows.columns if c not in ("release_tag", csv.RESCUED, csv.SOURCE_FILE, csv.INGESTED_AT)]
-    one = F.greatest(F.lit(1), F.least(F.lit(1), F.hash(*[F.col(f"`{c}`") for c in columns])))
-    return rows.groupBy(F.col(csv.SOURCE_FILE).alias("file")).agg(
+    path = csv.release_path(landing, dataset, tag)
+    columns = [f"c{i}" for i in range(len(csv.header(spark, path)))]
+    rows = (
+        spark.read.options(**csv.CSV_OPTIONS).option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", csv.RESCUED)
+        .schema(csv.text_schema(columns, rescued=True)).csv(path)
+    )
+    one = F.greatest(F.lit(1), F.least(F.lit(1), F.hash(*columns)))
+    return rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.coalesce(F.sum(F.when(F.col(csv.RESCUED).isNotNull(), one)), F.lit(0)).cast("bigint").alias("malformed"))
 

@@ -26,7 +26,11 @@ def snapshot_source(read: Callable[[], DataFrame], seq: int) -> Source:
 
 def advance_history(history: DataFrame, last_version: int | None, source: Source,
                     keys: list[str], tracked: list[str]) -> tuple[DataFrame, int | None]:
-    """Apply the next snapshot of a source, if it has one, and return the new cursor."""
+    """Apply the next snapshot of a source, if it has one, and return the new cursor.
+
+    Store the result before the next step: a step reads the history twice, so plans of unstored
+    steps would double each time.
+    """
     found = source(last_version)
     if found is None:
         return history, last_version
