@@ -150,6 +150,16 @@ def test_dense_series_carries_totals_forward(spark):
         ("b", 3, 1, 1), ("b", 4, 0, 1), ("b", 5, 0, 1)]
 
 
+def test_running_totals_in_chunks_equal_the_plain_window(spark):
+    chance = random.Random(11)
+    data = [(chance.choice("aaab"), i, chance.randrange(10)) for i in range(500)]
+    frame = spark.createDataFrame(data, "k string, s bigint, v bigint")
+    plain = groups.running_total(frame, ["k"], ["s"], "v", "t")
+    for width in (7, 1000):
+        chunked = groups.chunked_running_total(frame, ["k"], ["s"], F.floor(F.col("s") / width), "v", "t")
+        assert parity.bag_diff(chunked, plain).isEmpty()
+
+
 def test_snapshot_source_hands_out_only_newer_versions(spark):
     source = snapshot_source(lambda: spark.range(1), 2026008002)
     assert source(None)[1] == 2026008002

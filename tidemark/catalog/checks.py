@@ -10,7 +10,7 @@ from tidemark.catalog.registry import query
 from tidemark.operators import parity, quality
 from tidemark.plans import gold, silver, verification
 from tidemark.plans.retail import MONEY, TAG, Retail
-from tidemark.plans.schema import GOLD_KEYS, TERMINAL_TASKS
+from tidemark.plans.schema import DATASETS, GOLD_KEYS, TERMINAL_TASKS
 from tidemark.session import stored
 from tidemark.sources.tables import read_table
 
@@ -113,7 +113,8 @@ _SILVER_CHECKS = {
 def silver_result_checks(spark: SparkSession, folder: str) -> DataFrame:
     """Everything that must hold before race results may replace the current table."""
     r = Retail(spark, folder)
-    results = stored(r.race_results, "race_results")
+    required = DATASETS["race_results"].required
+    results = stored(r.race_results.select(*required), "race_results")
     parents = {name: getattr(r, name).withColumn("_release_seq", F.lit(SEQ).cast("bigint"))
                for name in ("races", "drivers", "constructors")}
     return silver.checks("race_results", results, TAG, parents)
@@ -173,8 +174,11 @@ _JOIN_CHECKS = {
     for n, (a, e) in _JOIN_CHECKS.items()) + ")")
 def join_verification(spark: SparkSession, folder: str) -> DataFrame:
     r = Retail(spark, folder)
-    results = stored(r.session_results, "session_results")  # six checks read it
-    return verification.join_verification(results, stored(r.race_dimension, "race_dimension"))
+    # Six checks read the results; only the columns they need are stored.
+    results = stored(r.session_results.select(
+        "_release_seq", "race_id", "session_type", "driver_id", "car_number", "driver_name", "constructor_name",
+        "points"), "session_results")
+    return verification.join_verification(results, r.race_dimension)
 
 
 _EXPECTED = {"session_results": 30000, "driver_season": 300, "constructor_season": 4000}
@@ -239,8 +243,18 @@ def history_verification(spark: SparkSession, folder: str) -> DataFrame:
     state = r.table("region").filter("r_regionkey = 0").select(
         F.lit(SEQ).cast("bigint").alias("release_seq"), F.lit("a").alias("attempt_id"),
         F.lit(1995).cast("bigint").alias("min_season"))
+    # The checks read each table several times, the results without names.
+    facts = stored(r.facts.select(
+        "_release_seq", "race_id", "season", "round", "session_type", "driver_id", "constructor_id",
+        "engine_manufacturer_id", "car_number", "points", "is_race_win", "is_race_podium"), "facts")
+    tables = {
+        "race_dimension": r.race_dimension, "session_results": facts,
+        "driver_season": stored(gold.driver_season(r.driver_standings, r.drivers, facts, SEQ), "drivers"),
+        "constructor_season": stored(
+            gold.constructor_season(r.constructor_standings, r.constructors, facts, SEQ), "constructors"),
+    }
     return verification.history_verification(
-        declared_drivers, declared_teams, r.stored_gold, r.silver, state, markers, SEQ, 1995, 1995, _MODERN, _EXPECTED)
+        declared_drivers, declared_teams, tables, r.silver, state, markers, SEQ, 1995, 1995, _MODERN, _EXPECTED)
 
 
 _PARITY = {

@@ -359,9 +359,12 @@ _QUALITY = {
     f"SELECT '{name}' AS check_name, ({sql})::BIGINT AS failures" for name, sql in _QUALITY.items()))
 def explore_quality(spark: SparkSession, folder: str) -> DataFrame:
     e = Explore(spark, folder)
-    profile = stored(e.profile, "profile")  # six checks read it
-    tables = {**e.silver, "race_results": stored(e.race_results, "race_results"),
-              "sprint_results": stored(e.sprint_results, "sprint_results")}
+    # Several checks read these; only the columns they need are stored.
+    profile = stored(e.profile.select("race_id", "driver_id", "constructor_id", "car_number", "season", "race_date",
+                                      "finished", "points"), "profile")
+    references = ["race_id", "season", "round", "driver_id", "constructor_id"]
+    tables = {**e.silver, "race_results": stored(e.race_results.select(*references), "race_results"),
+              "sprint_results": stored(e.sprint_results.select(*references), "sprint_results")}
     return X.quality_report(tables, profile, X.seasons_between(profile, FIRST, LAST), e.driver_season_rows,
                             e.constructor_season_rows, AS_OF, FIRST, LAST)
 

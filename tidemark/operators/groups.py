@@ -23,12 +23,30 @@ def with_group_totals(frame: DataFrame, keys: Sequence[str], *totals: Column) ->
 
 
 def running_total(frame: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
-    """Running sum by rows. Use it on series whose length the data model bounds."""
+    """Running sum by rows, for series whose length the data model bounds."""
     window = (Window.partitionBy(*keys).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return frame.withColumn(name, F.sum(value).over(window))
 
 
+def chunked_running_total(frame: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column,
+                          value: str, name: str) -> DataFrame:
+    """The same sum for series of any length.
+
+    ``chunk`` must not decrease along ``order``. Each chunk is summed on its own, in parallel, on top
+    of the total of the chunks before it; only chunk totals meet in one window.
+    """
+    cut = frame.withColumn("_chunk", chunk)
+    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    totals = cut.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_total"))
+    base = totals.select(*keys, "_chunk", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_base"))
+    within = (Window.partitionBy(*keys, "_chunk").orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    summed = cut.withColumn("_within", F.sum(value).over(within))
+    return summed.join(base, [*keys, "_chunk"]).withColumn(name, F.col("_base") + F.col("_within")).drop(
+        "_chunk", "_base", "_within")
+
+
 def dense_running_total(frame: DataFrame, key: str, step: str, value: str, total: str,
                         last: Column) -> DataFrame:
     """A running total with a row for every step from the first one seen up to ``last``.

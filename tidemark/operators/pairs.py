@@ -18,8 +18,9 @@ def member_pairs(frame: DataFrame, keys: Sequence[str], member: str, values: Seq
     ``weight``, the number of row pairs the output row stands for.
 
     Equal rows are folded into one with a count first, so copies add no work. A group with more
-    than ``chunk_rows`` distinct rows is cut into chunks: its left rows go to one chunk each and its
-    right rows to all of them, so no task holds a whole large group. Every pair is kept.
+    than ``chunk_rows`` distinct rows is cut into a grid: a left row belongs to one grid row and a
+    right row to one grid column, and each cell is joined on its own, so no task ever meets more than
+    about ``chunk_rows`` rows of either side. Every pair falls into exactly one cell.
     """
     columns = [*keys, member, *values]
     folded = frame.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
@@ -34,12 +35,13 @@ def member_pairs(frame: DataFrame, keys: Sequence[str], member: str, values: Seq
         return [F.col(member).alias(f"member_{suffix}"), F.col("_n").alias(f"_n_{suffix}"),
                 *[F.col(v).alias(f"{v}_{suffix}") for v in values]]
 
-    chunk = F.pmod(F.xxhash64(member, *values), F.col("_chunks")).cast("int")
-    left = sized.select(*keys, chunk.alias("_chunk"), *side("a"))
-    right = sized.select(*keys, F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("_chunk"), *side("b"))
+    own = F.pmod(F.xxhash64(member, *values), F.col("_chunks")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))
+    left = sized.select(*keys, own.alias("_row"), every.alias("_column"), *side("a"))
+    right = sized.select(*keys, own.alias("_column"), every.alias("_row"), *side("b"))
     return (
-        left.join(right, [*keys, "_chunk"])
+        left.join(right, [*keys, "_row", "_column"])
         .filter(F.col("member_a") < F.col("member_b"))
         .withColumn("weight", F.col("_n_a") * F.col("_n_b"))
-        .drop("_n_a", "_n_b", "_chunk")
+        .drop("_n_a", "_n_b", "_row", "_column")
     )

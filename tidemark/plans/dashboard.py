@@ -12,7 +12,6 @@ from tidemark.functions import text as T
 from tidemark.functions.measures import count_where, flag, known, zero_fill
 from tidemark.operators.groups import with_group_totals
 from tidemark.operators.ranking import global_rank
-from tidemark.plans.gold import driver_race_rows
 
 
 def driver_standings_view(driver_season: DataFrame) -> DataFrame:
@@ -56,11 +55,13 @@ def driver_career(facts: DataFrame, seasons: DataFrame, drivers: DataFrame) -> D
 
     Names join after the aggregation, one row per driver.
     """
-    per_race = driver_race_rows(facts.filter(R.is_race(F.col("session_type"))), "driver_id", "season")
+    raced = facts.filter(R.is_race(F.col("session_type")))
+    per_race = raced.groupBy("driver_id", "race_id").agg(
+        F.min("season").alias("season"), F.max("is_race_win").alias("won"), F.max("is_race_podium").alias("on_podium"))
     totals = per_race.groupBy("driver_id").agg(
         F.min("season").alias("first_season"), F.max("season").alias("last_season"),
-        F.sum("raced").alias("race_entries"), F.sum("won").alias("race_wins"),
-        F.sum("on_podium").alias("race_podiums"))
+        F.count(F.lit(1)).alias("race_entries"), count_where(F.col("won")).alias("race_wins"),
+        count_where(F.col("on_podium")).alias("race_podiums"))
     return (
         totals.join(drivers.select("driver_id", "driver_name"), "driver_id")
         .join(_titles(seasons, "driver_id"), "driver_id", "left")
@@ -74,10 +75,10 @@ def constructor_career(facts: DataFrame, seasons: DataFrame, constructors: DataF
     raced = facts.filter(R.is_race(F.col("session_type")))
     cars = raced.groupBy("constructor_id", "race_id", "car_number").agg(
         F.min("season").alias("season"),
-        F.max(flag(F.col("is_race_win"))).alias("won"), F.max(flag(F.col("is_race_podium"))).alias("on_podium"))
+        F.max("is_race_win").alias("won"), F.max("is_race_podium").alias("on_podium"))
     per_race = cars.groupBy("constructor_id", "race_id").agg(
         F.min("season").alias("s0"), F.max("season").alias("s1"),
-        F.sum("won").alias("won"), F.sum("on_podium").alias("on_podium"))
+        count_where(F.col("won")).alias("won"), count_where(F.col("on_podium")).alias("on_podium"))
     totals = per_race.groupBy("constructor_id").agg(
         F.min("s0").alias("first_season"), F.max("s1").alias("last_season"),
         F.count(F.lit(1)).alias("race_weekends"),

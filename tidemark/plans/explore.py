@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from tidemark.functions import results as R
 from tidemark.functions.measures import count_where, flag, mean_where, percent, quotient, ratio, zero_fill
 from tidemark.operators import quality
-from tidemark.operators.groups import dense_running_total, running_total, with_group_totals
+from tidemark.operators.groups import chunked_running_total, dense_running_total, with_group_totals
 from tidemark.operators.pairs import member_pairs
 from tidemark.operators.ranking import top_k
 
 C = F.col
+RACES_PER_CHUNK = 100_000
 
 
 # --- views --------------------------------------------------------------------------------------
@@ -117,9 +118,11 @@ def season_progression(facts: DataFrame, races: DataFrame, drivers: DataFrame, p
     """Points per weekend with a running total per driver and season."""
     weekend = latest_release(facts, published).groupBy(
         "_release_seq", "season", "round", "race_id", "driver_id").agg(F.sum("points").alias("weekend_points"))
-    # race_id breaks ties where a round has more than one race.
-    summed = running_total(weekend, ["_release_seq", "season", "driver_id"], ["round", "race_id"],
-                           "weekend_points", "cumulative_calculated_points")
+    # race_id breaks ties where a round has more than one race, and its range bounds a chunk: there
+    # is one row per driver and race, so a chunk has at most RACES_PER_CHUNK rows.
+    chunk = F.struct("round", F.floor(C("race_id") / RACES_PER_CHUNK))
+    summed = chunked_running_total(weekend, ["_release_seq", "season", "driver_id"], ["round", "race_id"], chunk,
+                                   "weekend_points", "cumulative_calculated_points")
     return (
         summed.join(drivers.select("_release_seq", "driver_id", "driver_name"), ["_release_seq", "driver_id"])
         .join(races.select("_release_seq", "race_id", "race_date"), ["_release_seq", "race_id"])

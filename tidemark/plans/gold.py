@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import results as R
-from tidemark.functions.measures import flag, known, zero_fill
+from tidemark.functions.measures import count_where, flag, known, zero_fill
 from tidemark.operators import quality
 from tidemark.plans.schema import GOLD_KEYS
 
@@ -71,31 +71,31 @@ def session_results(facts: DataFrame, drivers: DataFrame, constructors: DataFram
 
 
 def driver_race_rows(facts: DataFrame, *keys: str) -> DataFrame:
-    """Facts folded to one row per (keys, race): what distinct-race counts need.
+    """Facts folded to one row per (keys, race, session): what distinct-race counts need.
 
-    Summing these flags counts races once however many cars a driver used, with one shuffle less
-    state than three COUNT(DISTINCT CASE ...) over expanded rows.
+    Wins and podiums only occur in race sessions, so adding these flags up counts each race once
+    however many cars a driver used. Nothing is expanded, as several COUNT(DISTINCT CASE ...) would.
     """
-    session = F.col("session_type")
-    return facts.groupBy(*keys, "race_id").agg(
+    return facts.groupBy(*keys, "race_id", "session_type").agg(
         F.sum("points").alias("points"),
-        F.sum(F.when(session == R.RACE, F.col("points")).otherwise(F.lit(0))).alias("race_points"),
-        F.sum(F.when(session == R.SPRINT, F.col("points")).otherwise(F.lit(0))).alias("sprint_points"),
-        F.max(flag(R.is_race(session))).alias("raced"),
-        F.max(flag(F.col("is_race_win"))).alias("won"),
-        F.max(flag(F.col("is_race_podium"))).alias("on_podium"),
+        F.max("is_race_win").alias("won"),
+        F.max("is_race_podium").alias("on_podium"),
     )
 
 
+def _of_session(session: str) -> Column:
+    return F.sum(F.when(F.col("session_type") == session, F.col("points")).otherwise(F.lit(0)))
+
+
 def driver_season(driver_standings: DataFrame, drivers: DataFrame, facts: DataFrame, release_seq: int) -> DataFrame:
     """Source standings next to totals computed from results, with their difference."""
     computed = driver_race_rows(facts, "season", "driver_id").groupBy("season", "driver_id").agg(
         F.sum("points").alias("calculated_points"),
-        F.sum("race_points").alias("race_points"),
-        F.sum("sprint_points").alias("sprint_points"),
-        F.sum("raced").alias("race_entries"),
-        F.sum("won").alias("race_wins"),
-        F.sum("on_podium").alias("race_podiums"),
+        _of_session(R.RACE).alias("race_points"),
+        _of_session(R.SPRINT).alias("sprint_points"),
+        count_where(R.is_race(F.col("session_type"))).alias("race_entries"),
+        count_where(F.col("won")).alias("race_wins"),
+        count_where(F.col("on_podium")).alias("race_podiums"),
     )
     # Totals first: both sides of that join are partitioned by its key already.
     named = driver_standings.join(computed, ["season", "driver_id"], "left").join(

@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import results as R
-from tidemark.functions.measures import flag, zero_fill
+from tidemark.functions.measures import count_where, flag, zero_fill
 from tidemark.functions.text import is_blank
 from tidemark.operators import history as H
 from tidemark.operators import parity, quality
 from tidemark.operators.ledger import completion_counts
-from tidemark.plans.gold import car_rows, driver_race_rows
+from tidemark.plans.gold import car_rows
 from tidemark.plans.schema import GOLD_KEYS, TERMINAL_TASKS
 
 C = F.col
@@ -75,8 +75,10 @@ def career_mismatches(declared: DataFrame, computed: DataFrame, key: str,
 
 def driver_totals(facts: DataFrame) -> DataFrame:
     """Wins and podiums as distinct races per driver."""
-    return driver_race_rows(facts, "driver_id").groupBy("driver_id").agg(
-        F.sum("won").alias("wins"), F.sum("on_podium").alias("podiums"))
+    per_race = facts.groupBy("driver_id", "race_id").agg(
+        F.max("is_race_win").alias("won"), F.max("is_race_podium").alias("on_podium"))
+    return per_race.groupBy("driver_id").agg(
+        count_where(C("won")).alias("wins"), count_where(C("on_podium")).alias("podiums"))
 
 
 def constructor_totals(facts: DataFrame) -> DataFrame:
