@@ -246,7 +246,7 @@ def test_reordered_header_within_a_release_is_an_error(spark):
         with open(f"{folder}/{name}.csv", "w") as out:
             out.write(text)
     store = RawStore(spark, landing, scratch(spark, "mixed-raw"))
-    with pytest.raises(Exception, match="CSV header"):
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
         store.ingest(["circuits"])
 
 

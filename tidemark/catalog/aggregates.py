@@ -191,7 +191,7 @@ def disambiguated_labels(spark: SparkSession, folder: str) -> DataFrame:
 def share_of_total(spark: SparkSession, folder: str) -> DataFrame:
     sums = read_table(spark, folder, "lineitem").groupBy(_year("l_shipdate").alias("season"), "l_suppkey").agg(
         F.sum(C("l_extendedprice").cast(MONEY)).alias("price"))
-    totals = with_group_totals(sums, ["season"], F.sum("price").alias("_total"))
+    totals = with_group_totals(sums, ["season"], F.sum("price").alias("_total"), store="shares")
     return totals.select("season", "l_suppkey", "price", percent(C("price"), C("_total")).alias("share"))
 
 
@@ -202,7 +202,7 @@ def share_of_total(spark: SparkSession, folder: str) -> DataFrame:
 def group_maximum(spark: SparkSession, folder: str) -> DataFrame:
     months = read_table(spark, folder, "orders").groupBy(
         _year("o_orderdate").alias("season"), F.month("o_orderdate").cast("bigint").alias("month")).agg(_rows().alias("n"))
-    return with_group_totals(months, ["season"], F.max("month").alias("last_month")).select(
+    return with_group_totals(months, ["season"], F.max("month").alias("last_month"), store="months").select(
         "season", "month", "n", "last_month")
 
 
@@ -230,7 +230,8 @@ def running_totals(spark: SparkSession, folder: str) -> DataFrame:
     SELECT o_custkey, season, month, (max(amount) OVER (PARTITION BY season, month) - amount)::DOUBLE AS gap
     FROM {_MONTHLY}""")
 def gap_to_leader(spark: SparkSession, folder: str) -> DataFrame:
-    led = with_group_totals(_monthly(spark, folder), ["season", "month"], F.max("amount").alias("_lead"))
+    led = with_group_totals(_monthly(spark, folder), ["season", "month"], F.max("amount").alias("_lead"),
+                            store="monthly")
     return led.select("o_custkey", "season", "month", (C("_lead") - C("amount")).alias("gap"))
 
 

@@ -7,14 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import stored
 
-def with_group_totals(frame: DataFrame, keys: Sequence[str], *totals: Column) -> DataFrame:
+
+def with_group_totals(frame: DataFrame, keys: Sequence[str], *totals: Column,
+                      store: str | None = None) -> DataFrame:
     """``agg(...) over (partition by keys)`` as an aggregate joined back.
 
     A window would send all rows of a group to one task. Here a group crosses the shuffle as
     partial totals; the totals are broadcast if adaptive execution finds them small, and else a
     skewed side of the join is split. Null keys match themselves, as in a window.
+
+    The frame is read twice. Where it is itself a result of joins or aggregates, name it with
+    ``store``: it is then written once, since each reading would otherwise run all of that again.
     """
+    if store:
+        frame = stored(frame, store)
     per_group = frame.groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys]).agg(*totals)
     same_group = F.lit(True)
     for k in keys:

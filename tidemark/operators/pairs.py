@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import stored
+
 CHUNK_ROWS = 10_000
 
 
@@ -23,7 +25,8 @@ def member_pairs(frame: DataFrame, keys: Sequence[str], member: str, values: Seq
     about ``chunk_rows`` rows of either side. Every pair falls into exactly one cell.
     """
     columns = [*keys, member, *values]
-    folded = frame.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    # Read three times below: for the group sizes and for each side.
+    folded = stored(frame.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")), "pair-members")
     large = (
         folded.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
         .filter(F.col("_size") > chunk_rows)

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import results as R
 from tidemark.functions import text as T
 from tidemark.functions.measures import count_where, flag, known, zero_fill
-from tidemark.operators.groups import with_group_totals
 from tidemark.operators.ranking import global_rank
 
 
@@ -26,10 +25,13 @@ def driver_standings_view(driver_season: DataFrame) -> DataFrame:
 
 
 def constructor_standings_view(constructor_season: DataFrame) -> DataFrame:
-    """Annual team standings; a team with several engines in a season is labelled with each."""
+    """Annual team standings; a team with several engines in a season is labelled with each.
+
+    The table's key leaves a team of a season one row per engine, which bounds the window.
+    """
     position = F.col("source_position")
-    counted = with_group_totals(constructor_season, ["season", "constructor_id"],
-                                F.count(F.lit(1)).alias("_entries"))
+    team = Window.partitionBy("season", "constructor_id")
+    counted = constructor_season.withColumn("_entries", F.count(F.lit(1)).over(team))
     return counted.select(
         "season", "constructor_id", "constructor_name", "country_id", "engine_manufacturer_id",
         T.position_label(position, F.col("standing_status")).alias("position_label"),

@@ -118,6 +118,8 @@ def season_progression(facts: DataFrame, races: DataFrame, drivers: DataFrame, p
     """Points per weekend with a running total per driver and season."""
     weekend = latest_release(facts, published).groupBy(
         "_release_seq", "season", "round", "race_id", "driver_id").agg(F.sum("points").alias("weekend_points"))
+    # The race joins first, while the rows may still be partitioned by it.
+    weekend = weekend.join(races.select("_release_seq", "race_id", "race_date"), ["_release_seq", "race_id"])
     # race_id breaks ties where a round has more than one race, and its range bounds a chunk: there
     # is one row per driver and race, so a chunk has at most RACES_PER_CHUNK rows.
     chunk = F.struct("round", F.floor(C("race_id") / RACES_PER_CHUNK))
@@ -125,7 +127,6 @@ def season_progression(facts: DataFrame, races: DataFrame, drivers: DataFrame, p
                                    "weekend_points", "cumulative_calculated_points")
     return (
         summed.join(drivers.select("_release_seq", "driver_id", "driver_name"), ["_release_seq", "driver_id"])
-        .join(races.select("_release_seq", "race_id", "race_date"), ["_release_seq", "race_id"])
         .select("_release_seq", "season", "round", "race_id", "race_date", "driver_id", "driver_name",
                 "weekend_points", "cumulative_calculated_points"))
 
@@ -210,7 +211,8 @@ def team_contribution(performance: DataFrame, first: int, last: int) -> DataFram
         "season", "constructor_id", "constructor_name", "driver_id", "driver_name").agg(
         F.sum("points").alias("earned_points"),
         count_where(R.is_race(C("session_type"))).alias("race_entries"))
-    team = with_group_totals(earned, ["season", "constructor_id"], F.sum("earned_points").alias("_team"))
+    team = with_group_totals(earned, ["season", "constructor_id"], F.sum("earned_points").alias("_team"),
+                             store="contribution")
     return team.select(
         "season", "constructor_id", "constructor_name", "driver_id", "driver_name", "earned_points",
         "race_entries", percent(C("earned_points"), C("_team")).alias("share_of_earned_team_points"))
@@ -260,7 +262,7 @@ def recent_form(profile: DataFrame, rounds: int = 5) -> DataFrame:
     """
     per_round = profile.groupBy("season", "round", "driver_name").agg(
         count_where(is_started()).alias("starts"), F.sum("points").alias("points"), count_where(has_scored()).alias("scored"))
-    last = with_group_totals(per_round, ["season"], F.max("round").alias("_last"))
+    last = with_group_totals(per_round, ["season"], F.max("round").alias("_last"), store="rounds")
     period = F.when(C("round") > C("_last") - rounds, f"Last {rounds} rounds").otherwise("Earlier rounds")
     totals = last.groupBy("season", "driver_name", period.alias("period")).agg(
         F.sum("starts").alias("starts"), F.sum("points").alias("race_points"), F.sum("scored").alias("_scored"))
@@ -328,7 +330,7 @@ def points_progression(facts: DataFrame, driver_seasons: DataFrame, season: int)
     dense = dense_running_total(weekend, "driver_id", "round", "weekend_points", "calculated_points", last_round)
     # Drivers outside the standings are dropped here, as they have no row among the entrants.
     named = dense.join(entrants, "driver_id").join(calendar, "round")
-    lead = with_group_totals(named, ["round"], F.max("calculated_points").alias("_lead"))
+    lead = with_group_totals(named, ["round"], F.max("calculated_points").alias("_lead"), store="progression")
     return lead.select("season", "round", "race_id", "driver_id", "driver_name", "weekend_points",
                        "calculated_points", (C("_lead") - C("calculated_points")).alias("gap_to_calculated_leader"))
 

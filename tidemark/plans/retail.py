@@ -47,9 +47,13 @@ class Retail:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name)
+        """A given table; its footer is read once per instance."""
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, self.folder, name)
+        return self._tables[name]
 
     # --- entities -------------------------------------------------------------------------------
 
