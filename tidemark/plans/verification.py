@@ -95,7 +95,7 @@ def titles(seasons: DataFrame, key: str) -> DataFrame:
 def history_verification(
     declared_drivers: DataFrame, declared_constructors: DataFrame, gold: Mapping[str, DataFrame],
     silver: Mapping[str, DataFrame], release_state: DataFrame, completions: DataFrame,
-    release_seq: int, first_season: int, min_season: int, modern: int, expected: Mapping[str, int],
+    release_seq: int, min_season: int, modern: int, expected: Mapping[str, int],
 ) -> DataFrame:
     """Fourteen checks after a history expansion.
 
