@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import line_rules
+from tidemark.llm import line_rules, mixture, pseudonyms
 from tidemark.llm.common import table
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+#: The key of the pseudonyms in the registered query; a real run takes its own from a secret store.
+KEY = "registered-query"
+
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,6 +25,18 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op5_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that a mix of all sources takes of every document."""
+    return mixture.mix(table(spark, folder, "documents"))
+
+
+@query
+def op6_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with the personal data of their texts replaced."""
+    return pseudonyms.replace_personal_data(table(spark, folder, "documents"), KEY)
+
+
 @query
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Measures and the verdict of line-first cleaning for every document."""
