@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import line_rules, mixture, pseudonyms
+from tidemark.llm import line_rules, mixture, pseudonyms, simhash
 from tidemark.llm.common import table
 from tidemark.session import tune
 
@@ -25,6 +25,12 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of near duplicates of every document."""
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 @query
 def op5_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
     """Words that a mix of all sources takes of every document."""
