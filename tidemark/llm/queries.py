@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import line_rules, mixture, pseudonyms, simhash
+from tidemark.llm import bpe, line_rules, mixture, pseudonyms, simhash
 from tidemark.llm.common import table
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+#: The tokenizer file of the registered queries; every worker has the package.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: The key of the pseudonyms in the registered query; a real run takes its own from a secret store.
 KEY = "registered-query"
 
@@ -31,6 +34,12 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts and digests of the ids and the decoded text of every document."""
+    return bpe.digests(table(spark, folder, "documents"), TOKENIZER)
+
+
 @query
 def op5_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
     """Words that a mix of all sources takes of every document."""
