@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -65,3 +66,16 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
 def words_column(text: Column) -> Column:
     """Words of a text as an array; null and blank texts give an empty one."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != F.lit(""))
+
+
+def reachable(spark: SparkSession) -> SparkSession:
+    """Lets Python workers on this file system import the package, wherever the driver was started.
+
+    A cluster gets the package with ``--py-files`` or installed, as any other.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return spark

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, line_rules, mixture, pseudonyms, simhash
-from tidemark.llm.common import table
+from tidemark.llm import bpe, line_rules, mixture, pseudonyms, simhash, warc
+from tidemark.llm.common import reachable, table
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,7 +22,7 @@ KEY = "registered-query"
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return function(tune(spark), folder)
+        return function(reachable(tune(spark)), folder)
 
     QUERIES[function.__name__] = run
     return function
@@ -52,8 +52,29 @@ def op6_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return pseudonyms.replace_personal_data(table(spark, folder, "documents"), KEY)
 
 
+@query
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to WARC archives and read back from them."""
+    return warc.round_trip(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Measures and the verdict of line-first cleaning for every document."""
     return line_rules.judge(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLE["op7_warc"] = """
+WITH p AS (
+  SELECT page_id, sha1(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, '')) AS payload_bytes FROM pages
+), g AS (
+  SELECT *, count(*) OVER same AS copies, max(page_id) OVER same AS top FROM p
+  WINDOW same AS (PARTITION BY payload_digest, payload_bytes)
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND copies > 1 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND copies > 1 AND page_id < top THEN top END AS refers_to
+FROM g
+"""
