@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, line_rules, mixture, pseudonyms, simhash, warc
+from tidemark.llm import bpe, line_rules, mixture, pseudonyms, quality_votes, simhash, warc
 from tidemark.llm.common import reachable, table
 from tidemark.session import tune
 
@@ -28,6 +28,12 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_votes.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of near duplicates of every document."""
