@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, line_rules, mixture, pseudonyms, quality_votes, simhash, warc
+from tidemark.llm import bpe, line_rules, mixture, passages, pseudonyms, quality_votes, simhash, warc
 from tidemark.llm.common import reachable, table
 from tidemark.session import tune
 
@@ -72,6 +72,12 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op10_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that stand in a repeated window of 35 words, removed."""
+    return passages.remove_repeated(table(spark, folder, "documents"), with_text=False)
+
+
 ORACLE["op7_warc"] = """
 WITH p AS (
   SELECT page_id, sha1(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, '')) AS payload_bytes FROM pages

@@ -51,10 +51,10 @@ def windows(values: np.ndarray, width: int) -> np.ndarray:
     n = len(values) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    base = np.uint64(0x9E3779B97F4A7C15)
-    have, result, done, power = values.astype(np.uint64), None, 0, base
+    have, result, done, base = values.astype(np.uint64), None, 0, 0x9E3779B97F4A7C15
     size = 1
     while size <= width:
+        power = np.uint64(base)
         if width & size:
             if result is None:
                 result, done = have[:n].copy(), size
@@ -64,7 +64,7 @@ def windows(values: np.ndarray, width: int) -> np.ndarray:
                 done += size
         if size * 2 <= width:
             have = have[:-size] * power + have[size:]
-            power = power * power
+            base = base * base % (1 << 64)
         size *= 2
     return mixed(result)
 
