@@ -20,11 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import pick, texts_of
+from tidemark.llm.packing import by_group, group_of, key_of, keys_of, positions_of, steps_of
 from tidemark.llm.rolling import TABLE64, mixed, slabs, sliding_argmin, windows
 from tidemark.llm.sketch import SketchShape, maybe_repeated, merged_sketch
 
@@ -96,29 +96,6 @@ def anchored(words: Words, width: int, size: int, hashes: np.ndarray) -> tuple[n
     return starts, np.cumsum(new) - 1, runs[at[new]]
 
 
-def _key(doc_id: object, text: bytes) -> bytes:
-    """The identity of a document: rows that agree in it are equal."""
-    return xxhash.xxh3_128_digest(repr(doc_id).encode() + b"\0" + text)
-
-
-def _group(keys: np.ndarray, groups: int) -> np.ndarray:
-    """The group of documents of each key."""
-    return (np.ascontiguousarray(keys[:, :4]).view("<u4")[:, 0] % groups).astype(np.int64)
-
-
-def _keys(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, np.uint8).reshape(-1, 16)
-
-
-def _steps(at: np.ndarray) -> bytes:
-    """Positions as differences: windows in a row are ones, which compress."""
-    return np.diff(at, prepend=0).astype("<i4").tobytes()
-
-
-def _positions(steps: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(steps, "<i4").astype(np.int64))
-
-
 class _Candidates:
     """Windows that a task holds, to be grouped at home before one of each kind is sent."""
 
@@ -151,9 +128,9 @@ class _Candidates:
         n = np.diff(first, append=len(h))
         again = np.repeat(n > 1, n)
         rows: list[tuple[int, bytes, bytes, bytes, bytes, bytes, bytes]] = []
-        keys = _keys(b"".join(self.keys))
+        keys = keys_of(b"".join(self.keys))
         # What repeats at home is decided here; it travels as finished positions of documents.
-        rows += [(g % self.buckets, own, counts, steps, b"", b"", b"") for g, own, counts, steps in _by_group(
+        rows += [(g % self.buckets, own, counts, steps, b"", b"", b"") for g, own, counts, steps in by_group(
             doc[order][again], at[order][again], keys, self.groups)]
         high, low, doc, at, many = h[first], g[first], doc[order][first], at[order][first], n > 1
         bucket = (high % np.uint64(self.buckets)).astype(np.int64)
@@ -162,7 +139,7 @@ class _Candidates:
         for b in np.flatnonzero(np.diff(bounds)):
             own = order[bounds[b]:bounds[b + 1]]
             docs, place = np.unique(doc[own], return_inverse=True)
-            rows.append((int(b), keys[docs].tobytes(), np.bincount(place).astype("<u4").tobytes(), _steps(at[own]),
+            rows.append((int(b), keys[docs].tobytes(), np.bincount(place).astype("<u4").tobytes(), steps_of(at[own]),
                          high[own].tobytes(), low[own].tobytes(), np.packbits(many[own]).tobytes()))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 7))],
@@ -170,22 +147,6 @@ class _Candidates:
         self.clear()
 
 
-def _by_group(doc: np.ndarray, at: np.ndarray, keys: np.ndarray, groups: int
-              ) -> Iterator[tuple[int, bytes, bytes, bytes]]:
-    """Positions packed by group of documents: group, keys, number of positions per key, positions."""
-    if not len(doc):
-        return
-    group = _group(keys, groups)[doc]
-    order = np.lexsort((at, doc, group))
-    doc, at, group = doc[order], at[order], group[order]
-    first = np.flatnonzero(np.diff(doc, prepend=-1))  # documents of a group follow each other
-    sizes = np.diff(first, append=len(doc))
-    for g in np.unique(group).tolist():
-        a, b = np.searchsorted(group, [g, g + 1])
-        c, d = np.searchsorted(first, [a, b])
-        yield g, keys[doc[first[c:d]]].tobytes(), sizes[c:d].astype("<u4").tobytes(), _steps(at[a:b])
-
-
 def repeated_windows(docs: DataFrame, width: int, anchor: int, shape: SketchShape, buckets: int, groups: int,
                      bits) -> DataFrame:
     """grp, keys, counts, at: window starts that are repeated, packed by group of documents."""
@@ -206,7 +167,7 @@ def repeated_windows(docs: DataFrame, width: int, anchor: int, shape: SketchShap
                 owner = words.owner[starts]
                 docs_here, place = np.unique(owner, return_inverse=True)
                 held.add(windows(one, width)[starts], windows(words.hashes(1), width)[starts], place,
-                         starts - words.first[owner], [_key(ids[a + d], texts[a + d]) for d in docs_here])
+                         starts - words.first[owner], [key_of(ids[a + d], texts[a + d]) for d in docs_here])
                 if held.size >= HELD_WINDOWS:
                     yield from held.send()
         yield from held.send()
@@ -222,14 +183,14 @@ def repeated_windows(docs: DataFrame, width: int, anchor: int, shape: SketchShap
         n_keys = 0
         for batch in batches:
             for r in batch.to_pylist():
-                own = _keys(r["keys"])
+                own = keys_of(r["keys"])
                 if not r["high"]:  # decided before; only passed on to its group
-                    yield out([(int(_group(own[:1], groups)[0]), r["keys"], r["counts"], r["at"])])
+                    yield out([(int(group_of(own[:1], groups)[0]), r["keys"], r["counts"], r["at"])])
                     continue
                 doc.append(np.repeat(np.arange(len(own)) + n_keys, np.frombuffer(r["counts"], "<u4")))
                 n_keys += len(own)
                 keys.append(own)
-                at.append(_positions(r["at"]))
+                at.append(positions_of(r["at"]))
                 high.append(np.frombuffer(r["high"], np.uint64))
                 low.append(np.frombuffer(r["low"], np.uint64))
                 many.append(np.unpackbits(np.frombuffer(r["many"], np.uint8), count=len(at[-1])).astype(bool))
@@ -243,7 +204,7 @@ def repeated_windows(docs: DataFrame, width: int, anchor: int, shape: SketchShap
         first = np.flatnonzero(new)
         again = order[np.repeat(np.diff(first, append=len(h)) > 1, np.diff(first, append=len(h)))]
         again = again[~many[again]]  # those repeated at home were decided there
-        yield out(_by_group(doc[again], at[again], np.concatenate(keys), groups))
+        yield out(by_group(doc[again], at[again], np.concatenate(keys), groups))
 
     sent = docs.mapInArrow(candidates, "bucket int, keys binary, counts binary, at binary, high binary, low binary, many binary")
     return sent.repartition(max(1, buckets // 4), "bucket").mapInArrow(
@@ -292,10 +253,10 @@ def remove_repeated(documents: DataFrame, width: int = 35, anchor: int = ANCHOR_
                 starts, number, anchors = anchored(words, width, anchor, words.hashes(0))
                 chosen = maybe_repeated(anchors, bits.value, shape)[number] if len(starts) else np.zeros(0, bool)
                 open_docs = set(np.unique(words.owner[starts[chosen]]).tolist())
-                keys = [_key(i.as_py(), t) for i, t in zip(ids.slice(a, b - a), texts[a:b], strict=True)]
+                keys = [key_of(i.as_py(), t) for i, t in zip(ids.slice(a, b - a), texts[a:b], strict=True)]
                 done = [(None,) * 4 if i in open_docs else told(t.split(), none) for i, t in enumerate(texts[a:b])]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(_group(_keys(b"".join(keys)), parts), pa.int32()), pa.array(keys, pa.binary()),
+                    pa.array(group_of(keys_of(b"".join(keys)), parts), pa.int32()), pa.array(keys, pa.binary()),
                     pa.array([t if i in open_docs else None for i, t in enumerate(texts[a:b])], pa.binary()),
                     ids.slice(a, b - a),
                     *(pa.array([d[i] for d in done], k) for i, k in enumerate(
@@ -305,7 +266,7 @@ def remove_repeated(documents: DataFrame, width: int = 35, anchor: int = ANCHOR_
         starts: dict[bytes, list[np.ndarray]] = {}
         for r in repeated.to_pylist():
             cut = np.cumsum(np.frombuffer(r["counts"], "<u4"))[:-1]
-            for i, at in enumerate(np.split(_positions(r["at"]), cut)):
+            for i, at in enumerate(np.split(positions_of(r["at"]), cut)):
                 starts.setdefault(r["keys"][16 * i:16 * i + 16], []).append(at)
         columns = {n: own.column(n).to_pylist() for n in results[1:]}
         for i, (key, t) in enumerate(zip(own.column("key").to_pylist(), own.column("text").to_pylist(), strict=True)):

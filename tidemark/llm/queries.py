@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, line_rules, mixture, passages, pseudonyms, quality_votes, simhash, warc
+from tidemark.llm import bpe, byte_repeats, line_rules, mixture, passages, pseudonyms, quality_votes, simhash, warc
 from tidemark.llm.common import reachable, table
 from tidemark.session import tune
 
@@ -34,6 +34,12 @@ def op1_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
     return quality_votes.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op2_byte_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every document under strings of 50 bytes that an earlier document has too, removed."""
+    return byte_repeats.remove_repeats(table(spark, folder, "documents"), with_text=False)
+
+
 @query
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of near duplicates of every document."""

@@ -101,7 +101,7 @@ def merged_sketch(docs: DataFrame, anchors: Callable[[pa.RecordBatch], Iterator[
     windows = 0
     # The number of slices is fixed by the shape, so all that comes to the driver is the size of one sketch.
     for r in touched.repartition(min(shape.depth * shape.slices, 64), "slice").mapInArrow(
-            merge, "slice int, bits binary").toLocalIterator():
+            merge, "slice int, bits binary").collect():
         if r["slice"] < 0:
             windows += int(np.frombuffer(r["bits"], "<i8")[0])
         else:
