@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, byte_repeats, line_rules, mixture, passages, pseudonyms, quality_votes, simhash, warc
+from tidemark.llm import bpe, byte_repeats, line_rules, mixture, passages, pseudonyms, quality_votes, simhash, voronoi_knn, warc
 from tidemark.llm.common import reachable, table
 from tidemark.session import tune
 
@@ -78,6 +79,12 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op9_voronoi_knn(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best other vectors of every vector whose id is divisible by 20."""
+    return voronoi_knn.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op10_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that stand in a repeated window of 35 words, removed."""
@@ -96,3 +103,16 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 1000 AND copies > 1 AND page_id < top THEN top END AS refers_to
 FROM g
 """
+
+ORACLE["op9_voronoi_knn"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS c FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, d.vec_id, list_sum(list_transform(list_zip(q.c, d.c), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v AS q JOIN v AS d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
