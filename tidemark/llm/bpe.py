@@ -215,13 +215,16 @@ def digests(documents: DataFrame, path: str, doc_id: str = "doc_id", text: str =
 
 
 def tokens(documents: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, ``ids`` (array of int) and the decoded text."""
+    """doc_id, n_tokens, ``ids`` (array of int) and SHA-256 of the decoded text."""
     def work(batch: pa.RecordBatch, results: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        ends = np.cumsum([0, *(len(i) // 4 for i, _ in results)]).astype(np.int32)
+        flat = np.frombuffer(b"".join(i for i, _ in results), "<u4").astype(np.int32)
         return pa.RecordBatch.from_arrays([
-            batch.column("doc_id"),
-            pa.array([np.frombuffer(i, "<u4").astype(np.int32) for i, _ in results], pa.list_(pa.int32())),
-            pa.array([d.decode() for _, d in results], pa.string()),
-        ], names=["doc_id", "ids", "decoded"])
+            batch.column("doc_id"), pa.array(np.diff(ends).astype(np.int64)),
+            pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+            pa.array([hashlib.sha256(d).hexdigest() for _, d in results], pa.string()),
+        ], names=["doc_id", "n_tokens", "ids", "decoded_sha256"])
 
     kind = pick(documents, doc_id=doc_id).schema["doc_id"].dataType.simpleString()
-    return encoded(documents, path, work, f"doc_id {kind}, ids array<int>, decoded string", text=text, doc_id=doc_id)
+    return encoded(documents, path, work, f"doc_id {kind}, n_tokens long, ids array<int>, decoded_sha256 string",
+                   text=text, doc_id=doc_id)

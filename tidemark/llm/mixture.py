@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, kept, pick
+from tidemark.llm.common import WORD, carry, kept, pick, words_column
 from tidemark.operators.ranking import global_rank
 
 ROWS_PER_BUCKET = 20_000
@@ -68,10 +68,46 @@ def source_targets(sizes: DataFrame, cycle: tuple[int, ...], percent: int, max_e
                         F.least(limit, F.lit(level) * F.col("_weight")).alias("target"))
 
 
+def _copy_key(doc_id: str, text: str, source: str) -> Column:
+    return F.xxhash64(doc_id, source, text)
+
+
+def _numbered(frame: DataFrame, doc_id: str) -> DataFrame:
+    """Numbers the rows that agree in id, source and text, which are interchangeable."""
+    return frame.withColumn("_nth", F.row_number().over(Window.partitionBy(doc_id, "_copy").orderBy(doc_id)))
+
+
+def mixed_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+                    n_chars: str = "n_chars", **settings) -> DataFrame:
+    """The mix itself: each document as often as its words are taken, columns unchanged.
+
+    Where the last taking is not a whole document, that copy holds its first words, joined by single spaces, and
+    its length in characters. Documents of which nothing is taken are absent.
+    """
+    inner, names = carry(documents)
+    own, body, origin = (f"_in{names.index(n)}" for n in (doc_id, text, source))
+    inner = inner.withColumn("_copy", _copy_key(own, body, origin))
+    taken = mix(inner, doc_id=own, text=body, source=origin, keep="_copy", **settings).filter("taken > 0")
+    taken = _numbered(taken.select("doc_id", "_copy", "size", "taken"), "doc_id").withColumnRenamed("_nth", "_n")
+    taken = taken.withColumnRenamed("_copy", "_c").withColumnRenamed("doc_id", "_id")
+    joined = _numbered(inner, own).join(taken, F.col(own).eqNullSafe(F.col("_id")) & (F.col("_copy") == F.col("_c"))
+                                        & (F.col("_nth") == F.col("_n")))
+    whole, rest = F.expr("cast(taken div size as int)"), (F.col("taken") % F.col("size")).cast("int")
+    copies = F.concat(F.array_repeat(F.lit(-1), whole), F.array_repeat(rest, F.when(rest > 0, 1).otherwise(0)))
+    copied = joined.withColumn("_words", F.explode(copies))
+    short = F.col("_words") >= 0
+    copied = copied.withColumn(body, F.when(
+        short, F.array_join(F.slice(words_column(F.col(body)), 1, F.greatest(F.lit(1), F.col("_words"))), " ")).otherwise(F.col(body)))
+    if n_chars in names:
+        length = f"_in{names.index(n_chars)}"
+        copied = copied.withColumn(length, F.when(short, F.length(body).cast(inner.schema[length].dataType)).otherwise(F.col(length)))
+    return copied.select(*[f"_in{i}" for i in range(len(names))]).toDF(*names)
+
+
 def mix(documents: DataFrame, cycle: tuple[int, ...] = (5, 2, 1), percent: int = 150, max_epochs: int = 2,
         seed: int = 0, weight: str | None = None, doc_id: str = "doc_id", text: str = "text",
-        source: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target and the words taken of every document.
+        source: str = "source", keep: str | None = None) -> DataFrame:
+    """doc_id, size, source_size, target and the words taken of every document; ``keep`` names one more column.
 
     ``cycle`` holds the weights of the sources in code point order, repeating; ``percent`` the size of the
     mix in percent of all words.
@@ -81,11 +117,12 @@ def mix(documents: DataFrame, cycle: tuple[int, ...] = (5, 2, 1), percent: int =
     number of buckets follows the number of rows of the source.
     """
     columns = {"doc_id": doc_id, "text": text, "source": source} | ({"given": weight} if weight else {})
-    docs = pick(documents, **columns)
+    docs = pick(documents, **columns, **({"_copy": keep} if keep else {}))
+    more = ["_copy"] if keep else []
     size = n_words(F.col("text"))
     sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), size.alias("size"),
                         (F.greatest(F.lit(LEAST_WEIGHT), F.coalesce(F.col("given").cast("double"), F.lit(1.0)))
-                         if weight else quality_weight(F.col("text"), size)).alias("weight"))
+                         if weight else quality_weight(F.col("text"), size)).alias("weight"), *more)
     sized = kept(sized, "sizes")  # all that follows reads a few bytes a document
     targets = source_targets(sized, cycle, percent, max_epochs)
 
@@ -114,4 +151,4 @@ def mix(documents: DataFrame, cycle: tuple[int, ...] = (5, 2, 1), percent: int =
     before = F.col("base") + F.col("inside") - F.col("size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - before))
     return summed.select("doc_id", "size", "source_size", "target",
-                         (epochs * F.col("size") + part).cast("long").alias("taken"), "source")
+                         (epochs * F.col("size") + part).cast("long").alias("taken"), "source", *more)

@@ -24,10 +24,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import kept, pick, texts_of
+from tidemark.llm.common import carry, kept, pick, texts_of
 from tidemark.llm.components import components
 
 BITS = 64
@@ -57,11 +57,11 @@ def _fingerprint(text: bytes, width: int, seed: int) -> int:
 def fingerprints(documents: DataFrame, width: int = 3, seed: int = 42, text: str = "text",
                  **keep: str) -> DataFrame:
     """The kept columns and ``fp``, the fingerprint as a signed long."""
-    docs = pick(documents, **keep, text=text)
+    docs = pick(documents, **keep, **{"_text": text})
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([_fingerprint(t, width, seed) for t in texts_of(batch)], np.uint64).view(np.int64)
+            fps = np.array([_fingerprint(t, width, seed) for t in texts_of(batch, "_text")], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(name) for name in keep), pa.array(fps)], names=[*keep, "fp"])
 
@@ -151,11 +151,9 @@ def links(distinct: DataFrame, radius: int = 2, bucket_limit: int = 256) -> Data
         current = large
 
 
-def near_duplicates(documents: DataFrame, radius: int = 2, width: int = 3, doc_id: str = "doc_id",
-                    text: str = "text") -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id and ``copies`` (rows with that fingerprint)."""
-    docs = kept(fingerprints(documents, width, text=text, doc_id=doc_id), "fingerprints")
-    distinct = kept(docs.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")),
+def _groups(prints: DataFrame, radius: int) -> DataFrame:
+    """fp, first (smallest doc_id with that fingerprint), copies, and component_id of each distinct fingerprint."""
+    distinct = kept(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")),
                     "distinct-fingerprints")
     edges = links(distinct, radius)
     reached = kept(components(edges), "components")
@@ -163,10 +161,37 @@ def near_duplicates(documents: DataFrame, radius: int = 2, width: int = 3, doc_i
     member = distinct.join(reached, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", "copies", F.coalesce("component", "fp").alias("component"))
     names = member.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = member.join(names, "component").select("fp", "copies", "component_id")
+    return member.join(names, "component")
+
+
+def near_duplicates(documents: DataFrame, radius: int = 2, width: int = 3, doc_id: str = "doc_id",
+                    text: str = "text") -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id and ``copies`` (rows with that fingerprint)."""
+    docs = kept(fingerprints(documents, width, text=text, doc_id=doc_id), "fingerprints")
+    named = _groups(docs, radius).select("fp", "copies", "component_id")
     return docs.join(named, "fp").select("doc_id", fingerprint_hex(F.col("fp")).alias("fingerprint"),
                                          "component_id", "copies")
 
 
+def first_of_groups(documents: DataFrame, radius: int = 2, width: int = 3, doc_id: str = "doc_id",
+                    text: str = "text") -> DataFrame:
+    """The documents with one of each group of near duplicates, the one with the smallest id; columns unchanged.
+
+    A group without any id keeps one document as well, and of repeated rows one stays.
+    """
+    inner, names = carry(documents)
+    own = f"_in{names.index(doc_id)}"
+    prints = kept(fingerprints(inner, width, text=f"_in{names.index(text)}", **{c: c for c in inner.columns}), "fingerprints")
+    groups = _groups(prints.select("fp", F.col(own).alias("doc_id")), radius)
+    first = groups.groupBy("component").agg(F.min_by(
+        F.struct("fp", "first"), F.struct(F.col("first").isNull(), "first", "fp")).alias("of")).select(
+        F.col("of.fp").alias("_fp"), F.col("of.first").alias("_first"))
+    # The pair names a row but for repeats, so no key of this join is hot.
+    chosen = prints.join(first, (F.col("fp") == F.col("_fp")) & F.col(own).eqNullSafe(F.col("_first")), "left_semi")
+    text_column = f"_in{names.index(text)}"
+    nth = F.row_number().over(Window.partitionBy("fp", own).orderBy(F.col(text_column)))
+    return chosen.withColumn("_nth", nth).filter("_nth = 1").drop("_nth", "fp").toDF(*names)
+
+
 def fingerprint_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
