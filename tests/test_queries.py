@@ -20,7 +20,7 @@ def db(small):
 
 def test_every_query_has_a_comparison():
     assert set(ORACLE) == set(QUERIES) == set(SURVEY_IDS)
-    assert set(entrypoint.queries()) == set(entrypoint.oracle_sql())
+    assert set(QUERIES) <= set(entrypoint.queries()) and set(ORACLE) <= set(entrypoint.oracle_sql())
 
 
 def test_entry(spark):
