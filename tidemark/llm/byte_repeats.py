@@ -32,10 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bwt import collection_bwt, suffix_rows
-from tidemark.llm.common import pick, texts_of
+from tidemark.llm.common import kept, pick, texts_of
 from tidemark.llm.packing import by_group, group_of, key_of, keys_of, positions_of, steps_of
 from tidemark.llm.rolling import slabs, sliding_argmin, windows
-from tidemark.llm.sketch import SketchShape, maybe_repeated, merged_sketch
+from tidemark.llm.sketch import SketchShape, keys_present, maybe_present, maybe_repeated, merged_sketch
 
 ANCHOR_BYTES = 24
 WINDOWS_A_BUCKET = 3_000_000
@@ -227,12 +227,11 @@ def repeated_runs(docs: DataFrame, width: int, anchor: int, shape: SketchShape,
     return sent.repartition(buckets, "bucket").mapInArrow(solve, "grp int, keys binary, counts binary, at binary")
 
 
-def remove_repeats(documents: DataFrame, width: int = 50, anchor: int = ANCHOR_BYTES, shape: SketchShape | None = None,
+def remove_repeats(documents: DataFrame, width: int = 50, anchor: int = ANCHOR_BYTES, shape: SketchShape = SketchShape(),
                    doc_id: str = "doc_id", text: str = "text", with_text: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the remaining bytes as ``cleaned`` if asked for."""
     if not 0 < anchor <= width <= 120:
         raise ValueError("anchors are at most as long as windows, and windows at most 120 bytes")
-    shape = shape or SketchShape(cells=1 << 28)
     docs = pick(documents, doc_id=doc_id, text=text).withColumn("text", F.col("text").cast("binary"))
 
     def sketched(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, int]]:
@@ -244,7 +243,8 @@ def remove_repeats(documents: DataFrame, width: int = 50, anchor: int = ANCHOR_B
     merged, n_windows = merged_sketch(docs, sketched, shape)
     bits = documents.sparkSession.sparkContext.broadcast(merged)
     parts = max(8, n_windows // WINDOWS_A_BUCKET)  # sized by the windows that were counted
-    repeats = repeated_runs(docs, width, anchor, shape, parts, parts, bits)
+    repeats = kept(repeated_runs(docs, width, anchor, shape, parts, parts, bits), "repeated-bytes")
+    present = documents.sparkSession.sparkContext.broadcast(keys_present(repeats, shape))
     kind = docs.schema["doc_id"].dataType.simpleString()
     results = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + (["cleaned"] if with_text else [])
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())[:len(results) - 1]
@@ -266,18 +266,17 @@ def remove_repeats(documents: DataFrame, width: int = 50, anchor: int = ANCHOR_B
     none = np.zeros(0, np.int64)
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """All documents; those without a candidate are finished here and travel without their text."""
+        """All documents; those that lose nothing are finished here and travel without their text."""
         for batch in batches:
             texts, ids = texts_of(batch), batch.column("doc_id")
             for a, b in slabs(texts, SLAB):
-                found = Fragments(texts[a:b], width, anchor)
-                candidates = set(found.owner[maybe_repeated(found.anchors, bits.value, shape)].tolist())
                 part = texts[a:b]
                 keys = [key_of(i.as_py(), t) for i, t in zip(ids.slice(a, b - a), part, strict=True)]
-                done = [(None,) * 5 if i in candidates else told(t, none) for i, t in enumerate(part)]
+                open_docs = maybe_present(keys, present.value, shape).tolist()
+                done = [(None,) * 5 if o else told(t, none) for o, t in zip(open_docs, part, strict=True)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(group_of(keys_of(b"".join(keys)), parts), pa.int32()), pa.array(keys, pa.binary()),
-                    pa.array([t if i in candidates else None for i, t in enumerate(part)], pa.binary()),
+                    pa.array([t if o else None for o, t in zip(open_docs, part, strict=True)], pa.binary()),
                     ids.slice(a, b - a), *(pa.array([d[i] for d in done], k) for i, k in enumerate(kinds))],
                     names=["grp", "key", "text", *results])
 

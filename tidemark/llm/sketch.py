@@ -27,7 +27,7 @@ FLUSH = 4_000_000
 @dataclass(frozen=True)
 class SketchShape:
     depth: int = 2
-    cells: int = 1 << 26         # a row; a power of two. 2 rows of 2^26 bits are a broadcast of 16 MB
+    cells: int = 1 << 28         # a row; a power of two. 2 rows of 2^28 bits are a broadcast of 64 MB
     slice_cells: int = 1 << 20
 
     @property
@@ -115,3 +115,21 @@ def maybe_repeated(hashes: np.ndarray, bits: np.ndarray, shape: SketchShape) ->
     for row, cells in enumerate(cells_of(hashes, shape)):
         hit &= (bits[row][cells >> 3] >> (7 - (cells & 7)).astype(np.uint8) & 1).astype(bool)
     return hit
+
+
+def _key_hashes(keys: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(keys[:, :8]).view("<u8")[:, 0]
+
+
+def keys_present(packed: DataFrame, shape: SketchShape) -> np.ndarray:
+    """A sketch of the document keys in a packed table: which documents have anything to remove."""
+    def keys(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, int]]:
+        for own in batch.column("keys").to_pylist():
+            yield np.repeat(_key_hashes(np.frombuffer(own, np.uint8).reshape(-1, 16)), 2), 0  # twice: seen is enough
+
+    return merged_sketch(packed.select("keys"), keys, shape)[0]
+
+
+def maybe_present(keys: list[bytes], bits: np.ndarray, shape: SketchShape) -> np.ndarray:
+    """False only for documents that have nothing to remove."""
+    return maybe_repeated(_key_hashes(np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 16)), bits, shape)
