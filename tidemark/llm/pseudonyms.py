@@ -34,7 +34,7 @@ FORMS = {
     "ssn": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9])",
-    "phone": (r"(?<![0-9A-Za-z])(?:\+?[0-9]{1,3}[ .\-])?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .\-])"
+    "phone": (r"(?<![0-9A-Za-z])(?:\+?[0-9]{1,3}[ .\-])?(?:\([0-9]{3}\) ?|[0-9]{3}[ .\-])"
               r"[0-9]{3}[ .\-][0-9]{4}(?![0-9])"),
 }
 ANY_FORM = "|".join(f"(?:{form})" for form in FORMS.values())
