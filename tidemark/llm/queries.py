@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, byte_repeats, line_rules, mixture, passages, pseudonyms, quality_votes, simhash, voronoi_knn, warc
 from tidemark.llm.common import reachable, table
+from tidemark.llm.oracle import SQL
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(SQL)
 
 #: The tokenizer file of the registered queries; every worker has the package.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -89,30 +90,3 @@ def op9_voronoi_knn(spark: SparkSession, folder: str) -> DataFrame:
 def op10_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that stand in a repeated window of 35 words, removed."""
     return passages.remove_repeated(table(spark, folder, "documents"), with_text=False)
-
-
-ORACLE["op7_warc"] = """
-WITH p AS (
-  SELECT page_id, sha1(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, '')) AS payload_bytes FROM pages
-), g AS (
-  SELECT *, count(*) OVER same AS copies, max(page_id) OVER same AS top FROM p
-  WINDOW same AS (PARTITION BY payload_digest, payload_bytes)
-)
-SELECT page_id, payload_bytes, payload_digest,
-  CASE WHEN payload_bytes >= 1000 AND copies > 1 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN payload_bytes >= 1000 AND copies > 1 AND page_id < top THEN top END AS refers_to
-FROM g
-"""
-
-ORACLE["op9_voronoi_knn"] = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS c FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-), s AS (
-  SELECT q.vec_id AS query_id, d.vec_id, list_sum(list_transform(list_zip(q.c, d.c), lambda z: z[1] * z[2]))::BIGINT AS score
-  FROM v AS q JOIN v AS d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0
-)
-SELECT query_id, rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
-"""
