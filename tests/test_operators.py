@@ -150,6 +150,43 @@ def test_dense_series_carries_totals_forward(spark):
         ("b", 3, 1, 1), ("b", 4, 0, 1), ("b", 5, 0, 1)]
 
 
+def test_dense_series_ends_at_the_last_step(spark):
+    frame = spark.createDataFrame([("a", 1, 5), ("a", 3, 2), ("b", 3, 1)], "k string, s bigint, v bigint")
+    out = groups.dense_running_total(frame, "k", "s", "v", "t", F.lit(2).cast("bigint"))
+    assert rows(out.select("k", "s", "v", "t"), "k", "s") == [("a", 1, 5, 5), ("a", 2, 0, 5)]
+
+
+@pytest.mark.parametrize("sprint_only", [2, 3])
+def test_progression_ignores_rounds_that_were_not_raced(spark, sprint_only):
+    """A round with a sprint alone, in the middle or at the end, opens no round and adds no points."""
+    from tidemark.plans.explore import points_progression
+
+    facts = [(1998, r, 10 * r, d, kind, p) for r in (1, 2, 3) for kind, gain in (("RACE", 10), ("SPRINT", 3))
+             if not (r == sprint_only and kind == "RACE") for d, p in (("a", gain), ("b", gain - 1))]
+    frame = spark.createDataFrame(facts, "season bigint, round bigint, race_id bigint, driver_id string, session_type string, points bigint")
+    seasons = spark.createDataFrame([(1998, "a", "A"), (1998, "b", "B")], "season bigint, driver_id string, driver_name string")
+    found = rows(points_progression(frame, seasons, 1998).select("round", "driver_id", "calculated_points", "gap_to_calculated_leader"))
+    raced = [r for r in (1, 2, 3) if r != sprint_only]
+    assert found == sorted([(r, d, total * (i + 1), gap * (i + 1)) for i, r in enumerate(raced)
+                            for d, total, gap in (("a", 13, 0), ("b", 11, 2))], key=repr)
+
+
+def test_shared_folder_is_demanded_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tidemark import session
+
+    def on(master):
+        context = SimpleNamespace(master=master, getConf=lambda: {}, getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None)
+        return SimpleNamespace(sparkContext=context, conf={})
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.shared_dir(on(master))
+    for master in ("local", "local[8]", "local[*]"):
+        assert session.shared_dir(on(master))
+
+
 def test_running_totals_in_chunks_equal_the_plain_window(spark):
     chance = random.Random(11)
     data = [(chance.choice("aaab"), i, chance.randrange(10)) for i in range(500)]

@@ -238,6 +238,56 @@ def test_blank_season_blocks_and_scope_filters(spark):
     assert silver.clean("race_results", kept, "v2026.9.9", 2026).count() == 0
 
 
+def write_files(folder, texts):
+    os.makedirs(folder)
+    for i, text in enumerate(texts):
+        with open(f"{folder}/{i:04d}.csv", "w") as out:
+            out.write(text)
+
+
+def test_ingest_counts_rows_beyond_the_kept_progress(spark):
+    landing = scratch(spark, "many")
+    write_files(csv.release_path(landing, "circuits", R1), [f"id,name\n{i},n{i}\n" for i in range(104)])
+    store = RawStore(spark, landing, scratch(spark, "many-raw"))
+    assert store.ingest(["circuits"], max_files=1) == 104
+    assert store.ingest(["circuits"], max_files=1) == 0
+
+
+def test_raw_table_stands_without_the_landing_area(spark):
+    landing = scratch(spark, "gone")
+    write_files(csv.release_path(landing, "circuits", R1), ["id,name\n1,a\n2,b\n"])
+    store = RawStore(spark, landing, scratch(spark, "gone-raw"))
+    with pytest.raises(FileNotFoundError):
+        store.table("circuits")
+    assert store.ingest(["circuits"]) == 2
+    write_files(csv.release_path(landing, "circuits", R2), ["id,name,extra\n3,c,x\n"])  # landed, not ingested
+    assert rows(store.table("circuits").select("release_tag", "id")) == [(R1, "1"), (R1, "2")]
+    elsewhere = RawStore(spark, scratch(spark, "empty-landing"), store.root)
+    assert elsewhere.table("circuits").count() == 2
+    assert store.ingest(["circuits"]) == 1
+    assert rows(store.table("circuits").select("id", "extra")) == [("1", None), ("2", None), ("3", "x")]
+
+
+def test_a_failing_stream_stops_the_others(spark):
+    landing = scratch(spark, "failing")
+    write_files(csv.release_path(landing, "circuits", R1), ["id,name\n1,a\n"])
+    write_files(csv.release_path(landing, "circuits", R2), ["id,name\n1,a\n", "name,id\na,1\n"])
+    store = RawStore(spark, landing, scratch(spark, "failing-raw"))
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        store.ingest(["circuits"])
+    assert not spark.streams.active
+
+
+def test_manifest_reads_quoted_header_names(spark):
+    from tidemark.sources.manifest import build_manifest
+
+    landing = scratch(spark, "quoted")
+    write_files(csv.release_path(landing, "circuits", R1), ['id,"name, full","a ""b""",last\r\n1,2,3,4\r\n'])
+    found = build_manifest(spark, landing, {"circuits": [R1]}).first()
+    assert found["columns"] == ["id", "name, full", 'a "b"', "last"] and found["row_count"] == 1
+    assert found["columns"] == csv.header(spark, csv.release_path(landing, "circuits", R1))
+
+
 def test_reordered_header_within_a_release_is_an_error(spark):
     landing = scratch(spark, "mixed")
     folder = csv.release_path(landing, "circuits", R1)

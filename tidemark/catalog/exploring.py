@@ -52,7 +52,7 @@ class Explore(Retail):
 
     @cached_property
     def recent(self) -> DataFrame:
-        return X.seasons_between(self.profile, FIRST, LAST)
+        return X.seasons_between(Explore(self.spark, self.folder, (FIRST, LAST)).profile, FIRST, LAST)
 
     @cached_property
     def driver_season_rows(self) -> DataFrame:

@@ -61,12 +61,14 @@ def dense_running_total(frame: DataFrame, key: str, step: str, value: str, total
 
     ``frame`` holds at most one row per (key, step). Each row is carried forward to the step before
     the next one, so the gaps fill without crossing keys with a calendar. Filled rows get value 0.
+    Rows after ``last`` are no part of the series.
     """
+    frame = frame.filter(F.col(step) <= last)
     window = Window.partitionBy(key).orderBy(step)
     summed = frame.withColumn(total, F.sum(value).over(window))
     until = F.lead(F.col(step)).over(window) - F.lit(1)
     spread = summed.withColumn("_until", F.coalesce(until, last)).withColumn("_from", F.col(step))
-    filled = spread.withColumn(step, F.explode(F.sequence("_from", "_until")))
+    filled = spread.withColumn(step, F.explode(F.sequence("_from", "_until", F.lit(1).cast(frame.schema[step].dataType))))
     zero = F.lit(0).cast(frame.schema[value].dataType)
     kept = F.when(F.col(step) == F.col("_from"), F.col(value)).otherwise(zero)
     return filled.withColumn(value, kept).drop("_from", "_until")

@@ -122,7 +122,7 @@ def season_progression(facts: DataFrame, races: DataFrame, drivers: DataFrame, p
     weekend = weekend.join(races.select("_release_seq", "race_id", "race_date"), ["_release_seq", "race_id"])
     # race_id breaks ties where a round has more than one race, and its range bounds a chunk: there
     # is one row per driver and race, so a chunk has at most RACES_PER_CHUNK rows.
-    chunk = F.struct("round", F.floor(C("race_id") / RACES_PER_CHUNK))
+    chunk = F.struct("round", F.expr(f"race_id div {RACES_PER_CHUNK}"))
     summed = chunked_running_total(weekend, ["_release_seq", "season", "driver_id"], ["round", "race_id"], chunk,
                                    "weekend_points", "cumulative_calculated_points")
     return (
@@ -324,7 +324,9 @@ def points_progression(facts: DataFrame, driver_seasons: DataFrame, season: int)
     last_round = raced.agg(F.max("round")).scalar()
     entrants = driver_seasons.filter(C("season") == season).select("driver_id", "driver_name")
     points_type = facts.schema["points"].dataType
-    earned = facts.filter(C("season") == season).select("driver_id", "round", C("points").alias("p"))
+    # Points count once their round has been raced: a sprint alone does not open a round.
+    earned = facts.filter(C("season") == season).join(calendar.select("round"), "round", "left_semi").select(
+        "driver_id", "round", C("points").alias("p"))
     at_start = entrants.select("driver_id", first_round.alias("round"), F.lit(0).cast(points_type).alias("p"))
     weekend = earned.unionByName(at_start).groupBy("driver_id", "round").agg(F.sum("p").alias("weekend_points"))
     dense = dense_running_total(weekend, "driver_id", "round", "weekend_points", "calculated_points", last_round)

@@ -44,15 +44,23 @@ def _month(column: Column) -> Column:
 class Retail:
     """Lazily derived frames over one folder of the order tables."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, seasons: tuple[int, int] | None = None):
+        """``seasons`` limits the orders to a first and last year by a date range, which reaches the scan on
+        every side that reads them."""
         self.spark = spark
         self.folder = folder
+        self.seasons = seasons
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         """A given table; its footer is read once per instance."""
         if name not in self._tables:
-            self._tables[name] = read_table(self.spark, self.folder, name)
+            frame = read_table(self.spark, self.folder, name)
+            if name == "orders" and self.seasons:
+                first, last = self.seasons
+                frame = frame.filter((C("o_orderdate") >= F.lit(f"{first}-01-01").cast("timestamp_ntz"))
+                                     & (C("o_orderdate") < F.lit(f"{last + 1}-01-01").cast("timestamp_ntz")))
+            self._tables[name] = frame
         return self._tables[name]
 
     # --- entities -------------------------------------------------------------------------------

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -42,7 +43,8 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` where it is set.
 
-    Only a session without one (a test on one machine) gets a fresh local folder.
+    Only a session on one machine may go without one and gets a fresh local folder; on a cluster
+    executors would each write to their own disk, so that is an error.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
@@ -54,6 +56,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return os.path.dirname(current.rstrip("/"))
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     fresh = tempfile.mkdtemp(prefix="tidemark-")
     context.setCheckpointDir(fresh)
     return fresh

@@ -20,7 +20,8 @@ def release_path(landing: str, dataset: str, tag: str) -> str:
     return f"{landing.rstrip('/')}/{dataset}/release_tag={tag}"
 
 
-def _list(spark: SparkSession, folder: str) -> list[str]:
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder of any file system, none if it does not exist."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     return [s.getPath().getName() for s in files.listStatus(path)] if files.exists(path) else []
@@ -28,7 +29,7 @@ def _list(spark: SparkSession, folder: str) -> list[str]:
 
 def landed_releases(spark: SparkSession, landing: str, dataset: str) -> list[str]:
     """Tags with a folder for the dataset; one name per release, no data is read."""
-    names = _list(spark, f"{landing.rstrip('/')}/{dataset}")
+    names = names_in(spark, f"{landing.rstrip('/')}/{dataset}")
     return sorted(n.split("=", 1)[1] for n in names if n.startswith("release_tag="))
 
 
@@ -83,9 +84,8 @@ def raw_schema(columns: Sequence[str]) -> StructType:
     return text.add(INGESTED_AT, "timestamp")
 
 
-def write_release(frame: DataFrame, landing: str, dataset: str, tag: str, files: int | None = None) -> str:
-    """Land a frame of text columns as CSV files of one release."""
+def write_release(frame: DataFrame, landing: str, dataset: str, tag: str) -> str:
+    """Land a frame of text columns as CSV files of one release: one per partition of the frame."""
     path = release_path(landing, dataset, tag)
-    out = frame.repartition(files) if files else frame
-    out.write.options(header="true", escape='"').csv(path)
+    frame.write.options(header="true", escape='"').csv(path)
     return path

@@ -14,14 +14,24 @@ from tidemark.sources import csv_release as csv
 KEYS = ["dataset", "release_tag", "file"]
 
 
+HEADER_BYTES = 1 << 16
+
+
 def _header_names(content: Column) -> Column:
-    """Column names of a file, from its first line, without byte order mark and quotes."""
-    line = F.substring_index(F.decode(content, "UTF-8"), "\n", 1)
-    return F.split(F.regexp_replace(line, "[\r\"﻿]", ""), ",")
+    """Column names of a file, from its first line, by the rules of the CSV reader: a quoted name may hold
+    commas and doubled quotes. Only the start of the content is decoded."""
+    start = F.decode(F.substring(content, 1, HEADER_BYTES), "UTF-8")
+    line = F.regexp_replace(F.substring_index(start, "\n", 1), "[\r\ufeff]", "")
+    # Every name is ended by a comma, the last one by one added here.
+    fields = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit('("(?:[^"]|"")*"|[^,]*),'), F.lit(1))
+    quoted = '^"(.*)"$'
+    return F.transform(fields, lambda f: F.when(
+        f.rlike(quoted), F.replace(F.regexp_extract(f, quoted, 1), F.lit('""'), F.lit('"'))).otherwise(f))
 
 
 def file_facts(spark: SparkSession, landing: str, dataset: str, tag: str) -> DataFrame:
-    """Digest, size and header of each file. Whole files are hashed, one file per task row."""
+    """Digest, size and header of each file. Whole files are hashed, one file per task row, so a file must
+    stay below the 2 GiB that one binary value can hold; larger releases come in more files."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(
         csv.release_path(landing, dataset, tag))
     return files.select(

@@ -35,9 +35,19 @@ class RawStore:
     def checkpoint(self, dataset: str, tag: str) -> str:
         return f"{self.root}/checkpoints/{dataset}/{tag}"
 
+    def header(self, dataset: str, tag: str | None = None) -> str:
+        folder = f"{self.root}/headers/{dataset}"
+        return f"{folder}/release_tag={tag}" if tag else folder
+
     def start(self, dataset: str, tag: str, strict: bool = True, max_files: int | None = None,
               expectations: Mapping[str, str] | None = None) -> StreamingQuery:
-        """Start one stream. The checkpoint persists, so a second run finds nothing new."""
+        """Start one stream. The checkpoint persists, so a second run finds nothing new.
+
+        The header is stored next to the segment, so the raw table never asks the landing area again.
+        """
+        columns = csv.header(self.spark, csv.release_path(self.landing, dataset, tag))
+        self.spark.createDataFrame([(columns,)], "columns array<string>").coalesce(1).write.mode(
+            "overwrite").parquet(self.header(dataset, tag))
         rows = csv.stream_snapshot(self.spark, self.landing, dataset, tag, strict, max_files)
         if expectations:
             rows = enforce(rows, expectations)
@@ -49,33 +59,62 @@ class RawStore:
         )
 
     def ingest(self, datasets: Iterable[str], tags: Sequence[str] | None = None, strict: bool = True,
-               max_files: int | None = None, expectations: Mapping[str, str] | None = None) -> int:
+               max_files: int | None = None, expectations: Mapping[str, str] | None = None, parallel: int = 4) -> int:
         """Ingest the given releases (all landed ones by default); returns the rows added.
 
-        The streams of a run go side by side and share the cluster.
+        At most ``parallel`` streams go side by side; if one fails, the others are stopped. Rows are
+        counted in the segments, before and after, whatever the number of micro-batches.
         """
-        running = [
-            self.start(dataset, tag, strict, max_files, expectations)
+        wanted = [
+            (dataset, tag)
             for dataset in datasets
             for tag in csv.landed_releases(self.spark, self.landing, dataset)
             if tags is None or tag in tags
         ]
-        added = 0
-        for stream in running:
-            stream.awaitTermination()
-            added += sum(max(p.numInputRows, 0) for p in stream.recentProgress)
-        return added
+        before = self._stored_rows(wanted)
+        running: list[StreamingQuery] = []
+        try:
+            for dataset, tag in wanted:
+                if len(running) >= parallel:
+                    running.pop(0).awaitTermination()
+                running.append(self.start(dataset, tag, strict, max_files, expectations))
+            while running:
+                running.pop(0).awaitTermination()
+        except Exception:
+            for stream in running:
+                stream.stop()
+            raise
+        return self._stored_rows(wanted) - before
+
+    def _stored_rows(self, releases: Sequence[tuple[str, str]]) -> int:
+        """Committed rows of the given releases; parquet answers this from its footers."""
+        total = 0
+        for dataset in sorted({d for d, _ in releases}):
+            tags = {t for d, t in releases if d == dataset}
+            headers = {tag: columns for tag, columns in self._headers(dataset).items() if tag in tags}
+            if headers:
+                parts = [self._read(dataset, tag, columns).select("release_tag") for tag, columns in headers.items()]
+                total += reduce(lambda a, b: a.unionByName(b), parts).count()
+        return total
+
+    def _headers(self, dataset: str) -> dict[str, list[str]]:
+        """Column names of each stored release: one row per release, read in one job."""
+        segments = set(csv.names_in(self.spark, f"{self.root}/segments/{dataset}"))
+        if not segments or not csv.names_in(self.spark, self.header(dataset)):
+            return {}
+        rows = self.spark.read.schema("columns array<string>, release_tag string").parquet(self.header(dataset)).collect()
+        return {r["release_tag"]: r["columns"] for r in sorted(rows, key=lambda r: r["release_tag"])
+                if r["release_tag"] in segments}
 
     def table(self, dataset: str, tags: Sequence[str] | None = None) -> DataFrame:
-        """The raw table. Reading a segment honours its commit log; a filter on ``release_tag``
-        drops the other segments, since the tag is a constant of each."""
-        landed = csv.landed_releases(self.spark, self.landing, dataset)
-        parts = [self._read(dataset, tag) for tag in landed if tags is None or tag in tags]
+        """The raw table, from stored segments alone. Reading a segment honours its commit log; a
+        filter on ``release_tag`` drops the other segments, since the tag is a constant of each."""
+        stored = self._headers(dataset)
+        parts = [self._read(dataset, tag, columns) for tag, columns in stored.items() if tags is None or tag in tags]
         if not parts:
-            raise FileNotFoundError(f"no release of {dataset} under {self.landing}")
+            raise FileNotFoundError(f"no release of {dataset} under {self.root}")
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
-    def _read(self, dataset: str, tag: str) -> DataFrame:
-        columns = csv.header(self.spark, csv.release_path(self.landing, dataset, tag))
+    def _read(self, dataset: str, tag: str, columns: Sequence[str]) -> DataFrame:
         rows = self.spark.read.schema(csv.raw_schema(columns)).parquet(self.segment(dataset, tag))
         return rows.withColumn("release_tag", F.lit(tag))
