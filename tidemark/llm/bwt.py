@@ -85,6 +85,16 @@ def _locate(bwt: _Column, lcp: _Column, at: np.ndarray, symbol: np.ndarray, befo
         begin = np.cumsum(count) - count
         index = np.empty(len(b), np.int64)
         index[order] = np.arange(len(b))
+        k = index[x]
+        rank = k - begin[c]
+        place[i:j] = before[c] + known.seen[c] + rank
+        inner, more = rank > 0, rank + 1 < count[c]
+        front_here = np.zeros(len(x), np.uint8)
+        front_here[inner] = 1 + _range_min(low, order[k[inner] - 1] + 1, x[inner])
+        behind[np.flatnonzero(more) + i] = 1 + _range_min(low, x[more] + 1, order[k[more] + 1])
+        if len(b) == bwt.rows:  # the only block: nothing reaches across
+            front[i:j] = front_here
+            break
         to_front = np.minimum.accumulate(low)
         to_back = np.minimum.accumulate(low[::-1])[::-1]
         present = np.flatnonzero(count)
@@ -94,17 +104,9 @@ def _locate(bwt: _Column, lcp: _Column, at: np.ndarray, symbol: np.ndarray, befo
         known.open[waiting] = -1
         known.open_since = np.minimum(known.open_since, to_front[-1])
 
-        k = index[x]
-        rank = k - begin[c]
-        place[i:j] = before[c] + known.seen[c] + rank
-        inner = rank > 0
-        front_here = np.zeros(len(x), np.uint8)
-        front_here[inner] = 1 + _range_min(low, order[k[inner] - 1] + 1, x[inner])
         outer = ~inner & (known.seen[c] > 0)
         front_here[outer] = 1 + np.minimum(known.since[c[outer]], to_front[x[outer]])
         front[i:j] = front_here
-        more = rank + 1 < count[c]
-        behind[np.flatnonzero(more) + i] = 1 + _range_min(low, x[more] + 1, order[k[more] + 1])
         last = ~more
         known.open[c[last]] = np.flatnonzero(last) + i
         known.open_since[c[last]] = np.append(to_back, np.uint8(255))[x[last] + 1]

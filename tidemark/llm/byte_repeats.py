@@ -13,7 +13,8 @@ fragments are one collection, whose Burrows-Wheeler transform and common prefixe
 
 A task groups its own fragments first: where one occurs in several of its documents, only that of the smallest
 document is sent, for the others are decided at home. So a fragment that a third of all documents hold reaches its
-bucket once per task. A fragment whose anchor no other fragment has can equal only itself and needs no sorting.
+bucket once per task. A fragment whose anchor, or the hash of whose windows, no other distinct fragment has can equal
+only itself and needs no sorting.
 
 Defined results: a null text counts as empty; texts shorter than ``width`` lose nothing. A document with a null id comes
 before and after none: it loses nothing and takes nothing from others. Of rows with one id, none is smaller.
@@ -35,7 +36,7 @@ from tidemark.llm.bwt import collection_bwt, suffix_rows
 from tidemark.llm.common import kept, pick, texts_of
 from tidemark.llm.packing import by_group, group_of, key_of, keys_of, positions_of, steps_of
 from tidemark.llm.rolling import slabs, sliding_argmin, windows
-from tidemark.llm.sketch import SketchShape, keys_present, maybe_present, maybe_repeated, merged_sketch
+from tidemark.llm.sketch import SketchShape, keys_present, maybe_present, maybe_repeated, merged_sketch, squeezed, unsqueezed
 
 ANCHOR_BYTES = 24
 WINDOWS_A_BUCKET = 3_000_000
@@ -121,7 +122,7 @@ class _Home:
                 rows.append((int(b), keys[docs].tobytes(), ids[docs].astype("<i8").tobytes(),
                              np.bincount(place).astype("<u4").tobytes(), steps_of(at[own]),
                              (anchor[own] >> np.uint64(32)).astype("<u4").tobytes(),
-                             bytes(map(len, pieces[own])), b"".join(pieces[own])))
+                             bytes(map(len, pieces[own])), squeezed(b"".join(pieces[own]))))
         if rows:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 8))],
@@ -146,6 +147,21 @@ def smallest_owners(pieces: list[bytes], owners: np.ndarray, width: int) -> np.n
     return out
 
 
+def _share_a_window(pieces: list[bytes], width: int) -> np.ndarray:
+    """False only for pieces none of whose windows has the hash of another: those need no sorting."""
+    if not pieces:
+        return np.zeros(0, bool)
+    owner = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
+    hashes = windows(np.frombuffer(b"".join(pieces), np.uint8), width)
+    inside = np.flatnonzero(owner[:len(hashes)] == owner[width - 1:])
+    order = inside[np.argsort(hashes[inside], kind="stable")]
+    equal = hashes[order[1:]] == hashes[order[:-1]]
+    shared = np.zeros(len(pieces), bool)
+    shared[owner[order[1:][equal]]] = True
+    shared[owner[order[:-1][equal]]] = True
+    return shared
+
+
 def _solved(pieces: list[bytes], anchors: np.ndarray, doc: np.ndarray, at: np.ndarray, ids: np.ndarray, width: int
             ) -> tuple[np.ndarray, np.ndarray]:
     """Documents and runs of windows that an earlier document has too, for all occurrences in a bucket."""
@@ -158,6 +174,7 @@ def _solved(pieces: list[bytes], anchors: np.ndarray, doc: np.ndarray, at: np.nd
     anchor[of] = anchors
     _, inverse, n = np.unique(anchor, return_inverse=True, return_counts=True)
     several = np.flatnonzero(n[inverse] > 1)
+    several = several[_share_a_window([distinct[i] for i in several], width)]
     sizes = np.array([len(p) for p in distinct])
     least = np.repeat(owner[:, None], int(sizes.max()) - width + 1, axis=1)
     if len(several):
@@ -216,7 +233,8 @@ def repeated_runs(docs: DataFrame, width: int, anchor: int, shape: SketchShape,
                 at.append(positions_of(r["at"]))
                 anchors.append(np.frombuffer(r["anchors"], "<u4").astype(np.int64))
                 ends = np.cumsum(np.frombuffer(r["sizes"], np.uint8)).tolist()
-                pieces += [r["data"][x:y] for x, y in zip([0, *ends[:-1]], ends, strict=True)]
+                data = unsqueezed(r["data"])
+                pieces += [data[x:y] for x, y in zip([0, *ends[:-1]], ends, strict=True)]
         if pieces:
             doc, runs = _solved(pieces, np.concatenate(anchors), np.concatenate(doc), np.concatenate(at),
                                 np.concatenate(ids), width)
@@ -244,7 +262,8 @@ def remove_repeats(documents: DataFrame, width: int = 50, anchor: int = ANCHOR_B
     bits = documents.sparkSession.sparkContext.broadcast(merged)
     parts = max(8, n_windows // WINDOWS_A_BUCKET)  # sized by the windows that were counted
     repeats = kept(repeated_runs(docs, width, anchor, shape, parts, parts, bits), "repeated-bytes")
-    present = documents.sparkSession.sparkContext.broadcast(keys_present(repeats, shape))
+    bits.destroy()  # the result is written; nothing reads the first sketch again
+    present = documents.sparkSession.sparkContext.broadcast(keys_present(repeats))
     kind = docs.schema["doc_id"].dataType.simpleString()
     results = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + (["cleaned"] if with_text else [])
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())[:len(results) - 1]
@@ -272,11 +291,11 @@ def remove_repeats(documents: DataFrame, width: int = 50, anchor: int = ANCHOR_B
             for a, b in slabs(texts, SLAB):
                 part = texts[a:b]
                 keys = [key_of(i.as_py(), t) for i, t in zip(ids.slice(a, b - a), part, strict=True)]
-                open_docs = maybe_present(keys, present.value, shape).tolist()
+                open_docs = maybe_present(keys, present.value).tolist()
                 done = [(None,) * 5 if o else told(t, none) for o, t in zip(open_docs, part, strict=True)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(group_of(keys_of(b"".join(keys)), parts), pa.int32()), pa.array(keys, pa.binary()),
-                    pa.array([t if o else None for o, t in zip(open_docs, part, strict=True)], pa.binary()),
+                    pa.array([squeezed(t) if o else None for o, t in zip(open_docs, part, strict=True)], pa.binary()),
                     ids.slice(a, b - a), *(pa.array([d[i] for d in done], k) for i, k in enumerate(kinds))],
                     names=["grp", "key", "text", *results])
 
@@ -290,7 +309,7 @@ def remove_repeats(documents: DataFrame, width: int = 50, anchor: int = ANCHOR_B
         for i, (key, t) in enumerate(zip(own.column("key").to_pylist(), own.column("text").to_pylist(), strict=True)):
             if t is not None:
                 at = runs.get(key)
-                for n, v in zip(results[1:], told(t, np.concatenate(at) if at else none), strict=False):
+                for n, v in zip(results[1:], told(unsqueezed(t), np.concatenate(at) if at else none), strict=False):
                     columns[n][i] = v
         return pa.table({"doc_id": own.column("doc_id")} | {
             n: pa.array(columns[n], k) for n, k in zip(results[1:], kinds, strict=True)})

@@ -12,6 +12,7 @@ with more input the sketch lets more through, and never holds back a repeated wi
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ FLUSH = 4_000_000
 @dataclass(frozen=True)
 class SketchShape:
     depth: int = 2
-    cells: int = 1 << 28         # a row; a power of two. 2 rows of 2^28 bits are a broadcast of 64 MB
+    cells: int = 1 << 28         # a row; a power of two. 2 rows of 2^28 bits are at most 64 MB, less while sparse
     slice_cells: int = 1 << 20
 
     @property
@@ -35,6 +36,38 @@ class SketchShape:
         return self.cells // self.slice_cells
 
 
+#: Of documents there are far fewer than of anchors: 4 MB at most.
+DOCUMENTS = SketchShape(cells=1 << 24)
+
+
+def squeezed(data: bytes) -> bytes:
+    """The length, and the data compressed."""
+    return struct.pack("<q", len(data)) + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unsqueezed(data: bytes) -> bytes:
+    return pa.decompress(data[8:], struct.unpack("<q", data[:8])[0], codec="zstd", asbytes=True)
+
+
+class PackedBits:
+    """The bits of a merged sketch, compressed on their way, expanded once in each process that asks for them."""
+
+    def __init__(self, bits: np.ndarray) -> None:
+        self.shape, self.data, self.open = bits.shape, squeezed(bits.tobytes()), None
+
+    def __getstate__(self) -> tuple:
+        return self.shape, self.data
+
+    def __setstate__(self, state: tuple) -> None:
+        self.shape, self.data = state
+        self.open = None
+
+    def bits(self) -> np.ndarray:
+        if self.open is None:
+            self.open = np.frombuffer(unsqueezed(self.data), np.uint8).reshape(self.shape)
+        return self.open
+
+
 def cells_of(hashes: np.ndarray, shape: SketchShape) -> Iterator[np.ndarray]:
     """The cell of each hash in each row."""
     for row in range(shape.depth):
@@ -50,14 +83,14 @@ def _sent(hashes: np.ndarray, shape: SketchShape) -> Iterator[pa.RecordBatch]:
         for s in np.flatnonzero(np.diff(bounds)):
             part, many = cell[bounds[s]:bounds[s + 1]] - s * shape.slice_cells, n[bounds[s]:bounds[s + 1]] > 1
             slices.append(row * shape.slices + int(s))
-            once.append(np.diff(part[~many], prepend=0).astype("<u4").tobytes())
-            often.append(np.diff(part[many], prepend=0).astype("<u4").tobytes())
+            once.append(squeezed(np.diff(part[~many], prepend=0).astype("<u4").tobytes()))
+            often.append(squeezed(np.diff(part[many], prepend=0).astype("<u4").tobytes()))
     yield pa.RecordBatch.from_arrays(
         [pa.array(slices, pa.int32()), pa.array(once, pa.binary()), pa.array(often, pa.binary())], names=names)
 
 
 def merged_sketch(docs: DataFrame, anchors: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, int]]],
-                  shape: SketchShape) -> tuple[np.ndarray, int]:
+                  shape: SketchShape) -> tuple[PackedBits, int]:
     """The bits of all counters that reached two, and the number of windows in all.
 
     ``anchors(batch)`` gives hashes of anchors, and the windows that they stand for.
@@ -87,10 +120,10 @@ def merged_sketch(docs: DataFrame, anchors: Callable[[pa.RecordBatch], Iterator[
                     continue
                 if s not in counters:
                     counters[s] = np.zeros(shape.slice_cells, np.uint8)
-                at = np.cumsum(np.frombuffer(once, "<u4").astype(np.int64))
+                at = np.cumsum(np.frombuffer(unsqueezed(once), "<u4").astype(np.int64))
                 counters[s][at] = np.minimum(2, counters[s][at] + 1)
-                counters[s][np.cumsum(np.frombuffer(often, "<u4").astype(np.int64))] = 2
-        out = [(s, np.packbits(c > 1).tobytes()) for s, c in counters.items()]
+                counters[s][np.cumsum(np.frombuffer(unsqueezed(often), "<u4").astype(np.int64))] = 2
+        out = [(s, squeezed(np.packbits(c > 1).tobytes())) for s, c in counters.items()]
         out.append((-1, np.array([windows], "<i8").tobytes()))
         yield pa.RecordBatch.from_arrays(
             [pa.array([s for s, _ in out], pa.int32()), pa.array([b for _, b in out], pa.binary())],
@@ -105,13 +138,13 @@ def merged_sketch(docs: DataFrame, anchors: Callable[[pa.RecordBatch], Iterator[
         if r["slice"] < 0:
             windows += int(np.frombuffer(r["bits"], "<i8")[0])
         else:
-            bits[r["slice"]] = np.frombuffer(r["bits"], np.uint8)
-    return bits.reshape(shape.depth, -1), windows
+            bits[r["slice"]] = np.frombuffer(unsqueezed(r["bits"]), np.uint8)
+    return PackedBits(bits.reshape(shape.depth, -1)), windows
 
 
-def maybe_repeated(hashes: np.ndarray, bits: np.ndarray, shape: SketchShape) -> np.ndarray:
+def maybe_repeated(hashes: np.ndarray, packed: PackedBits, shape: SketchShape) -> np.ndarray:
     """False only for hashes that were counted once at most."""
-    hit = np.ones(len(hashes), bool)
+    hit, bits = np.ones(len(hashes), bool), packed.bits()
     for row, cells in enumerate(cells_of(hashes, shape)):
         hit &= (bits[row][cells >> 3] >> (7 - (cells & 7)).astype(np.uint8) & 1).astype(bool)
     return hit
@@ -121,15 +154,15 @@ def _key_hashes(keys: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(keys[:, :8]).view("<u8")[:, 0]
 
 
-def keys_present(packed: DataFrame, shape: SketchShape) -> np.ndarray:
+def keys_present(packed: DataFrame) -> PackedBits:
     """A sketch of the document keys in a packed table: which documents have anything to remove."""
     def keys(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, int]]:
         for own in batch.column("keys").to_pylist():
             yield np.repeat(_key_hashes(np.frombuffer(own, np.uint8).reshape(-1, 16)), 2), 0  # twice: seen is enough
 
-    return merged_sketch(packed.select("keys"), keys, shape)[0]
+    return merged_sketch(packed.select("keys"), keys, DOCUMENTS)[0]
 
 
-def maybe_present(keys: list[bytes], bits: np.ndarray, shape: SketchShape) -> np.ndarray:
+def maybe_present(keys: list[bytes], packed: PackedBits) -> np.ndarray:
     """False only for documents that have nothing to remove."""
-    return maybe_repeated(_key_hashes(np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 16)), bits, shape)
+    return maybe_repeated(_key_hashes(np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 16)), packed, DOCUMENTS)
