@@ -85,7 +85,8 @@ def anti_joins(spark: SparkSession, folder: str) -> DataFrame:
 @query("J5", """
     SELECT o_orderkey, o_custkey FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey WHERE l_orderkey IS NULL""")
 def left_join_is_null(spark: SparkSession, folder: str) -> DataFrame:
-    lines = read_table(spark, folder, "lineitem").select("l_orderkey")
+    # One row per order, so that no line is joined only to be dropped.
+    lines = read_table(spark, folder, "lineitem").select("l_orderkey").distinct()
     joined = read_table(spark, folder, "orders").join(lines, C("o_orderkey") == C("l_orderkey"), "left")
     return joined.filter(C("l_orderkey").isNull()).select("o_orderkey", "o_custkey")
 
@@ -129,18 +130,18 @@ def supplier_pairs(spark: SparkSession, folder: str) -> DataFrame:
 @query("J8 W6", """
     SELECT month, nation, ifnull(amount, 0)::DOUBLE AS amount,
            sum(ifnull(amount, 0)) OVER (PARTITION BY nation ORDER BY month)::DOUBLE AS running
-    FROM (SELECT DISTINCT month(o_orderdate)::BIGINT AS month FROM orders WHERE year(o_orderdate) = 1998)
+    FROM (SELECT DISTINCT (year(o_orderdate) * 12 + month(o_orderdate))::BIGINT AS month FROM orders)
     CROSS JOIN (SELECT DISTINCT c_nationkey::BIGINT AS nation FROM customer)
-    LEFT JOIN (SELECT month(o_orderdate)::BIGINT AS month, c_nationkey::BIGINT AS nation,
+    LEFT JOIN (SELECT (year(o_orderdate) * 12 + month(o_orderdate))::BIGINT AS month, c_nationkey::BIGINT AS nation,
                       sum(o_totalprice::DECIMAL(18,2)) AS amount
                FROM orders JOIN customer ON c_custkey = o_custkey
-               WHERE year(o_orderdate) = 1998 AND o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' GROUP BY 1, 2)
+               WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' GROUP BY 1, 2)
       USING (month, nation)""")
 def densified_months(spark: SparkSession, folder: str) -> DataFrame:
-    """Every nation in every month, from sparse sums, by carrying rows forward."""
-    orders = read_table(spark, folder, "orders").filter(F.year("o_orderdate") == 1998)
+    """Every nation in every month of all years, from sparse sums, by carrying rows forward."""
+    orders = read_table(spark, folder, "orders")
     customers = read_table(spark, folder, "customer").select("c_custkey", C("c_nationkey").alias("nation"))
-    month = F.month("o_orderdate").cast("bigint")
+    month = (F.year("o_orderdate") * 12 + F.month("o_orderdate")).cast("bigint")
     wanted = orders.filter((C("o_orderpriority") == "1-URGENT") & (C("o_orderstatus") == "F"))
     # Folded per customer before the join with nations.
     per_customer = wanted.groupBy("o_custkey", month.alias("month")).agg(

@@ -8,6 +8,7 @@ from tidemark.catalog.registry import query
 from tidemark.plans import dashboard
 from tidemark.plans.gold import preferred_standings
 from tidemark.plans.retail import Retail
+from tidemark.session import stored
 
 _STANDINGS = """source_points::DOUBLE AS source_points, calculated_points::DOUBLE AS calculated_points,
     points_difference::DOUBLE AS points_difference"""
@@ -82,12 +83,14 @@ def _constructor_career(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("D16 W1 A4", f"WITH {_DRIVER_CAREER} SELECT * FROM d_ranked")
 def dashboard_driver_career(spark: SparkSession, folder: str) -> DataFrame:
-    return dashboard.with_career_ranks(_driver_career(spark, folder), "driver_id")
+    ranked = dashboard.with_career_ranks(stored(_driver_career(spark, folder), "careers"), "driver_id")
+    return ranked.orderBy(*dashboard.career_order("driver_id"))
 
 
 @query("D17 W1 A5", f"WITH {_CONSTRUCTOR_CAREER} SELECT * FROM c_ranked")
 def dashboard_constructor_career(spark: SparkSession, folder: str) -> DataFrame:
-    return dashboard.with_career_ranks(_constructor_career(spark, folder), "constructor_id")
+    ranked = dashboard.with_career_ranks(stored(_constructor_career(spark, folder), "careers"), "constructor_id")
+    return ranked.orderBy(*dashboard.career_order("constructor_id"))
 
 
 _RESULTS = """
@@ -143,27 +146,25 @@ def _career_summary_sql(career: str, ranked: str, entity: str) -> str:
     SELECT count(*) AS row_count, count(DISTINCT {entity}_id) AS identities,
            count(*) FILTER ({entity}_name IS NULL) AS missing_names, sum(championships)::BIGINT AS titles,
            sum(race_wins)::BIGINT AS wins,
-           count(*) FILTER (titles_rank < 11 AND championships > 0) AS top_titles,
-           count(*) FILTER (wins_rank < 11 AND race_wins > 0) AS top_wins,
-           count(*) FILTER (podiums_rank < 11 AND race_podiums > 0) AS top_podiums
+           count(*) FILTER (titles_rank <= 10 AND championships > 0) AS top_titles,
+           count(*) FILTER (wins_rank <= 10 AND race_wins > 0) AS top_wins,
+           count(*) FILTER (podiums_rank <= 10 AND race_podiums > 0) AS top_podiums
     FROM {ranked}"""
 
 
 @query("D22 A7", _career_summary_sql(_DRIVER_CAREER, "d_ranked", "driver"))
 def driver_career_summary(spark: SparkSession, folder: str) -> DataFrame:
-    ranked = dashboard.with_career_ranks(_driver_career(spark, folder), "driver_id")
-    return dashboard.career_summary(ranked, "driver")
+    return dashboard.career_summary(stored(_driver_career(spark, folder), "careers"), "driver")
 
 
 @query("D22", _career_summary_sql(_CONSTRUCTOR_CAREER, "c_ranked", "constructor"))
 def constructor_career_summary(spark: SparkSession, folder: str) -> DataFrame:
-    ranked = dashboard.with_career_ranks(_constructor_career(spark, folder), "constructor_id")
-    return dashboard.career_summary(ranked, "constructor")
+    return dashboard.career_summary(stored(_constructor_career(spark, folder), "careers"), "constructor")
 
 
 @query("D22", f"""
     SELECT season, count(*) AS row_count, sum(race_wins)::BIGINT AS race_wins,
-           count(*) FILTER (race_wins < 1) AS invalid_winners
+           count(*) FILTER (race_wins <= 0) AS invalid_winners
     FROM ({_DRIVER_WINS}) GROUP BY 1""")
 def drivers_wins_summary(spark: SparkSession, folder: str) -> DataFrame:
     r = Retail(spark, folder)

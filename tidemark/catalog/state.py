@@ -100,9 +100,12 @@ def merge_change_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("M5 D26", f"SELECT * FROM {_SNAP.format(2024010000)}")
 def current_view(spark: SparkSession, folder: str) -> DataFrame:
-    """The merge-free form of the current table, from the raw rows of all releases."""
+    """The merge-free form of the current table: each release, taken from the raw rows of all, overwrites it."""
     raw = all_snapshots(spark, folder)
-    return S.current_view(raw.filter(C("seq") == TAGS["v2024.10.0"])).select(*KEYS, *TRACKED)
+    table = S.VersionedTable(spark, scratch(spark, "current-view"))
+    for tag in ("v2024.2.0", "v2024.10.0"):
+        state = S.overwrite_current(table, raw.filter(C("seq") == TAGS[tag]).select(*KEYS, *TRACKED), TAGS[tag])
+    return state
 
 
 _STORED = "(SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders)"

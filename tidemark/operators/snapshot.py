@@ -54,9 +54,10 @@ def change_counts(changes: DataFrame) -> DataFrame:
     return changes.groupBy(F.col("_change").alias("change")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def current_view(snapshot: DataFrame) -> DataFrame:
-    """The merge-free form: with a complete snapshot the next state is the snapshot."""
-    return snapshot
+def overwrite_current(table: VersionedTable, snapshot: DataFrame, version: int) -> DataFrame:
+    """The merge-free form: a complete snapshot replaces the current table; readers see the new state."""
+    table.publish(snapshot, version)
+    return table.read()
 
 
 def empty_like(frame: DataFrame) -> DataFrame:

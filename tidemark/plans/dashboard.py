@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import results as R
 from tidemark.functions import text as T
 from tidemark.functions.measures import count_where, flag, known, zero_fill
-from tidemark.operators.ranking import global_rank
+from tidemark.operators.ranking import global_rank, top_k
 
 
 def driver_standings_view(driver_season: DataFrame) -> DataFrame:
@@ -105,9 +105,10 @@ def rank_orders(key: str) -> dict[str, list[Column]]:
 
 
 def with_career_ranks(career: DataFrame, key: str) -> DataFrame:
-    """The three independent ranks over all rows."""
+    """The three independent ranks over all rows. Only the key and the order columns are sorted and checkpointed."""
     for name, order in rank_orders(key).items():
-        career = global_rank(career, name, order)
+        narrow = career.select(key, "championships", "race_wins", "race_podiums")
+        career = career.join(global_rank(narrow, name, order).select(key, name), key)
     return career
 
 
@@ -159,18 +160,27 @@ def widget(dataset: DataFrame, fields: Sequence[str], sums: Sequence[str] = (),
     return dataset.groupBy(*fields).agg(*[F.sum(c).alias(f"sum_{c}") for c in sums])
 
 
-def career_summary(ranked: DataFrame, entity: str) -> DataFrame:
-    def top(rank: str, measure: str) -> Column:
-        return count_where((F.col(rank) <= 10) & (F.col(measure) > 0))
+def career_order(key: str) -> list[Column]:
+    """The order in which careers are listed: most titles first, then wins, podiums, and the key."""
+    return [F.col("championships").desc(), F.col("race_wins").desc(), F.col("race_podiums").desc(), F.col(key)]
 
-    return ranked.agg(
-        F.count(F.lit(1)).alias("row_count"), F.count_distinct(f"{entity}_id").alias("identities"),
+
+def career_summary(career: DataFrame, entity: str) -> DataFrame:
+    """Totals of all careers, and how many of the ten best by each measure have any of it.
+
+    Each top ten is a top-k of its own: no rank of all rows is needed for it. ``career`` is read four times.
+    """
+    key = f"{entity}_id"
+    totals = career.agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct(key).alias("identities"),
         count_where(F.col(f"{entity}_name").isNull()).alias("missing_names"),
-        F.sum("championships").alias("titles"), F.sum("race_wins").alias("wins"),
-        top("titles_rank", "championships").alias("top_titles"),
-        top("wins_rank", "race_wins").alias("top_wins"),
-        top("podiums_rank", "race_podiums").alias("top_podiums"),
-    )
+        F.sum("championships").alias("titles"), F.sum("race_wins").alias("wins"))
+    tops = {"titles_rank": ("championships", "top_titles"), "wins_rank": ("race_wins", "top_wins"),
+            "podiums_rank": ("race_podiums", "top_podiums")}
+    orders = rank_orders(key)
+    return totals.select("*", *[
+        top_k(career, 10, orders[rank]).agg(count_where(F.col(measure) > 0)).scalar().alias(name)
+        for rank, (measure, name) in tops.items()])
 
 
 def wins_summary(wins: DataFrame) -> DataFrame:
