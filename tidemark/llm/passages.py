@@ -4,9 +4,9 @@ A window is ``width`` consecutive words of one document. Every word under a wind
 in the same document too, is removed. Windows are judged on the input.
 
 First pass: a sketch of the anchors of all windows (see ``sketch``). Second pass: windows whose anchor may be repeated
-are grouped exactly, by 128 bits of their words. A task groups its own windows first and sends one of each kind, so a
-window that a third of all documents hold reaches its group once per task. Third pass: results meet the documents,
-of which only those with such a window carry their text through the shuffle.
+are grouped, by 96 bits of their words. A task groups its own windows first and sends one of each kind, so a
+window that a third of all documents hold reaches its group once per task. Third pass: results meet the documents.
+A second sketch, of the documents that lose something, lets only those carry their text through the shuffle.
 
 Defined results: a null text counts as empty; texts with fewer words than a window lose nothing. Copies of a text lose
 all windows, each row for itself. Null ids are allowed. Repeated rows stay rows. An empty table gives an empty
@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import pick, texts_of
+from tidemark.llm.common import kept, pick, texts_of
 from tidemark.llm.packing import by_group, group_of, key_of, keys_of, positions_of, steps_of
 from tidemark.llm.rolling import TABLE64, mixed, slabs, sliding_argmin, windows
-from tidemark.llm.sketch import SketchShape, maybe_repeated, merged_sketch
+from tidemark.llm.sketch import SketchShape, keys_present, maybe_present, maybe_repeated, merged_sketch, squeezed, unsqueezed
 
 ANCHOR_WORDS = 10
 WINDOWS_A_TASK = 1_000_000
@@ -104,13 +104,15 @@ class _Candidates:
         self.clear()
 
     def clear(self) -> None:
-        self.high, self.low, self.doc, self.at = [], [], [], []
+        self.high, self.low, self.bucket, self.doc, self.at = [], [], [], [], []
         self.keys: list[bytes] = []
         self.size = 0
 
-    def add(self, high: np.ndarray, low: np.ndarray, doc: np.ndarray, at: np.ndarray, keys: list[bytes]) -> None:
+    def add(self, high: np.ndarray, low: np.ndarray, anchor: np.ndarray, doc: np.ndarray, at: np.ndarray,
+            keys: list[bytes]) -> None:
         self.high.append(high)
         self.low.append(low)
+        self.bucket.append((anchor % np.uint64(self.buckets)).astype(np.int32))
         self.doc.append(doc + len(self.keys))
         self.at.append(at)
         self.keys += keys
@@ -119,7 +121,7 @@ class _Candidates:
     def send(self) -> Iterator[pa.RecordBatch]:
         if not self.size:
             return
-        high, low, doc, at = (np.concatenate(x) for x in (self.high, self.low, self.doc, self.at))
+        high, low, bucket, doc, at = (np.concatenate(x) for x in (self.high, self.low, self.bucket, self.doc, self.at))
         order = np.lexsort((low, high))
         h, g = high[order], low[order]
         new = np.ones(len(h), bool)
@@ -132,8 +134,10 @@ class _Candidates:
         # What repeats at home is decided here; it travels as finished positions of documents.
         rows += [(g % self.buckets, own, counts, steps, b"", b"", b"") for g, own, counts, steps in by_group(
             doc[order][again], at[order][again], keys, self.groups)]
-        high, low, doc, at, many = h[first], g[first], doc[order][first], at[order][first], n > 1
-        bucket = (high % np.uint64(self.buckets)).astype(np.int64)
+        # The bucket comes from the anchor, which equal windows share, so a run of windows stays together and its
+        # document is named once.
+        high, low, many = h[first], g[first], n > 1
+        bucket, doc, at = bucket[order][first], doc[order][first], at[order][first]
         order = np.lexsort((at, doc, bucket))
         bounds = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
         for b in np.flatnonzero(np.diff(bounds)):
@@ -161,12 +165,12 @@ def repeated_windows(docs: DataFrame, width: int, anchor: int, shape: SketchShap
                 if not len(starts):
                     continue
                 chosen = maybe_repeated(anchors, bits.value, shape)[number]
-                starts = starts[chosen]
+                starts, number = starts[chosen], number[chosen]
                 if not len(starts):
                     continue
                 owner = words.owner[starts]
                 docs_here, place = np.unique(owner, return_inverse=True)
-                held.add(windows(one, width)[starts], windows(words.hashes(1), width)[starts], place,
+                held.add(windows(one, width)[starts], windows(words.hashes(1), width)[starts].astype(np.uint32), anchors[number], place,
                          starts - words.first[owner], [key_of(ids[a + d], texts[a + d]) for d in docs_here])
                 if held.size >= HELD_WINDOWS:
                     yield from held.send()
@@ -192,7 +196,7 @@ def repeated_windows(docs: DataFrame, width: int, anchor: int, shape: SketchShap
                 keys.append(own)
                 at.append(positions_of(r["at"]))
                 high.append(np.frombuffer(r["high"], np.uint64))
-                low.append(np.frombuffer(r["low"], np.uint64))
+                low.append(np.frombuffer(r["low"], np.uint32))
                 many.append(np.unpackbits(np.frombuffer(r["many"], np.uint8), count=len(at[-1])).astype(bool))
         if not keys:
             return
@@ -228,7 +232,9 @@ def remove_repeated(documents: DataFrame, width: int = 35, anchor: int = ANCHOR_
     found, n_windows = merged_sketch(docs, sketched, shape)
     bits = spark.sparkContext.broadcast(found)
     parts = max(8, n_windows // WINDOWS_A_TASK)  # sized by the windows that were counted
-    repeats = repeated_windows(docs, width, anchor, shape, parts * 4, parts, bits)
+    repeats = kept(repeated_windows(docs, width, anchor, shape, parts * 4, parts, bits), "repeated-windows")
+    bits.destroy()  # the result is written; nothing reads the first sketch again
+    present = spark.sparkContext.broadcast(keys_present(repeats))
     kind = docs.schema["doc_id"].dataType.simpleString()
     results = ["doc_id", "n_words", "n_removed", "kept_sha256"] + (["cleaned"] if with_text else [])
     schema = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + (", cleaned string" if with_text else "")
@@ -244,20 +250,17 @@ def remove_repeated(documents: DataFrame, width: int = 35, anchor: int = ANCHOR_
     none = np.zeros(0, np.int64)
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """All documents; those without a candidate are finished here and travel without their text."""
+        """All documents; those that lose nothing are finished here and travel without their text."""
         names = ["grp", "key", "text", *results]
         for batch in batches:
             texts, ids = texts_of(batch), batch.column("doc_id")
             for a, b in slabs(texts):
-                words = Words(texts[a:b])
-                starts, number, anchors = anchored(words, width, anchor, words.hashes(0))
-                chosen = maybe_repeated(anchors, bits.value, shape)[number] if len(starts) else np.zeros(0, bool)
-                open_docs = set(np.unique(words.owner[starts[chosen]]).tolist())
                 keys = [key_of(i.as_py(), t) for i, t in zip(ids.slice(a, b - a), texts[a:b], strict=True)]
-                done = [(None,) * 4 if i in open_docs else told(t.split(), none) for i, t in enumerate(texts[a:b])]
+                open_docs = maybe_present(keys, present.value).tolist()
+                done = [(None,) * 4 if o else told(t.split(), none) for o, t in zip(open_docs, texts[a:b], strict=True)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(group_of(keys_of(b"".join(keys)), parts), pa.int32()), pa.array(keys, pa.binary()),
-                    pa.array([t if i in open_docs else None for i, t in enumerate(texts[a:b])], pa.binary()),
+                    pa.array([squeezed(t) if o else None for o, t in zip(open_docs, texts[a:b], strict=True)], pa.binary()),
                     ids.slice(a, b - a),
                     *(pa.array([d[i] for d in done], k) for i, k in enumerate(
                         (pa.int64(), pa.int64(), pa.string(), pa.string())[:len(results) - 1]))], names=names)
@@ -272,7 +275,7 @@ def remove_repeated(documents: DataFrame, width: int = 35, anchor: int = ANCHOR_
         for i, (key, t) in enumerate(zip(own.column("key").to_pylist(), own.column("text").to_pylist(), strict=True)):
             if t is not None:
                 at = starts.get(key)
-                for n, v in zip(results[1:], told(t.split(), np.unique(np.concatenate(at)) if at else none), strict=False):
+                for n, v in zip(results[1:], told(unsqueezed(t).split(), np.unique(np.concatenate(at)) if at else none), strict=False):
                     columns[n][i] = v
         return pa.table({"doc_id": own.column("doc_id")} | {
             n: pa.array(columns[n], own.schema.field(n).type) for n in results[1:]})
