@@ -316,7 +316,7 @@ def explore_positions_gained(spark: SparkSession, folder: str) -> DataFrame:
           FROM {_RECENT} WHERE started AND country_id <> '{VENUE}' GROUP BY 1, 2) USING (season, driver_id)
     WHERE r.country_id = '{VENUE}' AND r.started""")
 def explore_venue_context(spark: SparkSession, folder: str) -> DataFrame:
-    return X.venue_against_season(Explore(spark, folder).recent, VENUE).orderBy(
+    return X.venue_against_season(stored(Explore(spark, folder).recent, "recent"), VENUE).orderBy(
         F.col("season").desc(), F.col("difference_from_other_races").desc())
 
 

@@ -19,6 +19,7 @@ from tidemark.operators import quality
 from tidemark.operators.groups import chunked_running_total, dense_running_total, with_group_totals
 from tidemark.operators.pairs import member_pairs
 from tidemark.operators.ranking import top_k
+from tidemark.session import stored
 
 C = F.col
 RACES_PER_CHUNK = 100_000
@@ -119,7 +120,9 @@ def season_progression(facts: DataFrame, races: DataFrame, drivers: DataFrame, p
     weekend = latest_release(facts, published).groupBy(
         "_release_seq", "season", "round", "race_id", "driver_id").agg(F.sum("points").alias("weekend_points"))
     # The race joins first, while the rows may still be partitioned by it.
-    weekend = weekend.join(races.select("_release_seq", "race_id", "race_date"), ["_release_seq", "race_id"])
+    # It is stored, since the running total reads it for the chunks and for the rows.
+    weekend = stored(weekend.join(races.select("_release_seq", "race_id", "race_date"), ["_release_seq", "race_id"]),
+                     "weekend")
     # race_id breaks ties where a round has more than one race, and its range bounds a chunk: there
     # is one row per driver and race, so a chunk has at most RACES_PER_CHUNK rows.
     chunk = F.struct("round", F.expr(f"race_id div {RACES_PER_CHUNK}"))
@@ -388,10 +391,19 @@ def quality_report(silver: dict[str, DataFrame], profile: DataFrame, recent: Dat
         return seasons_between(frame, first, last).filter(C("source_points") != C("calculated_points"))
 
     race_keys = ["race_id", "season", "round"]
-    delta = profile.agg(rows().alias("n")).unionByName(silver["race_results"].agg((-rows()).alias("n")))
+    # What is counted over single rows of the profile is one aggregate of it.
+    in_scope = C("season").between(first, last)
+    counted = profile.agg(
+        rows().alias("race_profile_join_row_delta"),
+        count_where(C("race_date") > F.lit(as_of)).alias("future_dated_results"),
+        count_where(in_scope & ~is_finished() & (C("points") > 0)).alias("non_finishers_with_points_recent"))
+    results = silver["race_results"].agg((-rows()).alias("race_profile_join_row_delta"), *[
+        F.lit(0).cast("bigint").alias(c) for c in counted.columns[1:]])
+    both = counted.unionByName(results).agg(*[F.sum(c).alias(c) for c in counted.columns])
+    single_rows = both.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("check_name"), C(c).alias("failures")) for c in counted.columns])).alias("x")).select("x.*")
     return quality.union_rows([
-        delta.agg(F.sum("n").alias("failures")).select(
-            F.lit("race_profile_join_row_delta").alias("check_name"), "failures"),
+        single_rows,
         groups("race_profile_duplicate_grain", profile, ["race_id", "driver_id", "car_number"], 1),
         reference("races", "circuits", ["circuit_id"], "circuits_missing_for_races"),
         reference("race_results", "drivers", ["driver_id"], "drivers_missing_for_race_results"),
@@ -404,8 +416,6 @@ def quality_report(silver: dict[str, DataFrame], profile: DataFrame, recent: Dat
         reference("constructor_standings", "constructors", ["constructor_id"],
                   "constructors_missing_for_standings"),
         groups("more_than_two_recent_team_entries", recent, ["race_id", "constructor_id"], 2),
-        quality.failures("future_dated_results", profile.filter(C("race_date") > F.lit(as_of))),
-        quality.failures("non_finishers_with_points_recent", recent.filter(~is_finished() & (C("points") > 0))),
         quality.failures(f"driver_points_mismatches_{first}_{last}", differing(driver_seasons)),
         quality.failures(f"constructor_points_mismatches_{first}_{last}", differing(constructor_seasons)),
         quality.failures("missing_recent_race_results", quality.missing_references(
