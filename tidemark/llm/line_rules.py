@@ -49,8 +49,10 @@ def _quoted(phrases: tuple[str, ...]) -> str:
     return "|".join(p.replace(".", r"\.") for p in phrases)
 
 
-def _length_without(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, characters, ""))
+def _count(text: Column, characters: str) -> Column:
+    """How many of the characters a text holds; most texts hold none, which a plain scan tells."""
+    pattern = "[" + "".join("\\" + c if c in "[]^\\-&" else c for c in characters) + "]"
+    return F.when(text.rlike(pattern), F.regexp_count(text, F.lit(pattern))).otherwise(F.lit(0))
 
 
 def repeated_words(words: Column, width: int) -> Column:
@@ -102,30 +104,35 @@ def _cover(positions: Column, width: int) -> Column:
 def line_passes(line: Column, n_words: Column, rules: LineRules) -> Column:
     """The rules of one line with at least one word."""
     low = F.lower(F.trim(line))
-    punctuation = (_length_without(line, SENTENCE_MARKS) > 0) & (
-        _length_without(line, SYMBOLS) * 100 <= n_words * rules.symbols_per_100_words)
-    separators = _length_without(line, SEPARATORS)
+    punctuation = line.rlike(f"[{SENTENCE_MARKS}]") & (
+        _count(line, SYMBOLS) * 100 <= n_words * rules.symbols_per_100_words)
+    separators = _count(line, SEPARATORS)
     navigation = low.rlike(rf"^[^a-z]*(?:{_quoted(NAVIGATION)})[^a-z]*$") | (
         (separators >= rules.separators) & (separators * 100 >= n_words * rules.separator_share))
     boilerplate = low.rlike(_quoted(BOILERPLATE))
     return punctuation & ~navigation & ~boilerplate
 
 
+def words_by_line(frame: DataFrame, text: str) -> DataFrame:
+    """Adds ``line`` (the lines of the text) and ``line_words`` (the words of each).
+
+    A text without white space but spaces and line feeds is split at single spaces, which needs no pattern.
+    """
+    value = F.coalesce(F.col(text), F.lit(""))
+    at = F.when(value.rlike(r"[\t\x0B\f\r]"), F.lit(SPACE)).otherwise(F.lit(" "))
+    return frame.withColumn("line", F.split(value, "\n")).withColumn("_at", at).withColumn(
+        "line_words", F.transform("line", lambda x: F.filter(F.split(x, F.col("_at")), lambda w: w != F.lit("")))).drop("_at")
+
+
 def clean_lines(frame: DataFrame, text: str = "text", rules: LineRules = LineRules()) -> DataFrame:
-    """Adds ``lines`` (text, words, passes), ``cleaned`` (passing lines) and ``kept_words``.
+    """Adds ``lines`` (line, words, passes), ``cleaned`` (passing lines) and ``kept_words``, and the words by line.
 
     Blank lines stay where they are: they hold nothing to judge.
     """
-    value = F.coalesce(F.col(text), F.lit(""))
-    lines = F.transform(
-        F.split(value, "\n"),
-        lambda line: F.struct(
-            line.alias("line"),
-            F.size(F.filter(F.split(line, SPACE), lambda w: w != F.lit(""))).alias("words")))
-    judged = F.transform(lines, lambda x: F.struct(
-        x["line"].alias("line"), x["words"].alias("words"),
-        ((x["words"] == 0) | line_passes(x["line"], x["words"], rules)).alias("passes")))
-    with_lines = frame.withColumn("lines", judged)
+    split = words_by_line(frame, text)
+    judged = F.zip_with("line", F.transform("line_words", lambda w: F.size(w)), lambda x, n: F.struct(
+        x.alias("line"), n.alias("words"), ((n == 0) | line_passes(x, n, rules)).alias("passes")))
+    with_lines = split.withColumn("lines", judged).drop("line")
     passing = F.filter("lines", lambda x: x["passes"])
     return (with_lines
             .withColumn("cleaned", F.array_join(F.transform(passing, lambda x: x["line"]), "\n"))
@@ -137,17 +144,15 @@ def judge(documents: DataFrame, rules: LineRules = LineRules(), doc_id: str = "d
     """One row per document: its measures, the cleaned text, and whether it is kept."""
     docs = pick(documents, doc_id=doc_id, text=text)
     value = F.coalesce(F.col("text"), F.lit(""))
-    measured = clean_lines(docs, "text", rules)
+    measured = clean_lines(docs, "text", rules).withColumn("words", F.flatten("line_words")).drop("line_words")
     with_word = F.transform(F.filter("lines", lambda x: x["words"] > 0), lambda x: x["line"])
-    words = F.filter(F.split(value, SPACE), lambda w: w != F.lit(""))
     measured = measured.select(
         "doc_id", "cleaned", "kept_words", "lines",
-        F.size(words).cast("long").alias("n_words"),
-        F.length(F.translate(value, " \t\n\x0b\f\r", "")).cast("long").alias("word_chars"),
-        _length_without(value, SYMBOLS).cast("long").alias("n_symbols"),
+        F.size("words").cast("long").alias("n_words"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        _count(value, SYMBOLS).cast("long").alias("n_symbols"),
         (F.size(with_word) - F.size(F.array_distinct(with_word))).cast("long").alias("n_dup_lines"),
-        F.aggregate(F.array(words), F.lit(0), lambda n, w: n + repeated_words(w, rules.window))
-        .cast("long").alias("n_repeat_words"),
+        repeated_words(F.col("words"), rules.window).cast("long").alias("n_repeat_words"),
         F.size(F.filter("lines", lambda x: ~x["passes"])).cast("long").alias("n_failed_lines"))
     base_failed = (F.col("n_words") < rules.min_words) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * rules.max_repeated_words)
