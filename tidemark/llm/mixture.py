@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import WORD, carry, kept, pick, words_column
 from tidemark.operators.ranking import global_rank
 
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 1_000
 LEAST_WEIGHT = 0.05
 
 
