@@ -35,7 +35,7 @@ from tidemark.llm.rolling import gear, slabs
 
 CUT_BITS = 9                # chunks of 512 bytes on average
 CHUNK_CACHE_BYTES = 96 << 20
-WORD_CACHE = 500_000
+WORD_CACHE = 450_000        # words of the newer half; the older half holds as many at most
 _SPACES = b" \t\n\r\x0b\x0c"
 
 
@@ -80,7 +80,8 @@ class Encoder:
             raise ValueError("this tokenizer keeps white space; its words can't be encoded alone")
         self.tokens = [(self.tokenizer.id_to_token(i) or "").encode()
                        for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
-        self.words: dict[bytes, tuple[bytes, bytes]] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.chunks: dict[bytes, tuple[bytes, bytes, bytes, bytes]] = {}
         self.chunk_bytes = 0
 
@@ -91,38 +92,48 @@ class Encoder:
         return cls._loaded[path]
 
     def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Encode new words, many in one text, kept apart by a sign that none of them holds."""
-        sign = next((s for s in "☃☄★☆☇" if not any(s.encode() in w for w in words)), None)
-        if sign is None:
-            for w in words:
-                self._remember(w, self._ids(w.decode()))
-            return
-        mark = self._ids(sign)
-        for at in range(0, len(words), 4000):
-            part = words[at:at + 4000]
-            ids = np.array(self._ids(f" {sign} ".join(w.decode() for w in part)), np.uint32)
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Makes the ids of the words known. New ones are encoded many in one text, kept apart by a sign that none
+        of them holds. When the newer half of the memory is full, it takes the place of the older one; words that
+        are still in use move over, so common words are never encoded twice."""
+        if len(self.words) > WORD_CACHE:
+            self.older, self.words = self.words, {}
+        new = []
+        for w in words:
+            if w not in self.words:
+                ids = self.older.get(w)
+                if ids is None:
+                    new.append(w)
+                else:
+                    self.words[w] = ids
+        for at in range(0, len(new), 4000):
+            part = new[at:at + 4000]
+            plain = b" ".join(part)
+            sign = next((s for s in "\x01\x02☃★☇" if s.encode() not in plain), None)
+            if sign is None:
+                for w in part:
+                    self.words[w] = np.array(self._ids(w.decode()), "<u4").tobytes()
+                continue
+            mark = self._ids(sign)
+            ids = np.array(self._ids(f" {sign} ".encode().join(part).decode()), "<u4")
             hits = np.ones(max(0, len(ids) - len(mark) + 1), bool)
             for k, m in enumerate(mark):
                 hits &= ids[k:len(ids) - len(mark) + 1 + k] == m
             ends = [*np.flatnonzero(hits).tolist(), len(ids)]
             if len(ends) != len(part):
                 raise AssertionError("words ran together")
-            begin = 0
+            raw, begin = ids.tobytes(), 0
             for w, end in zip(part, ends, strict=True):
-                self._remember(w, ids[begin:end].tolist())
+                self.words[w] = raw[4 * begin:4 * end]
                 begin = end + len(mark)
 
-    def _remember(self, word: bytes, ids: list[int]) -> None:
-        tokens = self.tokens
-        self.words[word] = (np.array(ids, "<u4").tobytes(), b" ".join([tokens[i] for i in ids]))
+    def _decoded(self, ids: bytes) -> bytes:
+        return b" ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
     def encode(self, documents: list[list[bytes]]) -> Iterator[tuple[bytes, bytes]]:
         """Ids (little-endian, 32 bits) and decoded text of documents given as chunks."""
-        if len(self.words) > WORD_CACHE:
-            self.words = {}
         if self.chunk_bytes > CHUNK_CACHE_BYTES:
             self.chunks, self.chunk_bytes = {}, 0
         fresh: dict[bytes, tuple[bytes, list[bytes], bytes]] = {}
@@ -148,22 +159,21 @@ class Encoder:
             own.append(carry)
             wanted.update(w for w in own if w)
             joins.append(own)
-        self._learn([w for w in wanted if w not in self.words])
+        self._learn(wanted)
         memo = self.words
         for chunk, (head, words, tail) in fresh.items():
-            found = [memo[w] for w in words]
-            found = [f for f in found if f[0]]
-            ids, decoded = b"".join([f[0] for f in found]), b" ".join([f[1] for f in found])
+            ids = b"".join([memo[w] for w in words])
+            decoded = self._decoded(ids)
             self.chunks[chunk] = (head, ids, decoded, tail)
             self.chunk_bytes += 2 * len(chunk) + len(ids) + len(decoded) + 400
         for chunks, own in zip(documents, joins, strict=True):
             ids, decoded = [], []
             for chunk, join in zip([*chunks, None], own, strict=True):
                 if join:
-                    i, d = memo[join]
+                    i = memo[join]
                     if i:
                         ids.append(i)
-                        decoded.append(d)
+                        decoded.append(self._decoded(i))
                 if chunk is not None and join is not None:
                     _, i, d, _ = self.chunks[chunk]
                     if i:
