@@ -21,7 +21,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.llm.common import kept, pick, texts_of
 from tidemark.llm.packing import by_group, group_of, key_of, keys_of, positions_of, steps_of
