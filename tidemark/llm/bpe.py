@@ -34,8 +34,8 @@ from tidemark.llm.common import pick, texts_of
 from tidemark.llm.rolling import gear, slabs
 
 CUT_BITS = 9                # chunks of 512 bytes on average
-CHUNK_CACHE_BYTES = 96 << 20
-WORD_CACHE = 450_000        # words of the newer half; the older half holds as many at most
+CHUNK_CACHE_BYTES = 48 << 20
+WORD_CACHE = 350_000        # words of the newer half; the older half holds as many at most
 _SPACES = b" \t\n\r\x0b\x0c"
 
 

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import uuid
-from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +13,7 @@ from tidemark.session import scratch
 #: Words are runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
+ARROW_ROWS = 2_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -49,15 +48,6 @@ def kept(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def run_name(prefix: str) -> str:
-    return f"{prefix}-{uuid.uuid4().hex[:12]}"
-
-
-def arrow_map(frame: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
-    return frame.mapInArrow(work, schema)
-
-
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     """UTF-8 bytes of a text column, null as empty."""
     return [b"" if x is None else x for x in batch.column(column).cast(pa.binary()).to_pylist()]
@@ -71,11 +61,13 @@ def words_column(text: Column) -> Column:
 def reachable(spark: SparkSession) -> SparkSession:
     """Lets Python workers on this file system import the package, wherever the driver was started.
 
-    A cluster gets the package with ``--py-files`` or installed, as any other.
+    A cluster gets the package with ``--py-files`` or installed, as any other. Batches of rows with whole texts
+    are kept smaller than Spark's default, which bounds the memory of the workers.
     """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark
