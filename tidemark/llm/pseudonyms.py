@@ -9,6 +9,11 @@ Kinds: e-mail addresses (their local part), IPv4 addresses, payment cards (Luhn)
 (assigned ranges), phone numbers, dates (calendar, 1900 to 2099), and credentials (access keys, ``password=``
 and ``token =`` values). Anything that fails its kind's check is left as it is.
 
+Digits beside a value never hide it. E-mail addresses and credentials are taken first. Then come card numbers in their usual
+groups: of all places where such a form begins, overlapping ones too, those whose number passes Luhn. Then
+dates, social security numbers, addresses and phone numbers, and last runs of 13 to 19 digits with any single separators,
+which count as cards where the whole run passes Luhn.
+
 Defined results: null stays null, empty stays empty, text without such values stays byte for byte. Repeated
 rows and ties are treated alike. Other columns pass through untouched, clashing names included. An empty
 table gives an empty result. Texts are read whole.
@@ -37,6 +42,9 @@ FORMS = {
     "phone": (r"(?<![0-9A-Za-z])(?:\+?[0-9]{1,3}[ .\-])?(?:\([0-9]{3}\) ?|[0-9]{3}[ .\-])"
               r"[0-9]{3}[ .\-][0-9]{4}(?![0-9])"),
 }
+#: Groups that cards are printed in, or none. Only one of them can begin at a place.
+CARD_GROUPS = (r"(?<![0-9])(?:[0-9]{4}(?:[ \-][0-9]{4}){3}|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{4,5}|[0-9]{4}(?:[ \-][0-9]{3}){3}"
+               r"|[0-9]{13,19})(?![0-9])")
 ANY_FORM = "|".join(f"(?:{form})" for form in FORMS.values())
 #: Every form needs one of these, so most texts are passed over by a plain scan.
 HINT = r"[0-9@]|AKIA|ASIA|password=|token = "
@@ -211,33 +219,59 @@ def _credential(key: str, value: Column) -> Column:
         key + "credential", value.substr(F.length(prefix) + 1, F.length(value))))
 
 
-def pseudonym(key: str, value: Column) -> Column:
-    """The pseudonym of one found value, by the first form that it has in full."""
-    makers = {"email": _email, "credential": None, "date": _date, "ssn": _ssn, "ip": _ip, "card": _card,
-              "phone": _phone}
+def pseudonym(key: str, value: Column, kinds: tuple[str, ...] = tuple(FORMS)) -> Column:
+    """The pseudonym of one found value of some kinds, by the first form that it has in full."""
+    makers = {"email": _email, "date": _date, "ssn": _ssn, "ip": _ip, "card": _card, "phone": _phone,
+              "credential": _credential}
+    ordered = [k for k in makers if k in kinds]
     found = None
-    for kind, make in makers.items():
-        if make is None:
-            continue
+    for kind in ordered[:-1]:
         has = value.rlike(f"^(?:{FORMS[kind]})$")
-        found = F.when(has, make(key, value)) if found is None else found.when(has, make(key, value))
-    return found.otherwise(_credential(key, value))
+        found = F.when(has, makers[kind](key, value)) if found is None else found.when(has, makers[kind](key, value))
+    last = makers[ordered[-1]](key, value)
+    return last if found is None else found.otherwise(last)
+
+
+def _replaced(text: Column, form: Column, make, rest) -> Column:
+    """``make`` of what has the form and ``rest`` of the pieces between, put together in order: nothing else can change."""
+    def rebuilt(found: Column) -> Column:
+        pieces = F.transform(F.split(text, form, -1), rest)
+        changed = F.concat(F.transform(found, make), F.array(F.lit("")))
+        return F.array_join(F.zip_with(pieces, changed, lambda p, v: F.concat(p, v)), "")
+
+    return _let(F.regexp_extract_all(text, form, F.lit(0)), rebuilt)
+
+
+def _any_of(*kinds: str) -> Column:
+    return F.lit("|".join(f"(?:{FORMS[k]})" for k in kinds))
+
+
+def _without_cards(key: str, text: Column) -> Column:
+    kinds = ("date", "ssn", "ip", "phone")
+    return _replaced(text, _any_of(*kinds), lambda v: pseudonym(key, v, kinds),
+                     lambda p: _replaced(p, _any_of("card"), lambda v: _card(key, v), lambda q: q))
+
+
+def _numbers(key: str, text: Column) -> Column:
+    """A text without addresses and credentials: valid cards first, then what stands between them."""
+    def cards(valid: Column) -> Column:
+        # (?!) matches nowhere, for texts without a valid card.
+        form = F.concat(F.lit("(?<![0-9])(?:"), F.array_join(F.concat(valid, F.array(F.lit("(?!)"))), "|"), F.lit(")(?![0-9])"))
+        return _replaced(text, form, lambda v: _card(key, v), lambda p: _without_cards(key, p))
+
+    # A match of no length lets the next one begin inside the number that it has looked at.
+    begun = F.regexp_extract_all(text, F.lit(f"(?=({CARD_GROUPS}))"), F.lit(1))
+    return _let(F.filter(begun, lambda v: _let(_digits(v), luhn_sum) % 10 == 0), cards)
 
 
 def replace_personal_data(frame: DataFrame, key: str, text: str = "text") -> DataFrame:
     """The frame with the values in its text column replaced. All other columns stay as they are.
 
-    Texts without a value skip the work. The pieces between matches and the pseudonyms are put back
-    together in order, so nothing else of the text can change.
+    Texts without a value skip the work.
     """
     inner, names = carry(frame)
     column = F.col(f"_in{names.index(text)}")
-
-    def rebuilt(found: Column) -> Column:
-        pieces = F.split(column, ANY_FORM, -1)
-        changed = F.concat(F.transform(found, lambda v: pseudonym(key, v)), F.array(F.lit("")))
-        return F.array_join(F.zip_with(pieces, changed, lambda p, v: F.concat(p, v)), "")
-
-    new = F.when(column.rlike(HINT) & column.rlike(ANY_FORM), _let(F.regexp_extract_all(column, F.lit(f"({ANY_FORM})"), F.lit(0)), rebuilt)
-                 ).otherwise(column)
+    named = ("email", "credential")
+    new = F.when(column.rlike(HINT) & column.rlike(ANY_FORM), _replaced(
+        column, _any_of(*named), lambda v: pseudonym(key, v, named), lambda p: _numbers(key, p))).otherwise(column)
     return inner.withColumn(f"_in{names.index(text)}", new).toDF(*names)
