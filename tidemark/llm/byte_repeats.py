@@ -78,6 +78,7 @@ class _Home:
     def clear(self) -> None:
         self.table: dict[bytes, list] = {}
         self.keys: list[bytes] = []
+        self.seen: set[bytes] = set()
         self.ids: list[int] = []
         self.gone_doc: list[int] = []
         self.gone_run: list[int] = []
@@ -86,31 +87,28 @@ class _Home:
     def add(self, piece: bytes, anchor: int, doc: int, at: int) -> None:
         entry = self.table.get(piece)
         if entry is None:
-            self.table[piece] = [anchor, doc, [at]]
+            self.table[piece] = [anchor, doc, [(doc, at)]]
             self.held += len(piece) + 300
             return
-        run = len(piece.rstrip(b"\xff")) - self.width + 1
+        run = len(piece) - self.width + 1
         if self.ids[doc] > self.ids[entry[1]]:
             self.gone_doc.append(doc)
             self.gone_run.append(at << _LENGTH_BITS | run)
-        elif doc == entry[1]:
-            entry[2].append(at)
         elif self.ids[doc] < self.ids[entry[1]]:
-            self.gone_doc += [entry[1]] * len(entry[2])
-            self.gone_run += [a << _LENGTH_BITS | run for a in entry[2]]
-            entry[1:] = [doc, [at]]
-        else:  # another row with the same id: neither is smaller, both wait for the bucket, told apart by a
-            # byte that UTF-8 doesn't have
-            self.add(piece + b"\xff" * (2 + len(entry[2])), anchor, doc, at)
+            self.gone_doc += [d for d, _ in entry[2]]
+            self.gone_run += [a << _LENGTH_BITS | run for _, a in entry[2]]
+            entry[1:] = [doc, [(doc, at)]]
+        else:  # the same document, or another row with its id: neither is smaller, all wait for the bucket
+            entry[2].append((doc, at))
         self.held += 80
 
     def send(self) -> Iterator[pa.RecordBatch]:
         keys, ids = keys_of(b"".join(self.keys)), np.array(self.ids, np.int64)
         rows = [(g % self.buckets, own, b"", counts, steps, b"", b"", b"") for g, own, counts, steps in by_group(
             np.array(self.gone_doc, np.int64), np.array(self.gone_run, np.int64), keys, self.groups)]
-        flat = [(p, e[0], e[1], a) for p, e in self.table.items() for a in e[2]]
+        flat = [(p, e[0], d, a) for p, e in self.table.items() for d, a in e[2]]
         if flat:
-            pieces = np.array([p.rstrip(b"\xff") for p, *_ in flat], object)
+            pieces = np.array([p for p, *_ in flat], object)
             anchor = np.array([f[1] for f in flat], np.uint64)
             doc, at = (np.array([f[i] for f in flat], np.int64) for i in (2, 3))
             bucket = (anchor % np.uint64(self.buckets)).astype(np.int64)
@@ -203,9 +201,15 @@ def repeated_runs(docs: DataFrame, width: int, anchor: int, shape: SketchShape,
                     if ids[a + o] is None:
                         continue
                     if o not in known:
-                        known[o] = len(home.ids)
-                        home.ids.append(ids[a + o])
-                        home.keys.append(key_of(ids[a + o], texts[a + o]))
+                        key = key_of(ids[a + o], texts[a + o])
+                        # What a row loses is known by its id and text: rows that repeat here have all been said.
+                        known[o] = -1 if key in home.seen else len(home.ids)
+                        if known[o] >= 0:
+                            home.seen.add(key)
+                            home.ids.append(ids[a + o])
+                            home.keys.append(key)
+                    if known[o] < 0:
+                        continue
                     home.add(found.data[s:s + n + width - 1], h, known[o], s - int(found.first[o]))
                 if home.held >= HELD_BYTES:
                     yield from home.send()
