@@ -2,7 +2,10 @@
 
 import random
 
-from tidemark.llm import byte_repeats
+import numpy as np
+
+from tidemark.llm import byte_repeats, passages
+from tidemark.llm.rolling import mixed
 
 
 def runs(rows, spark, **more):
@@ -18,3 +21,52 @@ def test_byte_repeats_of_many_equal_ids(spark):
         (9, len(passage) + 5, len(passage), f"{i:05d}".encode()) for i in range(2_000)])
     rows = [(9, f"{i:05d}{passage}") for i in range(2_000)]
     assert {r[2] for r in runs(rows, spark)} == {0}
+
+
+def hot_rows(between):
+    """One phrase in ever other surroundings, some of which occur twice."""
+    rng = random.Random(11)
+    word = lambda: f"{rng.randrange(10**6):06d}"
+    frames = [([word() for _ in range(30)], [word() for _ in range(30)]) for _ in range(120)]
+    frames += frames[:20]
+    return [(i, " ".join([*before, between, *after])) for i, (before, after) in enumerate(frames)]
+
+
+def watched(monkeypatch, module):
+    """The hot anchors that a run finds."""
+    hot = []
+    plain = module.hot_anchors
+    monkeypatch.setattr(module, "hot_anchors", lambda *a: hot.append(plain(*a)) or hot[-1])
+    return hot
+
+
+def test_byte_repeats_with_hot_anchors(spark, monkeypatch):
+    rows = hot_rows("- " * 40)
+    expected = runs(rows, spark)
+    monkeypatch.setattr(byte_repeats, "HOT_FRAGMENTS", 20)
+    hot = watched(monkeypatch, byte_repeats)
+    assert runs(rows, spark) == expected and len(hot[0])
+    assert sum(r[2] for r in expected) > 0
+
+
+def test_passages_with_hot_anchors(spark, monkeypatch):
+    rows = hot_rows("the " * 12)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    expected = sorted(map(tuple, passages.remove_repeated(frame).collect()))
+    monkeypatch.setattr(passages, "HOT_WINDOWS", 20)
+    hot = watched(monkeypatch, passages)
+    assert sorted(map(tuple, passages.remove_repeated(frame).collect())) == expected and len(hot[0])
+    assert sum(r[2] for r in expected) > 0
+
+
+def test_windows_of_a_hot_anchor_are_dealt(spark):
+    """4,000 windows of one anchor go to many buckets if it is hot, and to one if not; equal windows share theirs."""
+    anchor, high = np.full(4_000, 77, np.uint64), mixed(np.arange(4_000, dtype=np.uint64) // np.uint64(2))
+    used = {}
+    for hot in ([], [77]):
+        held = passages._Candidates(64, 4, np.array(hot, np.uint64))
+        held.add(high, high.astype(np.uint32), anchor, np.zeros(4_000, np.int64), np.arange(4_000), [b"k" * 16])
+        bucket = held.bucket[0]
+        assert (bucket[0::2] == bucket[1::2]).all()
+        used[len(hot)] = len(set(bucket.tolist()))
+    assert used == {0: 1, 1: 64}

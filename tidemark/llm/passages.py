@@ -4,7 +4,8 @@ A window is ``width`` consecutive words of one document. Every word under a wind
 in the same document too, is removed. Windows are judged on the input.
 
 First pass: a sketch of the anchors of all windows (see ``sketch``). Second pass: windows whose anchor may be repeated
-are grouped, by 96 bits of their words. A task groups its own windows first and sends one of each kind, so a
+are grouped, by 96 bits of their words. The windows of an anchor share a bucket, but for anchors with more than
+``HOT_WINDOWS`` of them, which are counted before: their windows are dealt by their own hash. A task groups its own windows first and sends one of each kind, so a
 window that a third of all documents hold reaches its group once per task. Third pass: results meet the documents.
 A second sketch, of the documents that lose something, lets only those carry their text through the shuffle.
 
@@ -25,11 +26,12 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import kept, pick, texts_of
 from tidemark.llm.packing import by_group, group_of, key_of, keys_of, positions_of, steps_of
 from tidemark.llm.rolling import TABLE64, mixed, slabs, sliding_argmin, windows
-from tidemark.llm.sketch import SketchShape, keys_present, maybe_present, maybe_repeated, merged_sketch, squeezed, unsqueezed
+from tidemark.llm.sketch import SketchShape, among, hot_anchors, keys_present, maybe_present, maybe_repeated, merged_sketch, squeezed, unsqueezed
 
 ANCHOR_WORDS = 10
 WINDOWS_A_TASK = 1_000_000
 HELD_WINDOWS = 3_000_000
+HOT_WINDOWS = 1 << 18
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\x0b\x0c")] = True
 
@@ -98,8 +100,8 @@ def anchored(words: Words, width: int, size: int, hashes: np.ndarray) -> tuple[n
 class _Candidates:
     """Windows that a task holds, to be grouped at home before one of each kind is sent."""
 
-    def __init__(self, buckets: int, groups: int) -> None:
-        self.buckets, self.groups = buckets, groups
+    def __init__(self, buckets: int, groups: int, hot: np.ndarray) -> None:
+        self.buckets, self.groups, self.hot = buckets, groups, hot
         self.clear()
 
     def clear(self) -> None:
@@ -111,6 +113,7 @@ class _Candidates:
             keys: list[bytes]) -> None:
         self.high.append(high)
         self.low.append(low)
+        anchor = np.where(among(anchor, self.hot), high, anchor)
         self.bucket.append((anchor % np.uint64(self.buckets)).astype(np.int32))
         self.doc.append(doc + len(self.keys))
         self.at.append(at)
@@ -134,7 +137,7 @@ class _Candidates:
         rows += [(g % self.buckets, own, counts, steps, b"", b"", b"") for g, own, counts, steps in by_group(
             doc[order][again], at[order][again], keys, self.groups)]
         # The bucket comes from the anchor, which equal windows share, so a run of windows stays together and its
-        # document is named once.
+        # document is named once; windows of a hot anchor go by their own hash.
         high, low, many = h[first], g[first], n > 1
         bucket, doc, at = bucket[order][first], doc[order][first], at[order][first]
         order = np.lexsort((at, doc, bucket))
@@ -151,10 +154,22 @@ class _Candidates:
 
 
 def repeated_windows(docs: DataFrame, width: int, anchor: int, shape: SketchShape, buckets: int, groups: int,
-                     bits) -> DataFrame:
+                     bits, n_windows: int) -> DataFrame:
     """grp, keys, counts, at: window starts that are repeated, packed by group of documents."""
+    def kinds(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        texts = texts_of(batch)
+        for a, b in slabs(texts):
+            words = Words(texts[a:b])
+            one = words.hashes(0)
+            starts, number, anchors = anchored(words, width, anchor, one)
+            if len(starts):
+                chosen = maybe_repeated(anchors, bits.value, shape)[number]
+                yield anchors[number[chosen]], windows(one, width)[starts[chosen]]
+
+    hot = hot_anchors(docs, kinds, HELD_WINDOWS, HOT_WINDOWS, n_windows)
+
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Candidates(buckets, groups)
+        held = _Candidates(buckets, groups, hot)
         for batch in batches:
             texts, ids = texts_of(batch), batch.column("doc_id").to_pylist()
             for a, b in slabs(texts):
@@ -231,7 +246,7 @@ def remove_repeated(documents: DataFrame, width: int = 35, anchor: int = ANCHOR_
     found, n_windows = merged_sketch(docs, sketched, shape)
     bits = spark.sparkContext.broadcast(found)
     parts = max(8, n_windows // WINDOWS_A_TASK)  # sized by the windows that were counted
-    repeats = kept(repeated_windows(docs, width, anchor, shape, parts * 4, parts, bits), "repeated-windows")
+    repeats = kept(repeated_windows(docs, width, anchor, shape, parts * 4, parts, bits, n_windows), "repeated-windows")
     bits.destroy()  # the result is written; nothing reads the first sketch again
     present = spark.sparkContext.broadcast(keys_present(repeats))
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm.rolling import mixed
 
@@ -166,3 +167,48 @@ def keys_present(packed: DataFrame) -> PackedBits:
 def maybe_present(keys: list[bytes], packed: PackedBits) -> np.ndarray:
     """False only for documents that have nothing to remove."""
     return maybe_repeated(_key_hashes(np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 16)), packed, DOCUMENTS)
+
+
+def hot_anchors(docs: DataFrame, kinds, held: int, bound: int, items: int) -> np.ndarray:
+    """Anchors, in order, with at least ``bound`` kinds of neighbourhoods, each kind counted once every ``held`` items.
+
+    ``kinds`` yields anchors and hashes of neighbourhoods for a batch. A count is sent where it is a share of the bound that
+    as many senders could add up to a quarter of it, so few rows travel, and no anchor above 5/4 of the bound is missed. At
+    most ``items / bound`` anchors come to the driver.
+    """
+    senders = docs.rdd.getNumPartitions() + items // held
+    least = max(1, bound // (4 * senders))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have: list[np.ndarray] = []
+
+        def told() -> Iterator[pa.RecordBatch]:
+            if have:
+                both = np.concatenate(have)
+                have.clear()
+                both = both[np.lexsort((both[:, 1], both[:, 0]))]
+                new = np.ones(len(both), bool)
+                new[1:] = (both[1:] != both[:-1]).any(axis=1)
+                anchors, n = np.unique(both[new, 0], return_counts=True)
+                many = n >= least
+                yield pa.RecordBatch.from_arrays([pa.array(anchors[many].view(np.int64)), pa.array(n[many], pa.int64())], names=["anchor", "n"])
+
+        size = 0
+        for batch in batches:
+            for anchors, hashes in kinds(batch):
+                have.append(np.stack([anchors, hashes], axis=1))
+                size += len(anchors)
+                if size >= held:
+                    yield from told()
+                    size = 0
+        yield from told()
+
+    rows = docs.mapInArrow(counted, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).filter(F.col("n") >= bound)
+    return np.sort(np.array([r["anchor"] for r in rows.collect()], np.int64).view(np.uint64))
+
+
+def among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which values are in an ordered array."""
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
