@@ -6,7 +6,9 @@ judged as they came, and strings never reach from one into the next.
 The suffixes of a whole corpus are no single task's work, and one round per byte of the longest document would never
 end, so the collection is cut first, and losslessly. Windows that could be equal share an anchor (see ``sketch``), a
 count-min sketch drops the windows whose anchor occurs once, and neighbouring windows with one anchor make one fragment
-of at most ``2 * width - anchor`` bytes. All fragments of an anchor go to one bucket. There the distinct
+of at most ``2 * width - anchor`` bytes. All fragments of an anchor go to one bucket, but for anchors with
+more than ``HOT_FRAGMENTS`` distinct ones, which are counted before: their fragments are cut into single windows, and the hash of a
+window stands for the anchor, so that equal windows still meet and no bucket holds all of them. In a bucket the distinct
 fragments are one collection, whose Burrows-Wheeler transform and common prefixes are built column by column (see
 ``bwt``): as many rounds as a fragment has bytes, whatever the length of documents. Runs of common prefixes of
 ``width`` bytes or more are equal strings, and each run has its smallest document.
@@ -29,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,11 +39,13 @@ from tidemark.llm.bwt import collection_bwt, suffix_rows
 from tidemark.llm.common import kept, pick, texts_of
 from tidemark.llm.packing import by_group, group_of, key_of, keys_of, positions_of, steps_of
 from tidemark.llm.rolling import slabs, sliding_argmin, windows
-from tidemark.llm.sketch import SketchShape, keys_present, maybe_present, maybe_repeated, merged_sketch, squeezed, unsqueezed
+from tidemark.llm.sketch import SketchShape, among, hot_anchors, keys_present, maybe_present, maybe_repeated, merged_sketch, squeezed, unsqueezed
 
 ANCHOR_BYTES = 24
 WINDOWS_A_BUCKET = 3_000_000
 HELD_BYTES = 48 << 20
+HELD_FRAGMENTS = 1_000_000
+HOT_FRAGMENTS = 1 << 16
 SLAB = 1 << 19
 _LENGTH_BITS = 8   # a run of windows in a fragment is at most 255 long
 
@@ -186,8 +191,22 @@ def _solved(pieces: list[bytes], anchors: np.ndarray, doc: np.ndarray, at: np.nd
     return doc[row], (at[row] + begin) << _LENGTH_BITS | (end - begin)
 
 
-def repeated_runs(docs: DataFrame, width: int, anchor: int, shape: SketchShape, buckets: int, groups: int, bits) -> DataFrame:
+def repeated_runs(docs: DataFrame, width: int, anchor: int, shape: SketchShape, buckets: int, groups: int, bits,
+                  n_windows: int) -> DataFrame:
     """grp, keys, counts, at: runs of window starts to remove, packed by group of documents."""
+    def kinds(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Two fragments of an anchor are alike if their first and last windows are."""
+        texts = texts_of(batch)
+        for a, b in slabs(texts, SLAB):
+            found = Fragments(texts[a:b], width, anchor)
+            chosen = np.flatnonzero(maybe_repeated(found.anchors, bits.value, shape))
+            if len(chosen):
+                hashes = windows(np.frombuffer(found.data, np.uint8), width)
+                start = found.start[chosen]
+                yield found.anchors[chosen], hashes[start] + np.uint64(3) * hashes[start + found.size[chosen] - 1]
+
+    hot = hot_anchors(docs, kinds, HELD_FRAGMENTS, HOT_FRAGMENTS, n_windows // 8)
+
     def fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         home = _Home(width, buckets, groups)
         for batch in batches:
@@ -196,8 +215,9 @@ def repeated_runs(docs: DataFrame, width: int, anchor: int, shape: SketchShape,
                 found = Fragments(texts[a:b], width, anchor)
                 chosen = np.flatnonzero(maybe_repeated(found.anchors, bits.value, shape))
                 known: dict[int, int] = {}
-                for s, n, o, h in zip(found.start[chosen].tolist(), found.size[chosen].tolist(),
-                                      found.owner[chosen].tolist(), found.anchors[chosen].tolist(), strict=True):
+                much = among(found.anchors[chosen], hot).tolist()
+                for s, n, o, h, m in zip(found.start[chosen].tolist(), found.size[chosen].tolist(), found.owner[chosen].tolist(),
+                                         found.anchors[chosen].tolist(), much, strict=True):
                     if ids[a + o] is None:
                         continue
                     if o not in known:
@@ -210,7 +230,13 @@ def repeated_runs(docs: DataFrame, width: int, anchor: int, shape: SketchShape,
                             home.keys.append(key)
                     if known[o] < 0:
                         continue
-                    home.add(found.data[s:s + n + width - 1], h, known[o], s - int(found.first[o]))
+                    at = s - int(found.first[o])
+                    if m:
+                        for i in range(n):
+                            window = found.data[s + i:s + i + width]
+                            home.add(window, xxhash.xxh64_intdigest(window), known[o], at + i)
+                    else:
+                        home.add(found.data[s:s + n + width - 1], h, known[o], at)
                 if home.held >= HELD_BYTES:
                     yield from home.send()
         yield from home.send()
@@ -265,7 +291,7 @@ def remove_repeats(documents: DataFrame, width: int = 50, anchor: int = ANCHOR_B
     merged, n_windows = merged_sketch(docs, sketched, shape)
     bits = documents.sparkSession.sparkContext.broadcast(merged)
     parts = max(8, n_windows // WINDOWS_A_BUCKET)  # sized by the windows that were counted
-    repeats = kept(repeated_runs(docs, width, anchor, shape, parts, parts, bits), "repeated-bytes")
+    repeats = kept(repeated_runs(docs, width, anchor, shape, parts, parts, bits, n_windows), "repeated-bytes")
     bits.destroy()  # the result is written; nothing reads the first sketch again
     present = documents.sparkSession.sparkContext.broadcast(keys_present(repeats))
     kind = docs.schema["doc_id"].dataType.simpleString()
