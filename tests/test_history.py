@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from conftest import rows
+from bags import rows
 from tidemark.operators import history as H
 from tidemark.operators.parity import bag_diff
 from tidemark.operators.quality import CheckFailed, raise_if_failed

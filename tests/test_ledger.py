@@ -1,6 +1,6 @@
 """The truth table of the release guards."""
 
-from conftest import rows
+from bags import rows
 from tidemark.operators import ledger as L
 from tidemark.plans.schema import TERMINAL_TASKS
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import rows
+from bags import rows
 from tidemark.functions import releases
 from tidemark.operators import groups, pairs, parity, quality, ranking
 from tidemark.operators import snapshot as S

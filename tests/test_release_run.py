@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from bags import rows
 from tidemark.operators.quality import CheckFailed
 from tidemark.plans import dashboard, gold, silver, verification
 from tidemark.plans.release_run import ReleaseRun
