@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, byte_repeats, line_rules, mixture, passages, pseudonyms, quality_votes, simhash, voronoi_knn, warc
+from tidemark.llm import (alignment, bpe, byte_repeats, line_rules, mixture, passages, pseudonyms, quality_votes, simhash, two_fit, variants,
+                          voronoi_knn, warc)
 from tidemark.llm.common import reachable, table
 from tidemark.llm.oracle import SQL
 from tidemark.session import tune
@@ -16,8 +17,10 @@ from tidemark.session import tune
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = dict(SQL)
 
-#: The tokenizer file of the registered queries; every worker has the package.
+#: The tokenizer files of the registered queries; every worker has the package.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 #: The key of the pseudonyms in the registered query; a real run takes its own from a secret store.
 KEY = "registered-query"
 
@@ -90,3 +93,21 @@ def op9_voronoi_knn(spark: SparkSession, folder: str) -> DataFrame:
 def op10_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that stand in a repeated window of 35 words, removed."""
     return passages.remove_repeated(table(spark, folder, "documents"), with_text=False)
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Every frequent word with its near words, its more frequent form, and the root that its forms lead to."""
+    return variants.spelling_forms(table(spark, folder, "documents"))
+
+
+@query
+def op12_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """The tokens of every document, in pieces packed into sequences of 2,048."""
+    return two_fit.pack(table(spark, folder, "documents"), BYTE_TOKENIZER)
+
+
+@query
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers in every document."""
+    return alignment.align(table(spark, folder, "documents"), BYTE_TOKENIZER, PIECE_TOKENIZER)
