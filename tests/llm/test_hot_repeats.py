@@ -5,7 +5,8 @@ import random
 import numpy as np
 
 from tidemark.llm import byte_repeats, passages
-from tidemark.llm.rolling import mixed
+from tidemark.llm.rolling import joined_windows, mixed
+from tidemark.llm.shingles import shingle_sets
 
 
 def runs(rows, spark, **more):
@@ -70,3 +71,25 @@ def test_windows_of_a_hot_anchor_are_dealt(spark):
         assert (bucket[0::2] == bucket[1::2]).all()
         used[len(hot)] = len(set(bucket.tolist()))
     assert used == {0: 1, 1: 64}
+
+
+def thue_morse():
+    """1,024 letters and their complement: polynomial hashes modulo 2^64 are equal for every odd base."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_polynomial_hashes_confuse(spark):
+    one, other = thue_morse()
+    tail = " ".join(f"w{i}" for i in range(34))
+    frame = spark.createDataFrame([(1, f"{one} {tail}"), (2, f"{other} {tail}")], "doc_id long, text string")
+    assert [r["n_removed"] for r in passages.remove_repeated(frame).collect()] == [0, 0]
+    swapped = [" ".join("xy"[b == "b"] for b in t) for t in (one, other)]
+    assert not set(joined_windows(passages.Words([swapped[0].encode()]).hashes(0), 1024)) & set(
+        joined_windows(passages.Words([swapped[1].encode()]).hashes(0), 1024))
+    assert jaccard_of(one, other) == 0
+
+
+def jaccard_of(one, other):
+    a, b = shingle_sets([f"{t} p q r s u".encode() for t in (one, other)], 5)
+    return len(np.intersect1d(a, b)) - 1  # the five words behind are shared

@@ -31,7 +31,6 @@ from tidemark.llm.byte_tokens import ByteEncoder
 from tidemark.llm.common import kept, pick, texts_of
 from tidemark.llm.packing import positions_of, steps_of
 from tidemark.llm.rolling import slabs
-from tidemark.llm.sketch import squeezed, unsqueezed
 
 BLOCK_BYTES = 3 << 20
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
@@ -117,7 +116,7 @@ class Aligner:
         have = [n for n, f in enumerate(found) if f is not None]
         rows: list[tuple[int, int, int, int, str]] = [(0, 0, 0, 0, "")] * len(texts)
         if not have:
-            return rows, np.zeros(0, np.int64), np.zeros(0, np.int64), squeezed(b"")
+            return rows, np.zeros(0, np.int64), np.zeros(0, np.int64), steps_of(np.zeros(0, np.int64))
         a, b = (np.concatenate([found[n][side] for n in have]) for side in (0, 1))
         # Both sides have the same bytes in each text, so the texts stay aligned end to end.
         a_ends, b_ends = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
@@ -137,7 +136,7 @@ class Aligner:
                        hashlib.sha256(written[:-1].encode()).hexdigest())
         pairs, number, count = np.unique(a[left] << 32 | b[right], return_inverse=True, return_counts=True)
         of = np.repeat(np.array(have, np.int64), np.diff(first_link))
-        return rows, pairs, count, squeezed(steps_of(np.sort(of * len(pairs) + number)))
+        return rows, pairs, count, steps_of(np.sort(of * len(pairs) + number))
 
 
 def blocks(documents: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -189,7 +188,7 @@ def align(documents: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id"
         links[at], best[at] = answers.column("links").to_numpy(), answers.column("best").to_numpy()
         row = own.slice(0, 1)
         flat = {c: row.column(c).combine_chunks().flatten() for c in ("doc_id", *_COUNTS, "groups_sha256")}
-        key = positions_of(unsqueezed(row.column("links")[0].as_py()))
+        key = positions_of(row.column("links")[0].as_py())
         pair = key % max(1, len(links))
         edge = np.searchsorted(key, np.arange(len(flat["n_a"]) + 1) * len(links)) if len(links) else np.zeros(len(flat["n_a"]) + 1, np.int64)
         sums = [np.diff(np.append(0, np.cumsum(v[pair]))[edge]) for v in (best, links)]

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bwt import collection_bwt, suffix_rows
 from tidemark.llm.common import kept, pick, texts_of
-from tidemark.llm.packing import by_group, group_of, key_of, keys_of, positions_of, steps_of
+from tidemark.llm.packing import by_group, counts_of, counts_to, distinct, group_of, key_of, keys_of, positions_of, split_by_key, steps_of
 from tidemark.llm.rolling import slabs, sliding_argmin, windows
 from tidemark.llm.sketch import SketchShape, among, hot_anchors, keys_present, maybe_present, maybe_repeated, merged_sketch, squeezed, unsqueezed
 
@@ -122,10 +122,11 @@ class _Home:
             for b in np.flatnonzero(np.diff(bounds)):
                 own = order[bounds[b]:bounds[b + 1]]
                 docs, place = np.unique(doc[own], return_inverse=True)
-                rows.append((int(b), keys[docs].tobytes(), ids[docs].astype("<i8").tobytes(),
-                             np.bincount(place).astype("<u4").tobytes(), steps_of(at[own]),
-                             (anchor[own] >> np.uint64(32)).astype("<u4").tobytes(),
-                             bytes(map(len, pieces[own])), squeezed(b"".join(pieces[own]))))
+                # Ids ascend as the documents of most tables do; 16 bits of an anchor tell most anchors of a bucket apart.
+                rows.append((int(b), keys[docs].tobytes(), steps_of(ids[docs]),
+                             counts_to(np.bincount(place)), steps_of(at[own]),
+                             (anchor[own] >> np.uint64(32)).astype("<u2").tobytes(),
+                             squeezed(bytes(map(len, pieces[own]))), squeezed(b"".join(pieces[own]))))
         if rows:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 8))],
@@ -256,13 +257,13 @@ def repeated_runs(docs: DataFrame, width: int, anchor: int, shape: SketchShape,
                 if not r["ids"]:  # decided at home; only passed on to its group
                     yield out([(int(group_of(own[:1], groups)[0]), r["keys"], r["counts"], r["at"])])
                     continue
-                doc.append(np.repeat(np.arange(len(own)) + n_keys, np.frombuffer(r["counts"], "<u4")))
+                doc.append(np.repeat(np.arange(len(own)) + n_keys, counts_of(r["counts"])))
                 n_keys += len(own)
                 keys.append(own)
-                ids.append(np.frombuffer(r["ids"], "<i8"))
+                ids.append(positions_of(r["ids"]))
                 at.append(positions_of(r["at"]))
-                anchors.append(np.frombuffer(r["anchors"], "<u4").astype(np.int64))
-                ends = np.cumsum(np.frombuffer(r["sizes"], np.uint8)).tolist()
+                anchors.append(np.frombuffer(r["anchors"], "<u2").astype(np.int64))
+                ends = np.cumsum(np.frombuffer(unsqueezed(r["sizes"]), np.uint8)).tolist()
                 data = unsqueezed(r["data"])
                 pieces += [data[x:y] for x, y in zip([0, *ends[:-1]], ends, strict=True)]
         if pieces:
@@ -319,30 +320,34 @@ def remove_repeats(documents: DataFrame, width: int = 50, anchor: int = ANCHOR_B
         for batch in batches:
             texts, ids = texts_of(batch), batch.column("doc_id")
             for a, b in slabs(texts, SLAB):
-                part = texts[a:b]
-                keys = [key_of(i.as_py(), t) for i, t in zip(ids.slice(a, b - a), part, strict=True)]
+                keys = [key_of(i.as_py(), t) for i, t in zip(ids.slice(a, b - a), texts[a:b], strict=True)]
                 open_docs = maybe_present(keys, present.value).tolist()
+                # Equal rows that lose something go on as one, so that no group gets all copies of a row.
+                stay, copies = distinct(keys, open_docs)
+                keys, part = [keys[i] for i in stay], [texts[a + i] for i in stay]
+                open_docs = [open_docs[i] for i in stay]
                 done = [(None,) * 5 if o else told(t, none) for o, t in zip(open_docs, part, strict=True)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(group_of(keys_of(b"".join(keys)), parts), pa.int32()), pa.array(keys, pa.binary()),
                     pa.array([squeezed(t) if o else None for o, t in zip(open_docs, part, strict=True)], pa.binary()),
-                    ids.slice(a, b - a), *(pa.array([d[i] for d in done], k) for i, k in enumerate(kinds))],
-                    names=["grp", "key", "text", *results])
+                    pa.array(copies, pa.int32()), ids.slice(a, b - a).take(pa.array(stay)),
+                    *(pa.array([d[i] for d in done], k) for i, k in enumerate(kinds))],
+                    names=["grp", "key", "text", "copies", *results])
 
     def finished(own: pa.Table, repeated: pa.Table) -> pa.Table:
         runs: dict[bytes, list[np.ndarray]] = {}
         for r in repeated.to_pylist():
-            cut = np.cumsum(np.frombuffer(r["counts"], "<u4"))[:-1]
-            for i, at in enumerate(np.split(positions_of(r["at"]), cut)):
-                runs.setdefault(r["keys"][16 * i:16 * i + 16], []).append(at)
+            for key, at in split_by_key(r["keys"], r["counts"], r["at"]):
+                runs.setdefault(key, []).append(at)
         columns = {n: own.column(n).to_pylist() for n in results[1:]}
         for i, (key, t) in enumerate(zip(own.column("key").to_pylist(), own.column("text").to_pylist(), strict=True)):
             if t is not None:
                 at = runs.get(key)
                 for n, v in zip(results[1:], told(unsqueezed(t), np.concatenate(at) if at else none), strict=False):
                     columns[n][i] = v
-        return pa.table({"doc_id": own.column("doc_id")} | {
+        return pa.table({"copies": own.column("copies"), "doc_id": own.column("doc_id")} | {
             n: pa.array(columns[n], k) for n, k in zip(results[1:], kinds, strict=True)})
 
-    rows = docs.mapInArrow(marked, f"grp int, key binary, text binary, {schema}")
-    return rows.groupBy("grp").cogroup(repeats.groupBy("grp")).applyInArrow(finished, schema)
+    rows = docs.mapInArrow(marked, f"grp int, key binary, text binary, copies int, {schema}")
+    told_once = rows.groupBy("grp").cogroup(repeats.groupBy("grp")).applyInArrow(finished, f"copies int, {schema}")
+    return told_once.select(*results, F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("_copy")).drop("_copy")

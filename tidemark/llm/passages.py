@@ -4,7 +4,7 @@ A window is ``width`` consecutive words of one document. Every word under a wind
 in the same document too, is removed. Windows are judged on the input.
 
 First pass: a sketch of the anchors of all windows (see ``sketch``). Second pass: windows whose anchor may be repeated
-are grouped, by 96 bits of their words. The windows of an anchor share a bucket, but for anchors with more than
+are grouped, by 128 bits of their words: both halves of each word's hash, joined by a tree that does not let values cancel out. The windows of an anchor share a bucket, but for anchors with more than
 ``HOT_WINDOWS`` of them, which are counted before: their windows are dealt by their own hash. A task groups its own windows first and sends one of each kind, so a
 window that a third of all documents hold reaches its group once per task. Third pass: results meet the documents.
 A second sketch, of the documents that lose something, lets only those carry their text through the shuffle.
@@ -21,11 +21,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import kept, pick, texts_of
-from tidemark.llm.packing import by_group, group_of, key_of, keys_of, positions_of, steps_of
-from tidemark.llm.rolling import TABLE64, mixed, slabs, sliding_argmin, windows
+from tidemark.llm.packing import by_group, counts_of, counts_to, distinct, group_of, key_of, keys_of, positions_of, split_by_key, steps_of
+from tidemark.llm.rolling import joined_windows, slabs, sliding_argmin
 from tidemark.llm.sketch import SketchShape, among, hot_anchors, keys_present, maybe_present, maybe_repeated, merged_sketch, squeezed, unsqueezed
 
 ANCHOR_WORDS = 10
@@ -36,31 +38,6 @@ _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\x0b\x0c")] = True
 
 
-def _tables() -> list[tuple[np.ndarray, np.uint64, np.uint64]]:
-    """Two sets of byte values, bases and their inverses modulo 2^64."""
-    out = []
-    for n, base in enumerate((0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)):
-        values = np.where(_SPACE, np.uint64(0), mixed(TABLE64 + np.uint64(n)))
-        out.append((values, np.uint64(base), np.uint64(pow(base, -1, 1 << 64))))
-    return out
-
-
-_TABLES = _tables()
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of a base and of its inverse, kept for the largest length so far up to a few MB."""
-    have = _POWERS.get(which)
-    if have is None or len(have[0]) < n:
-        _, base, inverse = _TABLES[which]
-        have = tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n - 1, b, np.uint64))])
-                     for b in (base, inverse))
-        if n <= 1 << 22:
-            _POWERS[which] = have
-    return have[0][:n], have[1][:n]
-
-
 class Words:
     """The words of some texts: where they stand, whose they are, and their hashes."""
 
@@ -73,12 +50,14 @@ class Words:
         limits = np.cumsum([0, *(len(t) + 1 for t in texts)])
         self.first = np.searchsorted(self.starts, limits)  # first word of each text
         self.owner = np.repeat(np.arange(len(texts)), np.diff(self.first))
+        self.digests: np.ndarray | None = None
 
     def hashes(self, which: int) -> np.ndarray:
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        up, down = _powers(which, len(self.raw))
-        return mixed(np.add.reduceat(_TABLES[which][0][self.raw] * up, self.starts) * down[self.starts])
+        """One half, 0 or 1, of the 128-bit hashes of the words."""
+        if self.digests is None:
+            digest = xxhash.xxh3_128_digest
+            self.digests = np.frombuffer(b"".join([digest(w) for w in self.data.split()]), "<u8").reshape(-1, 2)
+        return self.digests[:, which].copy()
 
     def inside(self, width: int) -> np.ndarray:
         """Starts of windows that lie in one text."""
@@ -91,7 +70,7 @@ def anchored(words: Words, width: int, size: int, hashes: np.ndarray) -> tuple[n
     starts = words.inside(width)
     if not len(starts):
         return starts, starts, np.zeros(0, np.uint64)
-    runs = windows(hashes, size)
+    runs = joined_windows(hashes, size)
     at = sliding_argmin(runs, width - size + 1)[starts]
     new = np.diff(at, prepend=-1) != 0  # anchors move forward, so equal ones are neighbours
     return starts, np.cumsum(new) - 1, runs[at[new]]
@@ -145,7 +124,7 @@ class _Candidates:
         for b in np.flatnonzero(np.diff(bounds)):
             own = order[bounds[b]:bounds[b + 1]]
             docs, place = np.unique(doc[own], return_inverse=True)
-            rows.append((int(b), keys[docs].tobytes(), np.bincount(place).astype("<u4").tobytes(), steps_of(at[own]),
+            rows.append((int(b), keys[docs].tobytes(), counts_to(np.bincount(place)), steps_of(at[own]),
                          high[own].tobytes(), low[own].tobytes(), np.packbits(many[own]).tobytes()))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 7))],
@@ -164,7 +143,7 @@ def repeated_windows(docs: DataFrame, width: int, anchor: int, shape: SketchShap
             starts, number, anchors = anchored(words, width, anchor, one)
             if len(starts):
                 chosen = maybe_repeated(anchors, bits.value, shape)[number]
-                yield anchors[number[chosen]], windows(one, width)[starts[chosen]]
+                yield anchors[number[chosen]], joined_windows(one, width)[starts[chosen]]
 
     hot = hot_anchors(docs, kinds, HELD_WINDOWS, HOT_WINDOWS, n_windows)
 
@@ -184,7 +163,7 @@ def repeated_windows(docs: DataFrame, width: int, anchor: int, shape: SketchShap
                     continue
                 owner = words.owner[starts]
                 docs_here, place = np.unique(owner, return_inverse=True)
-                held.add(windows(one, width)[starts], windows(words.hashes(1), width)[starts].astype(np.uint32), anchors[number], place,
+                held.add(joined_windows(one, width)[starts], joined_windows(words.hashes(1), width)[starts], anchors[number], place,
                          starts - words.first[owner], [key_of(ids[a + d], texts[a + d]) for d in docs_here])
                 if held.size >= HELD_WINDOWS:
                     yield from held.send()
@@ -205,12 +184,12 @@ def repeated_windows(docs: DataFrame, width: int, anchor: int, shape: SketchShap
                 if not r["high"]:  # decided before; only passed on to its group
                     yield out([(int(group_of(own[:1], groups)[0]), r["keys"], r["counts"], r["at"])])
                     continue
-                doc.append(np.repeat(np.arange(len(own)) + n_keys, np.frombuffer(r["counts"], "<u4")))
+                doc.append(np.repeat(np.arange(len(own)) + n_keys, counts_of(r["counts"])))
                 n_keys += len(own)
                 keys.append(own)
                 at.append(positions_of(r["at"]))
                 high.append(np.frombuffer(r["high"], np.uint64))
-                low.append(np.frombuffer(r["low"], np.uint32))
+                low.append(np.frombuffer(r["low"], np.uint64))
                 many.append(np.unpackbits(np.frombuffer(r["many"], np.uint8), count=len(at[-1])).astype(bool))
         if not keys:
             return
@@ -265,34 +244,38 @@ def remove_repeated(documents: DataFrame, width: int = 35, anchor: int = ANCHOR_
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """All documents; those that lose nothing are finished here and travel without their text."""
-        names = ["grp", "key", "text", *results]
+        names = ["grp", "key", "text", "copies", *results]
         for batch in batches:
             texts, ids = texts_of(batch), batch.column("doc_id")
             for a, b in slabs(texts):
                 keys = [key_of(i.as_py(), t) for i, t in zip(ids.slice(a, b - a), texts[a:b], strict=True)]
                 open_docs = maybe_present(keys, present.value).tolist()
-                done = [(None,) * 4 if o else told(t.split(), none) for o, t in zip(open_docs, texts[a:b], strict=True)]
+                # Equal rows that lose something go on as one, so that no group gets all copies of a row.
+                stay, copies = distinct(keys, open_docs)
+                keys, part = [keys[i] for i in stay], [texts[a + i] for i in stay]
+                open_docs = [open_docs[i] for i in stay]
+                done = [(None,) * 4 if o else told(t.split(), none) for o, t in zip(open_docs, part, strict=True)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(group_of(keys_of(b"".join(keys)), parts), pa.int32()), pa.array(keys, pa.binary()),
-                    pa.array([squeezed(t) if o else None for o, t in zip(open_docs, texts[a:b], strict=True)], pa.binary()),
-                    ids.slice(a, b - a),
+                    pa.array([squeezed(t) if o else None for o, t in zip(open_docs, part, strict=True)], pa.binary()),
+                    pa.array(copies, pa.int32()), ids.slice(a, b - a).take(pa.array(stay)),
                     *(pa.array([d[i] for d in done], k) for i, k in enumerate(
                         (pa.int64(), pa.int64(), pa.string(), pa.string())[:len(results) - 1]))], names=names)
 
     def finished(own: pa.Table, repeated: pa.Table) -> pa.Table:
         starts: dict[bytes, list[np.ndarray]] = {}
         for r in repeated.to_pylist():
-            cut = np.cumsum(np.frombuffer(r["counts"], "<u4"))[:-1]
-            for i, at in enumerate(np.split(positions_of(r["at"]), cut)):
-                starts.setdefault(r["keys"][16 * i:16 * i + 16], []).append(at)
+            for key, at in split_by_key(r["keys"], r["counts"], r["at"]):
+                starts.setdefault(key, []).append(at)
         columns = {n: own.column(n).to_pylist() for n in results[1:]}
         for i, (key, t) in enumerate(zip(own.column("key").to_pylist(), own.column("text").to_pylist(), strict=True)):
             if t is not None:
                 at = starts.get(key)
                 for n, v in zip(results[1:], told(unsqueezed(t).split(), np.unique(np.concatenate(at)) if at else none), strict=False):
                     columns[n][i] = v
-        return pa.table({"doc_id": own.column("doc_id")} | {
+        return pa.table({"copies": own.column("copies"), "doc_id": own.column("doc_id")} | {
             n: pa.array(columns[n], own.schema.field(n).type) for n in results[1:]})
 
-    rows = docs.mapInArrow(marked, f"grp int, key binary, text binary, {schema}")
-    return rows.groupBy("grp").cogroup(repeats.groupBy("grp")).applyInArrow(finished, schema)
+    rows = docs.mapInArrow(marked, f"grp int, key binary, text binary, copies int, {schema}")
+    told_once = rows.groupBy("grp").cogroup(repeats.groupBy("grp")).applyInArrow(finished, f"copies int, {schema}")
+    return told_once.select(*results, F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("_copy")).drop("_copy")

@@ -69,6 +69,28 @@ def windows(values: np.ndarray, width: int) -> np.ndarray:
     return mixed(result)
 
 
+def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A hash of two hashes in their order. Addition, exclusive or and the finalizer between two levels leave no linear
+    combination of values that could cancel out."""
+    return mixed(left * _M1 ^ (right + _M2))
+
+
+def joined_windows(values: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit hash of each run of ``width`` hashes, by doubling, as a tree of ``joined``; one per start."""
+    n = len(values) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    have, result, done, size = values.astype(np.uint64), None, 0, 1
+    while size <= width:
+        if width & size:
+            result = joined(result, have[done:done + n]) if done else have[:n].copy()
+            done += size
+        if size * 2 <= width:
+            have = joined(have[:-size], have[size:])
+        size *= 2
+    return mixed(result + _M2)
+
+
 def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     """Position of the smallest value in each run of ``width``; the first of equal ones."""
     n = len(values) - width + 1

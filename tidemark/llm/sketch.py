@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.rolling import mixed
 
 FLUSH = 4_000_000
+KEY_BYTES = 12              # of the key of a document
 
 
 @dataclass(frozen=True)
@@ -41,13 +42,16 @@ class SketchShape:
 DOCUMENTS = SketchShape(cells=1 << 24)
 
 
+_CODEC = pa.Codec("zstd", compression_level=4)
+
+
 def squeezed(data: bytes) -> bytes:
     """The length, and the data compressed."""
-    return struct.pack("<q", len(data)) + pa.compress(data, codec="zstd", asbytes=True)
+    return struct.pack("<q", len(data)) + _CODEC.compress(data, asbytes=True)
 
 
 def unsqueezed(data: bytes) -> bytes:
-    return pa.decompress(data[8:], struct.unpack("<q", data[:8])[0], codec="zstd", asbytes=True)
+    return _CODEC.decompress(data[8:], struct.unpack("<q", data[:8])[0], asbytes=True)
 
 
 class PackedBits:
@@ -159,14 +163,14 @@ def keys_present(packed: DataFrame) -> PackedBits:
     """A sketch of the document keys in a packed table: which documents have anything to remove."""
     def keys(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, int]]:
         for own in batch.column("keys").to_pylist():
-            yield np.repeat(_key_hashes(np.frombuffer(own, np.uint8).reshape(-1, 16)), 2), 0  # twice: seen is enough
+            yield np.repeat(_key_hashes(np.frombuffer(own, np.uint8).reshape(-1, KEY_BYTES)), 2), 0  # twice: seen is enough
 
     return merged_sketch(packed.select("keys"), keys, DOCUMENTS)[0]
 
 
 def maybe_present(keys: list[bytes], packed: PackedBits) -> np.ndarray:
     """False only for documents that have nothing to remove."""
-    return maybe_repeated(_key_hashes(np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 16)), packed, DOCUMENTS)
+    return maybe_repeated(_key_hashes(np.frombuffer(b"".join(keys), np.uint8).reshape(-1, KEY_BYTES)), packed, DOCUMENTS)
 
 
 def hot_anchors(docs: DataFrame, kinds, held: int, bound: int, items: int) -> np.ndarray:
