@@ -48,6 +48,23 @@ def open_versions(history: DataFrame, snapshot: DataFrame, seq: int,
     return history.unionByName(opened)
 
 
+def version_changes(live: DataFrame, snapshot: DataFrame, seq: int,
+                    keys: Sequence[str], tracked: Sequence[str]) -> DataFrame:
+    """Only what a snapshot changes: ended versions (``_kind`` closed) and new ones (opened), from one join."""
+    columns = [*keys, *tracked, START, END]
+    h = live.select(*keys, *tracked, START, F.lit(True).alias("_live")).alias("h")
+    s = snapshot.select(*keys, *tracked, F.lit(True).alias("_present")).alias("s")
+    joined = h.join(s, [F.col(f"h.{k}") == F.col(f"s.{k}") for k in keys], "full")
+    was, present = F.coalesce(F.col("h._live"), F.lit(False)), F.coalesce(F.col("s._present"), F.lit(False))
+    keeps = was & present & _same(tracked, "h", "s")
+    now, never = F.lit(seq).cast("bigint"), F.lit(None).cast("bigint")
+    ended = F.struct(*[F.col(f"h.{c}").alias(c) for c in (*keys, *tracked, START)], now.alias(END), F.lit("closed").alias("_kind"))
+    begun = F.struct(*[F.col(f"s.{c}").alias(c) for c in (*keys, *tracked)], now.alias(START), never.alias(END),
+                     F.lit("opened").alias("_kind"))
+    rows = F.array(F.when(was & ~keeps, ended), F.when(present & ~keeps, begun))
+    return joined.select(F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("v")).select("v.*").select(*columns, "_kind")
+
+
 def apply_snapshot(history: DataFrame, snapshot: DataFrame, seq: int,
                    keys: Sequence[str], tracked: Sequence[str]) -> DataFrame:
     """Both halves in one plan with one join of the open versions and the snapshot.

@@ -6,17 +6,28 @@ ledgers kept in one table; with none, the table is one ledger.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import datetime as dt
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.entries import NumberedLog
+
 RELEASE_STATE = ("release_seq bigint, release_tag string, archive_sha256 string, min_season bigint, "
                  "status string, published_at timestamp, attempt_id string")
 COMPLETIONS = "release_seq bigint, attempt_id string, task_key string"
 EXPANSIONS = ("release_seq bigint, previous_min_season bigint, min_season bigint, "
               "previous_attempt_id string, attempt_id string, requested_at timestamp")
 
+# What happens to releases, in the order of ``number``; the tables above are folds of it.
+EVENT_FIELDS = ("kind string, release_seq bigint, release_tag string, archive_sha256 string, min_season bigint, "
+                "attempt_id string, task_key string, previous_min_season bigint, previous_attempt_id string, at timestamp")
+OPENED = "OPENED"      # an attempt at a release begins
+FINISHED = "FINISHED"  # a task of an attempt is done
+WIDENED = "WIDENED"    # the scope changes with an attempt
+CLOSED = "CLOSED"      # the release is published
+
 RUNNING = "RUNNING"
 PREPARED = "PREPARED"
 COMPLETE = "COMPLETE"
@@ -60,6 +71,63 @@ def add_columns(table: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return table
 
 
+def state_of(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The latest state of each release: identity from its first attempt, the rest from its last.
+
+    A release is COMPLETE if it was closed after its last attempt began. One aggregate with map-side combine.
+    """
+    kind, number = F.col("kind"), F.col("number")
+    opened, closed = F.when(kind == OPENED, number), F.when(kind == CLOSED, number)
+    folded = events.filter(kind.isin(OPENED, CLOSED)).groupBy(*by, "release_seq").agg(
+        F.min_by(F.struct("release_tag", "archive_sha256"), opened).alias("first"),
+        F.max_by(F.struct("min_season", "attempt_id"), opened).alias("last"), F.max(opened).alias("opened"),
+        F.max_by("at", closed).alias("at"), F.max(closed).alias("closed")).filter("opened IS NOT NULL")
+    done = F.coalesce(F.col("closed") > F.col("opened"), F.lit(False))
+    return folded.select(
+        *by, "release_seq", "first.release_tag", "first.archive_sha256", "last.min_season",
+        F.when(done, COMPLETE).otherwise(RUNNING).alias("status"), F.when(done, F.col("at")).alias("published_at"), "last.attempt_id")
+
+
+def completions_of(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return events.filter(F.col("kind") == FINISHED).select(*by, "release_seq", "attempt_id", "task_key")
+
+
+def expansions_of(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return events.filter(F.col("kind") == WIDENED).select(
+        *by, "release_seq", "previous_min_season", "min_season", "previous_attempt_id", "attempt_id", F.col("at").alias("requested_at"))
+
+
+class Folded:
+    """A view of an event log that reads like a table."""
+
+    def __init__(self, events: NumberedLog, fold: Callable[[DataFrame], DataFrame]):
+        self.events, self.fold = events, fold
+
+    def read(self) -> DataFrame:
+        return self.fold(self.events.read())
+
+
+class EventLedger:
+    """A stored ledger: every step appends one entry, and nothing is rewritten."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.events = NumberedLog(spark, folder, EVENT_FIELDS)
+        self.state = Folded(self.events, state_of)
+        self.completions = Folded(self.events, completions_of)
+        self.expansions = Folded(self.events, expansions_of)
+
+    def last(self) -> int:
+        return (self.events.numbers() or [0])[-1]
+
+    def add(self, kind: str, after: int | None = None, **values: object) -> int:
+        """Append an event. One that was decided on the state up to ``after`` is refused if others came since."""
+        entry = {"kind": kind, **values, "at": dt.datetime.now(dt.timezone.utc).isoformat()}
+        if after is None:
+            return self.events.append(entry)
+        self.events.add(after + 1, entry)
+        return after + 1
+
+
 def completion_counts(completions: DataFrame, required: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Distinct required tasks per attempt; repeated markers count once."""
     return (

@@ -33,31 +33,43 @@ def _as_rows(totals: DataFrame, names: Sequence[str]) -> DataFrame:
     return totals.select(F.explode(F.array(*pairs)).alias("c")).select("c.check_name", "c.failures")
 
 
+def unmet(condition: Column | str) -> Column:
+    """Whether a row's condition is false or unknown."""
+    return ~F.coalesce(F.expr(condition) if isinstance(condition, str) else condition, F.lit(False))
+
+
 def predicate_checks(frame: DataFrame, expectations: Mapping[str, Column | str],
                      expected_count: int | None = None) -> DataFrame:
     """Rows for which each expectation is false or unknown, all in one pass."""
     aggregates = []
     for name, condition in expectations.items():
-        column = F.expr(condition) if isinstance(condition, str) else condition
-        aggregates.append(count_where(~F.coalesce(column, F.lit(False))).alias(name))
+        aggregates.append(count_where(unmet(condition)).alias(name))
     if expected_count is not None:
         aggregates.append(F.abs(F.count(F.lit(1)) - F.lit(expected_count)).alias("row_count"))
     names = list(expectations) + (["row_count"] if expected_count is not None else [])
+    if not names:
+        return frame.sparkSession.createDataFrame([], "check_name string, failures bigint")
     return _as_rows(frame.agg(*aggregates), names)
 
 
 def enforce(frame: DataFrame, expectations: Mapping[str, Column | str]) -> DataFrame:
     """The frame itself, failing at the first row that breaks an expectation; streams too."""
     for name, condition in expectations.items():
-        column = F.expr(condition) if isinstance(condition, str) else condition
-        met = F.assert_true(F.coalesce(column, F.lit(False)), F.lit(f"expectation failed: {name}"))
+        met = F.assert_true(~unmet(condition), F.lit(f"expectation failed: {name}"))
         frame = frame.filter(met.isNull())
     return frame
 
 
-def required_checks(frame: DataFrame, required: Iterable[str], expected_count: int | None = None) -> DataFrame:
-    conditions = {f"null:{name}": F.col(name).isNotNull() for name in required}
-    return predicate_checks(frame, conditions, expected_count)
+def required(names: Iterable[str]) -> dict[str, Column]:
+    return {f"null:{name}": F.col(name).isNotNull() for name in names}
+
+
+def required_checks(frame: DataFrame, names: Iterable[str], expected_count: int | None = None) -> DataFrame:
+    return predicate_checks(frame, required(names), expected_count)
+
+
+def unique_check(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return failures("unique:" + ",".join(keys), duplicate_keys(frame, keys))
 
 
 def duplicate_keys(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -70,12 +82,9 @@ def failures(name: str, rows: DataFrame) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("check_name"), "failures")
 
 
-def check_rows(frame: DataFrame, keys: Sequence[str], required: Sequence[str],
+def check_rows(frame: DataFrame, keys: Sequence[str], names: Sequence[str],
                expected_count: int | None = None) -> DataFrame:
-    return union_rows([
-        required_checks(frame, required, expected_count),
-        failures("unique:" + ",".join(keys), duplicate_keys(frame, keys)),
-    ])
+    return union_rows([required_checks(frame, names, expected_count), unique_check(frame, keys)])
 
 
 def missing_references(frame: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -96,10 +105,13 @@ def check_current(frame: DataFrame, release_seq: int) -> DataFrame:
     return predicate_checks(frame, {"single_release": F.col("_release_seq") == release_seq})
 
 
-def check_future(frame: DataFrame, last_season: int) -> DataFrame:
+def no_future(last_season: int) -> dict[str, Column]:
     """Rows dated after the season of the release; a NULL season is another check's concern."""
-    return predicate_checks(
-        frame, {"no_future_season": F.coalesce(F.col("season") <= last_season, F.lit(True))})
+    return {"no_future_season": F.coalesce(F.col("season") <= last_season, F.lit(True))}
+
+
+def check_future(frame: DataFrame, last_season: int) -> DataFrame:
+    return predicate_checks(frame, no_future(last_season))
 
 
 def check_input(raw: DataFrame, expected_count: int | None) -> DataFrame:
@@ -141,9 +153,16 @@ def pass_or_fail(report: DataFrame) -> DataFrame:
     return report.withColumn("status", F.when(ok, "PASS").otherwise("FAIL"))
 
 
-def raise_if_failed(report: DataFrame, subject: str) -> None:
-    """Stop the run on failures. A report holds one row per check, so collecting it is safe."""
-    bad = report.filter(F.col("failures") > 0).collect()
+def failing(report: DataFrame) -> dict[str, int]:
+    """The checks that fail. A report holds one row per check, so collecting it is safe."""
+    return {row.check_name: row.failures for row in report.filter(F.col("failures") > 0).collect()}
+
+
+def stop_on(failed: Mapping[str, int], subject: str) -> None:
+    bad = {name: n for name, n in failed.items() if n}
     if bad:
-        detail = ", ".join(f"{row.check_name}={row.failures}" for row in bad)
-        raise CheckFailed(f"{subject}: {detail}")
+        raise CheckFailed(f"{subject}: " + ", ".join(f"{name}={n}" for name, n in bad.items()))
+
+
+def raise_if_failed(report: DataFrame, subject: str) -> None:
+    stop_on(failing(report), subject)

@@ -189,9 +189,9 @@ GOLD_REQUIRED = {
 }
 
 
-def gold_checks(name: str, output: DataFrame, *driving: DataFrame) -> DataFrame:
-    report = [quality.check_rows(output, GOLD_KEYS[name], GOLD_REQUIRED[name]),
-              quality.check_join_preserved(output, *driving)]
+def table_checks(name: str, output: DataFrame, *driving: DataFrame) -> DataFrame:
+    """What a table must meet as a whole, besides its required columns."""
+    report = [quality.unique_check(output, GOLD_KEYS[name]), quality.check_join_preserved(output, *driving)]
     if name == "session_results":
         report.append(quality.check_measure(output, "points"))
     return quality.union_rows(report)

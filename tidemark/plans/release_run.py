@@ -1,7 +1,8 @@
 """One release from landed files to published tables, as plain calls in dependency order.
 
-Every stage reads what the stage before has stored, checks it, and publishes a new version. A run
-that fails anywhere leaves the published tables as they were and can simply be started again.
+Every stage reads what the stage before has stored and computes its result once: it is written, checked as
+written, and only then published. A run that fails anywhere leaves the published tables as they were and can
+simply be started again.
 """
 
 from __future__ import annotations
@@ -16,12 +17,14 @@ from tidemark.functions.releases import check_scope
 from tidemark.operators import history as H
 from tidemark.operators import ledger as L
 from tidemark.operators import quality
+from tidemark.operators.history_store import HistoryStore
 from tidemark.operators.snapshot import VersionedTable
 from tidemark.plans import gold, silver
 from tidemark.plans.schema import (
     DATASETS, GOLD_KEYS, HISTORY_KEYS, HISTORY_TRACKED, TERMINAL_TASKS,
 )
 from tidemark.plans.verification import open_history_matches, published_check
+from tidemark.session import stored
 from tidemark.sources import manifest as M
 from tidemark.sources.tables import literal_rows
 from tidemark.streaming.ingest import RawStore
@@ -29,7 +32,8 @@ from tidemark.streaming.ingest import RawStore
 # A dataset after those it refers to.
 SILVER_ORDER = ("drivers", "constructors", "circuits", "races", "race_results", "sprint_results",
                 "driver_standings", "constructor_standings")
-HISTORY_TASK = "silver_drivers_history"
+HISTORY = "drivers_history"
+HISTORY_TASK = f"silver_{HISTORY}"
 
 
 class ReleaseRun:
@@ -40,19 +44,16 @@ class ReleaseRun:
         self.landing = landing
         self.root = root.rstrip("/")
         self.raw = RawStore(spark, landing, f"{self.root}/bronze")
-        self.state = self.table("ops", "release_state")
-        self.completions = self.table("ops", "task_completions")
-        self.expansions = self.table("ops", "scope_expansions")
+        self.ledger = L.EventLedger(spark, f"{self.root}/ops/events")
+        self.state, self.completions, self.expansions = self.ledger.state, self.ledger.completions, self.ledger.expansions
         self.manifests = self.table("ops", "manifests")
-        self.state.create(L.RELEASE_STATE)
-        self.completions.create(L.COMPLETIONS)
-        self.expansions.create(L.EXPANSIONS)
+        self.history = HistoryStore(spark, f"{self.root}/silver/{HISTORY}", HISTORY_KEYS, HISTORY_TRACKED)
 
     def table(self, layer: str, name: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/{layer}/{name}")
 
     def silver(self, name: str) -> DataFrame:
-        return self.table("silver", name).read()
+        return self.history.read() if name == HISTORY else self.table("silver", name).read()
 
     def gold(self, name: str) -> DataFrame:
         return self.table("gold", name).read()
@@ -67,16 +68,19 @@ class ReleaseRun:
             self.spark, [(seq, tag, archive_sha256, min_season, L.RUNNING, attempt, allow_scope_expansion)],
             "release_seq bigint, release_tag string, archive_sha256 string, min_season bigint, status string, "
             "attempt_id string, allow_scope_expansion boolean")
+        # Everything below is decided on the ledger up to here; a run that writes in between makes it fail.
+        after = self.ledger.last()
         state = self.state.read()
         found = L.release_order_violations(state, self.completions.read(), candidate, TERMINAL_TASKS)
         names = [row.violation for row in found.collect()]  # at most one row per rule
         if names:
             raise quality.CheckFailed(f"{tag}: {', '.join(sorted(names))}")
-        audit = L.scope_expansions(state, candidate).withColumn("requested_at", F.current_timestamp())
-        self.expansions.publish(self.expansions.read().unionByName(audit), seq)
-        # published_at is an update column the candidate lacks, so a new attempt clears it.
-        self.state.publish(L.upsert(state, candidate, ["release_seq"],
-                                    ["status", "attempt_id", "min_season", "published_at"]), seq)
+        widened = L.scope_expansions(state, candidate).collect()  # at most one row
+        # A new attempt reopens the release: the fold takes status, scope and attempt from it.
+        self.ledger.add(L.OPENED, after, release_seq=seq, release_tag=tag, archive_sha256=archive_sha256,
+                        min_season=min_season, attempt_id=attempt)
+        for row in widened:
+            self.ledger.add(L.WIDENED, **row.asDict())
         return attempt
 
     def require_running(self, seq: int, min_season: int) -> None:
@@ -88,26 +92,23 @@ class ReleaseRun:
     def mark(self, seq: int, min_season: int, task: str) -> None:
         self.require_running(seq, min_season)
         done = literal_rows(self.spark, [(seq, task)], "release_seq bigint, task_key string")
-        markers = L.completion_markers(self.state.read(), done)
-        self.completions.publish(self.completions.read().unionByName(markers), seq)
+        for row in L.completion_markers(self.state.read(), done).collect():  # one row: the running attempt
+            self.ledger.add(L.FINISHED, **row.asDict())
 
     # --- stages ---------------------------------------------------------------------------------
 
     def land_manifest(self, tag: str, seq: int) -> Mapping[str, int]:
         """Check the landed files, or check them against the manifest a former attempt stored."""
-        current = M.build_manifest(self.spark, self.landing, {name: [tag] for name in DATASETS})
-        if self.manifests.exists():
-            known = self.manifests.read()
-            kept = known.filter(F.col("release_tag") == tag)
-            if not kept.isEmpty():
-                self._stop_on(M.verify_manifest(current, kept), f"{tag}: landed files changed")
-                return self._row_counts(kept)
-            self._stop_on(M.manifest_violations(current, DATASETS), f"{tag}: landed files")
-            self.manifests.publish(known.unionByName(current), seq)
-        else:
-            self._stop_on(M.manifest_violations(current, DATASETS), f"{tag}: landed files")
-            self.manifests.publish(current, seq)
-        return self._row_counts(self.manifests.read().filter(F.col("release_tag") == tag))
+        # Written once: the files are hashed once, whatever is asked of the manifest.
+        current = stored(M.build_manifest(self.spark, self.landing, {name: [tag] for name in DATASETS}), "manifest")
+        known = self.manifests.read() if self.manifests.exists() else None
+        kept = known.filter(F.col("release_tag") == tag) if known is not None else None
+        if kept is not None and not kept.isEmpty():
+            self._stop_on(M.verify_manifest(current, kept), f"{tag}: landed files changed")
+            return self._row_counts(kept)
+        self._stop_on(M.manifest_violations(current, DATASETS), f"{tag}: landed files")
+        self.manifests.publish(current if known is None else known.unionByName(current), seq)
+        return self._row_counts(current)
 
     @staticmethod
     def _row_counts(manifest: DataFrame) -> dict[str, int]:
@@ -127,18 +128,14 @@ class ReleaseRun:
         quality.raise_if_failed(silver.input_checks(name, raw, tag, expected), f"raw {name}")
         cleaned = silver.clean(name, raw, tag, min_season)
         parents = {parent: self.silver(parent) for parent, _ in DATASETS[name].references}
-        quality.raise_if_failed(silver.checks(name, cleaned, tag, parents), f"silver {name}")
-        return self.table("silver", name).merge(cleaned, DATASETS[name].keys, seq)
+        return self.table("silver", name).merge(
+            cleaned, DATASETS[name].keys, seq, silver.expectations(name, tag),
+            lambda written: silver.table_checks(name, written, tag, parents))
 
     def build_history(self, seq: int, min_season: int) -> None:
-        table, drivers = self.table("silver", "drivers_history"), self.silver("drivers")
+        drivers = self.silver("drivers")
         quality.raise_if_failed(quality.check_current(drivers, seq), "silver drivers")
-        keys, tracked = list(HISTORY_KEYS), list(HISTORY_TRACKED)
-        history = table.read() if table.exists() else H.empty_history(drivers, keys, tracked)
-        quality.raise_if_failed(H.check_sequence(history, seq), "drivers history")
-        advanced = H.apply_snapshot(history, drivers, seq, keys, tracked)
-        quality.raise_if_failed(H.check_history(advanced, keys, drivers), "drivers history")
-        table.publish(advanced, seq)
+        self.history.apply(drivers, seq, lambda written: H.check_history(written, list(HISTORY_KEYS), drivers))
         self.mark(seq, min_season, HISTORY_TASK)
 
     def build_gold(self, seq: int, min_season: int) -> None:
@@ -154,9 +151,9 @@ class ReleaseRun:
         }
 
         def keep(name: str, frame: DataFrame) -> DataFrame:
-            quality.raise_if_failed(gold.gold_checks(name, frame, *driving[name]), f"gold {name}")
             table = self.table("gold", name)
-            table.publish(frame, seq)
+            table.publish(frame, seq, quality.required(gold.GOLD_REQUIRED[name]),
+                          lambda written: gold.table_checks(name, written, *driving[name]))
             self.mark(seq, min_season, f"gold_{name}")
             return table.read()
 
@@ -168,9 +165,8 @@ class ReleaseRun:
         report = published_check({name: self.gold(name) for name in GOLD_KEYS}, seq,
                                  self.silver("drivers_history"), self.silver("drivers"), columns)
         quality.raise_if_failed(report, f"release {seq}")
-        done = L.update_where(self.state.read(), F.col("release_seq") == seq,
-                              {"status": F.lit(L.COMPLETE), "published_at": F.current_timestamp()})
-        self.state.publish(done, seq)
+        attempt = self.state.read().filter(F.col("release_seq") == seq).first()["attempt_id"]
+        self.ledger.add(L.CLOSED, release_seq=seq, attempt_id=attempt)
 
     def run(self, tag: str, min_season: int, archive_sha256: str,
             allow_scope_expansion: bool = False) -> dict[str, dict[str, int]]:

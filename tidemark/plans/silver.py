@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.releases import YEAR_STEP, parse_tag
@@ -37,15 +37,23 @@ def input_checks(name: str, raw: DataFrame, tag: str, expected_count: int | None
     return quality.check_input(select_release(raw, tag), expected_count)
 
 
-def checks(name: str, frame: DataFrame, tag: str, parents: Mapping[str, DataFrame]) -> DataFrame:
-    """All blocking checks of a cleaned dataset as one report."""
+def expectations(name: str, tag: str) -> dict[str, Column]:
+    """What each row of a cleaned dataset must meet: counted while it is written."""
     dataset = DATASETS[name]
-    seq = parse_tag(tag)
-    report = [quality.check_rows(frame, dataset.keys, dataset.required)]
-    if dataset.season_column:
-        report.append(quality.check_future(frame, seq // YEAR_STEP))
-    for parent, keys in dataset.references:
-        current = quality.check_current(parents[parent], seq)
+    future = quality.no_future(parse_tag(tag) // YEAR_STEP) if dataset.season_column else {}
+    return quality.required(dataset.required) | future
+
+
+def table_checks(name: str, frame: DataFrame, tag: str, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """What a cleaned dataset must meet as a whole: unique keys, and references to current parents."""
+    report = [quality.unique_check(frame, DATASETS[name].keys)]
+    for parent, keys in DATASETS[name].references:
+        current = quality.check_current(parents[parent], parse_tag(tag))
         report.append(current.withColumn("check_name", F.lit(f"current:{parent}")))
         report.append(quality.check_reference(frame, parents[parent], keys, parent))
     return quality.union_rows(report)
+
+
+def checks(name: str, frame: DataFrame, tag: str, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """All blocking checks of a cleaned dataset as one report."""
+    return quality.predicate_checks(frame, expectations(name, tag)).unionByName(table_checks(name, frame, tag, parents))

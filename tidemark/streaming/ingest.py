@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.entries import NumberedLog
 from tidemark.operators.quality import enforce
 from tidemark.sources import csv_release as csv
 
@@ -35,9 +36,13 @@ class RawStore:
     def checkpoint(self, dataset: str, tag: str) -> str:
         return f"{self.root}/checkpoints/{dataset}/{tag}"
 
-    def header(self, dataset: str, tag: str | None = None) -> str:
-        folder = f"{self.root}/headers/{dataset}"
-        return f"{folder}/release_tag={tag}" if tag else folder
+    def header(self, dataset: str, tag: str) -> NumberedLog:
+        """The column names of a segment; the last entry counts."""
+        return NumberedLog(self.spark, f"{self.root}/headers/{dataset}/{tag}", "columns array<string>")
+
+    def counts(self, dataset: str, tag: str) -> NumberedLog:
+        """Rows of a segment as of a committed micro-batch."""
+        return NumberedLog(self.spark, f"{self.root}/counts/{dataset}/{tag}", "batch bigint, row_count bigint")
 
     def start(self, dataset: str, tag: str, strict: bool = True, max_files: int | None = None,
               expectations: Mapping[str, str] | None = None) -> StreamingQuery:
@@ -46,8 +51,9 @@ class RawStore:
         The header is stored next to the segment, so the raw table never asks the landing area again.
         """
         columns = csv.header(self.spark, csv.release_path(self.landing, dataset, tag))
-        self.spark.createDataFrame([(columns,)], "columns array<string>").coalesce(1).write.mode(
-            "overwrite").parquet(self.header(dataset, tag))
+        stored = self.header(dataset, tag).last()
+        if stored is None or stored.columns != columns:
+            self.header(dataset, tag).append({"columns": columns})
         rows = csv.stream_snapshot(self.spark, self.landing, dataset, tag, strict, max_files)
         if expectations:
             rows = enforce(rows, expectations)
@@ -62,8 +68,9 @@ class RawStore:
                max_files: int | None = None, expectations: Mapping[str, str] | None = None, parallel: int = 4) -> int:
         """Ingest the given releases (all landed ones by default); returns the rows added.
 
-        At most ``parallel`` streams go side by side; if one fails, the others are stopped. Rows are
-        counted in the segments, before and after, whatever the number of micro-batches.
+        At most ``parallel`` streams go side by side; if one fails, the others are stopped. Rows are counted in
+        the segments, whatever the number of micro-batches, and only in those that have committed one since
+        they were last counted.
         """
         wanted = [
             (dataset, tag)
@@ -71,7 +78,7 @@ class RawStore:
             for tag in csv.landed_releases(self.spark, self.landing, dataset)
             if tags is None or tag in tags
         ]
-        before = self._stored_rows(wanted)
+        before = {release: self._rows(*release) for release in wanted}
         running: list[StreamingQuery] = []
         try:
             for dataset, tag in wanted:
@@ -84,27 +91,25 @@ class RawStore:
             for stream in running:
                 stream.stop()
             raise
-        return self._stored_rows(wanted) - before
-
-    def _stored_rows(self, releases: Sequence[tuple[str, str]]) -> int:
-        """Committed rows of the given releases; parquet answers this from its footers."""
-        total = 0
-        for dataset in sorted({d for d, _ in releases}):
-            tags = {t for d, t in releases if d == dataset}
-            headers = {tag: columns for tag, columns in self._headers(dataset).items() if tag in tags}
-            if headers:
-                parts = [self._read(dataset, tag, columns).select("release_tag") for tag, columns in headers.items()]
-                total += reduce(lambda a, b: a.unionByName(b), parts).count()
-        return total
+        return sum(self._rows(*release) - before[release] for release in wanted)
+
+    def _rows(self, dataset: str, tag: str) -> int:
+        """Committed rows of a segment. A count holds until the sink commits another batch."""
+        names = csv.names_in(self.spark, f"{self.segment(dataset, tag)}/_spark_metadata")
+        batch = max((int(n.split(".")[0]) for n in names if n.split(".")[0].isdigit()), default=None)
+        if batch is None:
+            return 0
+        known = self.counts(dataset, tag).last()
+        if known is None or known.batch != batch:
+            counted = self._read(dataset, tag, self.header(dataset, tag).last().columns).count()
+            self.counts(dataset, tag).append({"batch": batch, "row_count": counted})
+            return counted
+        return known.row_count
 
     def _headers(self, dataset: str) -> dict[str, list[str]]:
-        """Column names of each stored release: one row per release, read in one job."""
-        segments = set(csv.names_in(self.spark, f"{self.root}/segments/{dataset}"))
-        if not segments or not csv.names_in(self.spark, self.header(dataset)):
-            return {}
-        rows = self.spark.read.schema("columns array<string>, release_tag string").parquet(self.header(dataset)).collect()
-        return {r["release_tag"]: r["columns"] for r in sorted(rows, key=lambda r: r["release_tag"])
-                if r["release_tag"] in segments}
+        """Column names of each stored release, in the order of their tags."""
+        found = {tag: self.header(dataset, tag).last() for tag in sorted(csv.names_in(self.spark, f"{self.root}/segments/{dataset}"))}
+        return {tag: entry.columns for tag, entry in found.items() if entry is not None}
 
     def table(self, dataset: str, tags: Sequence[str] | None = None) -> DataFrame:
         """The raw table, from stored segments alone. Reading a segment honours its commit log; a
