@@ -129,11 +129,22 @@ def test_a_replayed_batch_is_merged_once(spark):
     land(landing, R1, release_files())
     land(landing, R2, release_files(second=True))
     stream = SnapshotStream(spark, landing, scratch(spark, "streamed"), "drivers", 2000)
-    assert dict(rows(stream.run(R1))) == {"insert": 3, "update": 0, "unchanged": 0, "delete": 0}
+    assert dict(rows(stream.run(R1))) == {"insert": 3, "update": 0, "unchanged": 0}
     again = spark.read.options(header=True, multiLine=True, escape='"').csv(f"{landing}/drivers/release_tag={R1}").withColumn("release_tag", F.lit(R1))
     versions = stream.table.log.numbers()
     assert stream.merge_batch(R1, again, 0) is False and stream.table.log.numbers() == versions
     with pytest.raises(quality.CheckFailed, match="repeated_key=3"):  # the same rows as another batch
         stream.merge_batch(R1, again, 1)
-    assert dict(rows(stream.run(R2))) == {"insert": 1, "update": 1, "unchanged": 2, "delete": 0}
-    assert dict(rows(stream.run(R2))) == {"insert": 1, "update": 1, "unchanged": 2, "delete": 0}
+    assert dict(rows(stream.run(R2))) == {"insert": 1, "update": 1, "unchanged": 2}
+    assert dict(rows(stream.run(R2))) == {"insert": 1, "update": 1, "unchanged": 2}
+
+
+def test_the_end_of_a_release_deletes_what_it_lacks(spark):
+    table = VersionedTable(spark, scratch(spark, "end"))
+    old = spark.createDataFrame([("a", "1", 1), ("b", "1", 1), ("c", "1", 1)], SCHEMA)
+    assert table.merge_part(old, ["k"], 1, "r1#0") and not table.merge_end(1)
+    assert table.merge_part(spark.createDataFrame([("a", "1", 2)], SCHEMA), ["k"], 2, "r2#0")
+    assert table.merge_part(spark.createDataFrame([("b", "2", 2), ("d", None, 2)], SCHEMA), ["k"], 2, "r2#1")
+    assert table.read().count() == 4 and table.merge_end(2) and not table.merge_end(2)
+    assert rows(table.read()) == [("a", "1", 2), ("b", "2", 2), ("d", None, 2)]
+    assert dict(rows(table.changes_of(2))) == {"insert": 1, "update": 1, "unchanged": 1, "delete": 1}

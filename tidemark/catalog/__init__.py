@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.catalog import (  # noqa: F401  (importing a module registers its queries)
     aggregates,
+    builds,
     checks,
     exploring,
     files,

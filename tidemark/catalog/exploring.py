@@ -201,7 +201,7 @@ def explore_team_consistency(spark: SparkSession, folder: str) -> DataFrame:
         F.col("season").desc(), F.col("double_score_pct").desc())
 
 
-@query("X6 J7 A6", f"""
+TEAMMATES_SQL = f"""
     SELECT season, constructor_name, driver_a, driver_b, count(*) AS paired_entries,
            count(*) FILTER (st) AS both_started, count(*) FILTER (fi) AS comparable_finishes,
            count(*) FILTER (fi AND fa < fb) AS race_wins_a, count(*) FILTER (fi AND fa > fb) AS race_wins_b,
@@ -213,7 +213,10 @@ def explore_team_consistency(spark: SparkSession, folder: str) -> DataFrame:
                  x.qualifying_position AS qa, y.qualifying_position AS qb
           FROM {_RECENT} x, {_RECENT} y
           WHERE x.race_id = y.race_id AND x.constructor_id = y.constructor_id AND y.driver_id > x.driver_id)
-    GROUP BY 1, 2, 3, 4""")
+    GROUP BY 1, 2, 3, 4"""
+
+
+@query("X6 J7 A6", TEAMMATES_SQL)
 def explore_teammates(spark: SparkSession, folder: str) -> DataFrame:
     return X.teammate_comparison(Explore(spark, folder).recent).orderBy(
         F.col("season").desc(), "constructor_name", F.col("paired_entries").desc())
@@ -223,7 +226,7 @@ def explore_teammates(spark: SparkSession, folder: str) -> DataFrame:
     SELECT season, driver_name, period, count(*) FILTER (started) AS starts, sum(points)::DOUBLE AS race_points,
            {rounded("sum(points)::DOUBLE / nullif(count(*) FILTER (started), 0)", 2)} AS race_points_per_start,
            {_pct(f"count(*) FILTER ({_SCORED})", "count(*) FILTER (started)")} AS scoring_pct
-    FROM (SELECT p.*, CASE WHEN round + 5 > last THEN 'Last 5 rounds' ELSE 'Earlier rounds' END AS period
+    FROM (SELECT p.*, CASE WHEN round > last - 5 THEN 'Last 5 rounds' ELSE 'Earlier rounds' END AS period
           FROM {_RECENT} p JOIN (SELECT season, max(round) AS last FROM t_profile GROUP BY 1) USING (season))
     GROUP BY 1, 2, 3""")
 def explore_recent_form(spark: SparkSession, folder: str) -> DataFrame:
@@ -268,7 +271,7 @@ def explore_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
         "season", "entity_type", "entity_id")
 
 
-@query("X11 J8 W6 W7", f"""
+PROGRESSION_SQL = f"""
     WITH rounds AS (SELECT round, min(race_id) AS race_id FROM t_facts
                     WHERE season = {SEASON} AND session_type = 'RACE' GROUP BY 1),
     entrants AS (SELECT driver_id, driver_name FROM t_driver_season_rows WHERE season = {SEASON}),
@@ -280,7 +283,10 @@ def explore_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
     SELECT {SEASON}::BIGINT AS season, round, race_id, driver_id, driver_name, p::DOUBLE AS weekend_points,
            total::DOUBLE AS calculated_points,
            (max(total) OVER (PARTITION BY round) - total)::DOUBLE AS gap_to_calculated_leader
-    FROM dense""")
+    FROM dense"""
+
+
+@query("X11 J8 W6 W7", PROGRESSION_SQL)
 def explore_progression(spark: SparkSession, folder: str) -> DataFrame:
     e = Explore(spark, folder)
     return X.points_progression(e.facts, e.driver_season_rows, SEASON).orderBy(

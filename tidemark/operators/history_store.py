@@ -15,7 +15,7 @@ from types import SimpleNamespace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from tidemark.operators.entries import NumberedLog, remove
 from tidemark.operators.history import END, START, empty_history, version_changes
@@ -76,14 +76,14 @@ class HistoryStore:
         known = self._open(latest) if latest else empty
         columns, base = empty.columns, f"{self.root}/data/{seq}-{uuid.uuid4().hex}"
         try:
-            version_changes(known, snapshot, seq, self.keys, self.tracked).withColumn("_bucket", self._bucket()).write.partitionBy(
-                "_kind").parquet(f"{base}/changes")
+            version_changes(known, snapshot, seq, self.keys, self.tracked).write.partitionBy("_kind").parquet(
+                f"{base}/changes")
             kinds = names_in(self.spark, f"{base}/changes")
             closed = [f"{base}/changes/_kind=closed"] if "_kind=closed" in kinds else []
             opened = [f"{base}/changes/_kind=opened"] if "_kind=opened" in kinds else []
             entry = SimpleNamespace(closed=[*(latest.closed if latest else []), *closed],
                                     open=dict(latest.open) if latest else {}, schema=empty.schema.json())
-            changed = self._files([*closed, *opened], StructType([*empty.schema.fields, StructField("_bucket", IntegerType())]))
+            changed = self._files([*closed, *opened], empty.schema).withColumn("_bucket", self._bucket())
             # One row a bucket comes back, at most as many as there are buckets.
             told = changed.groupBy("_bucket").agg(F.count(END).alias("closed"), F.count_if(F.col(END).isNull()).alias("opened")).collect()
             counts = {"closed": sum(r["closed"] for r in told), "opened": sum(r["opened"] for r in told), "buckets": len(told)}

@@ -172,14 +172,15 @@ class VersionedTable:
                       forbidden=["repeated_key"])
         return True
 
-    def merge_end(self, release_seq: int, note: str) -> bool:
-        """After the last part of a snapshot: rows that it did not bring are deleted."""
-        if self._noted(note):
-            return False
+    def merge_end(self, release_seq: int) -> bool:
+        """After the last part of a snapshot: rows that it did not bring are deleted. Nothing is written if there are none,
+        so it may be repeated."""
         latest, seen = self.log.last(), Observation("changes")
         gone = ~F.col("_release_seq").eqNullSafe(F.lit(release_seq))
+        if latest is None or self.read().filter(gone).isEmpty():
+            return False
         counted = self.read().withColumn("_gone", gone).observe(seen, count_where(F.col("_gone")).alias("delete"))
-        self._publish(counted.filter(~F.col("_gone")).drop("_gone"), release_seq, latest, note=note, seen=seen)
+        self._publish(counted.filter(~F.col("_gone")).drop("_gone"), release_seq, latest, seen=seen)
         return True
 
     def changes_of(self, release_seq: int) -> DataFrame:

@@ -14,7 +14,7 @@ from tidemark.operators import history as H
 from tidemark.operators import parity, quality
 from tidemark.operators.ledger import completion_counts
 from tidemark.plans.gold import car_rows
-from tidemark.plans.schema import GOLD_KEYS, TERMINAL_TASKS
+from tidemark.plans.schema import DATASETS, GOLD_KEYS, TERMINAL_TASKS
 
 C = F.col
 
@@ -196,17 +196,23 @@ def open_history_matches(history: DataFrame, current: DataFrame, columns: Sequen
     return parity.bag_diff(history.filter(C(H.END).isNull()), current, columns)
 
 
-REFERENCES = (
-    ("races", "circuits", ("circuit_id",)),
-    ("race_results", "races", ("race_id", "season", "round")),
-    ("race_results", "drivers", ("driver_id",)),
-    ("race_results", "constructors", ("constructor_id",)),
-    ("sprint_results", "races", ("race_id", "season", "round")),
-    ("sprint_results", "drivers", ("driver_id",)),
-    ("sprint_results", "constructors", ("constructor_id",)),
-    ("driver_standings", "drivers", ("driver_id",)),
-    ("constructor_standings", "constructors", ("constructor_id",)),
-)
+#: Child, parent and keys of every declared reference.
+REFERENCES = tuple((name, parent, keys) for name, dataset in DATASETS.items() for parent, keys in dataset.references)
+
+
+def result_invariants(teammates: DataFrame, progression: DataFrame, seasons: DataFrame) -> DataFrame:
+    """``(invariant, n, violations)``: what must hold between results. One pass over each of them."""
+    pairs = teammates.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(C("race_wins_a") + C("race_wins_b") != C("comparable_finishes")).alias("race"),
+        F.count_if(C("qualifying_wins_a") + C("qualifying_wins_b") != C("comparable_qualifying")).alias("qualifying"))
+    names = {"race": "race wins of teammates", "qualifying": "qualifying wins of teammates"}
+    heads = pairs.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("invariant"), "n", C(column).alias("violations")) for column, name in names.items()])).alias("x")).select("x.*")
+    ends = progression.groupBy("driver_id").agg(F.max_by("calculated_points", "round").alias("total"))
+    totals = ends.join(seasons.select("driver_id", "source_points"), "driver_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(C("total") != C("source_points")).alias("violations"))
+    return heads.unionByName(totals.select(F.lit("last round and source points").alias("invariant"), "n", "violations"))
 
 
 def reference_report(silver: Mapping[str, DataFrame]) -> DataFrame:

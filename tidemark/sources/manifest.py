@@ -14,14 +14,11 @@ from tidemark.sources import csv_release as csv
 KEYS = ["dataset", "release_tag", "file"]
 
 
-HEADER_BYTES = 1 << 16
-
-
 def _header_names(content: Column) -> Column:
     """Column names of a file, from its first line, by the rules of the CSV reader: a quoted name may hold
-    commas and doubled quotes. Only the start of the content is decoded."""
-    start = F.decode(F.substring(content, 1, HEADER_BYTES), "UTF-8")
-    line = F.regexp_replace(F.substring_index(start, "\n", 1), "[\r\ufeff]", "")
+    commas and doubled quotes. The line is cut from the bytes, at whatever length; nothing behind it is read."""
+    first = F.substring_index(content.cast("string"), "\n", 1)
+    line = F.regexp_replace(first, "[\r\ufeff]", "")
     # Every name is ended by a comma, the last one by one added here.
     fields = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit('("(?:[^"]|"")*"|[^,]*),'), F.lit(1))
     quoted = '^"(.*)"$'
@@ -71,6 +68,12 @@ def build_manifest(spark: SparkSession, landing: str, releases: Mapping[str, lis
     return union_rows(parts)
 
 
+def table_manifest(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+    """Rows of each file of a stored parquet table, from its footers: what must arrive of it, told by nobody who reads it."""
+    rows = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("row_count"))
+    return rows.select(F.lit(dataset).alias("dataset"), "file", "row_count")
+
+
 def expected_rows(manifest: DataFrame) -> DataFrame:
     return manifest.groupBy("dataset", "release_tag").agg(F.sum("row_count").alias("row_count"))
 

@@ -2,7 +2,7 @@
 
 A file stream hands its micro-batches to a merge that is named after the release and the batch. A batch that was merged
 before a crash, but not yet committed by the stream, comes again under the same number and is skipped. What the release
-does not hold is deleted when the stream has reached its end, which is a step with a name of its own.
+does not hold is deleted when the stream has reached its end, which may be repeated.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ class SnapshotStream:
         (stream.writeStream.foreachBatch(lambda rows, batch: self.merge_batch(tag, rows, batch))
          .option("checkpointLocation", f"{self.root}/checkpoints/{self.dataset}/{tag}")
          .trigger(availableNow=True).start().awaitTermination())
-        self.table.merge_end(parse_tag(tag), f"{tag}#end")
+        self.table.merge_end(parse_tag(tag))
         if parents:
             quality.raise_if_failed(silver.table_checks(self.dataset, self.table.read(), tag, parents), f"current {self.dataset}")
         return self.table.changes_of(parse_tag(tag))
