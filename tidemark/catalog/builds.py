@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.catalog.exploring import FIRST, LAST, PROGRESSION_SQL, SEASON, TEAMMATES_SQL, VENUE, Explore
+from tidemark.catalog.exploring import FIRST, LAST, PROGRESSION_SQL, SEASON, TEAMMATES_SQL, Explore
 from tidemark.catalog.oracle_tables import SEQ
 from tidemark.catalog.registry import query
 from tidemark.catalog.state import KEYS, TAGS, TRACKED, all_snapshots, release_ledger, snapshot

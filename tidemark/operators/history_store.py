@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.entries import NumberedLog, remove
-from tidemark.operators.history import END, START, empty_history, version_changes
+from tidemark.operators.history import END, empty_history, version_changes
 from tidemark.operators.quality import CheckFailed, failing, stop_on
 from tidemark.sources.csv_release import names_in
 
