@@ -1,6 +1,7 @@
 """Every operator against a plain version, on texts with nulls, blanks, copies, ties, long ones and clashing columns."""
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -251,6 +252,47 @@ def test_mixture_prefers_heavier_documents(spark):
     assert sum(taken[i] for i in range(1, 2000, 2)) > 3 * sum(taken[i] for i in range(0, 2000, 2))
 
 
+@pytest.mark.parametrize("low", [1.0, 0.3, 0.0])
+def test_mixture_buckets_are_even_whatever_the_weights(spark, monkeypatch, low):
+    """A source of the least weight only, and one of mixed weights: no bucket above twice the median."""
+    monkeypatch.setattr(mixture, "ROWS_PER_BUCKET", 500)
+    frame = spark.range(40_000).select(
+        F.col("id").alias("doc_id"), F.lit(10).alias("size"), F.lit("s").alias("source"),
+        F.when(F.rand(3) < low, 0.05).otherwise(0.05 + 0.95 * F.rand(4)).alias("weight"))
+    targets = frame.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"),
+                                          F.lit(1.0).alias("target"))
+    n = sorted(r["count"] for r in mixture.with_buckets(frame, targets, 0).groupBy("bucket").count().collect())
+    assert len(n) == 80 and n[-1] < 2 * n[len(n) // 2]
+
+
+@pytest.mark.parametrize("rows_per_bucket, per_page", [(1_000, 1_000), (7, 3)])
+def test_mixture_takes_documents_in_the_order_of_their_keys(spark, monkeypatch, rows_per_bucket, per_page):
+    """Against a plain sort of -ln(u) / weight, with weights that are null, NaN, infinite, tiny and negative."""
+    monkeypatch.setattr(mixture, "ROWS_PER_BUCKET", rows_per_bucket)
+    monkeypatch.setattr(mixture, "BUCKETS_PER_PAGE", per_page)
+    odd = [None, float("nan"), float("inf"), 1e-9, -3.0, 0.05, 0.4, 1.0, 7.5]
+    rows = [(i, " ".join(["w"] * (i % 13)), "ab"[i % 5 == 0], odd[i % len(odd)]) for i in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, w double").repartition(3)
+    draw = {r[0]: r[1] for r in frame.select("doc_id", F.shiftrightunsigned(F.xxhash64(F.lit(5), "doc_id"), 11)).collect()}
+    sizes = Counter()
+    for _, t, s, _ in rows:
+        sizes[s] += len(t.split())
+    target = plain_targets(sizes)
+    expected = []
+    for s in sizes:
+        def key(row):
+            w = 1.0 if row[3] is None or math.isnan(row[3]) else min(max(row[3], 0.05), 2.0 ** 60)
+            return -math.log((draw[row[0]] + 0.5) / 2 ** 53) / w, row[0]
+        epochs, left = divmod(int(target[s]), sizes[s])
+        for row in sorted((r for r in rows if r[2] == s), key=key):
+            n = len(row[1].split())
+            part = min(n, left)
+            left -= part
+            expected.append((row[0], n, epochs * n + part))
+    got = mixture.mix(frame, seed=5, weight="w").select("doc_id", "size", "taken")
+    assert bag(got.collect()) == bag(expected)
+
+
 def test_mixed_documents(docs, none):
     out = mixture.mixed_documents(docs)
     assert out.columns == docs.columns
@@ -413,6 +455,19 @@ def test_top_k(spark, monkeypatch, limits):
     assert voronoi_knn.top_k(frame.filter("false"), F.col("vec_id") % 20 == 0).collect() == []
 
 
+def test_top_k_rules_cells_out(spark, monkeypatch):
+    """Vectors in tight clusters: few cells beside a query's own are searched, and the result is exact."""
+    monkeypatch.setattr(voronoi_knn, "ROWS_PER_PIVOT", 40)
+    rng = np.random.default_rng(5)
+    centers = rng.normal(size=(20, 16))
+    centers /= np.linalg.norm(centers, axis=1)[:, None]
+    rows = [(i, (4 * centers[i % 20] + 0.02 * rng.normal(size=16)).tolist()) for i in range(2_000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    join = voronoi_knn.VoronoiJoin(frame, F.col("vec_id") % 20 == 0)
+    assert bag(join.results().collect()) == bag(plain_top(rows, 20))
+    assert join.sent.count() < 0.2 * join.homes.count() * join.n_cells
+
+
 # Quality votes
 
 def test_quality_votes_on_held_out_labels(spark, small):

@@ -7,7 +7,8 @@ that order, and documents are taken until the rest of the target is reached. The
 only the words that are missing.
 
 The draw ``u`` is a hash of seed and doc_id, so reruns and retries agree. The weight of a document is a share
-of words that are not broken by symbols, from 0.05 to 1, unless a column of weights is given.
+of words that are not broken by symbols, from 0.05 to 1, unless a column of weights is given. Given weights count from 0.05
+to 2^60; null and NaN count as 1.
 
 Defined results: a null or blank text has size 0 and gives nothing. A null source is a source of its own,
 after all others. Null doc_ids draw like any other value. Rows that are equal in doc_id and size may swap
@@ -23,7 +24,10 @@ from tidemark.llm.common import WORD, carry, kept, pick, words_column
 from tidemark.operators.ranking import global_rank
 
 ROWS_PER_BUCKET = 1_000
+BUCKETS_PER_PAGE = 1_000
+BINS_PER_OCTAVE = 8         # of weights; there are 510 bins at most, and 36 for weights from 0.05 to 1
 LEAST_WEIGHT = 0.05
+MOST_WEIGHT = float(1 << 60)
 
 
 def n_words(text: Column) -> Column:
@@ -104,6 +108,54 @@ def mixed_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     return copied.select(*[f"_in{i}" for i in range(len(names))]).toDF(*names)
 
 
+def _key_shares(keyed: DataFrame) -> DataFrame:
+    """One row per source: the mean weight and the share of rows of each narrow range of weights.
+
+    A key of weight w lies below x with the probability 1 - exp(-w x), so these few numbers give the distribution of all
+    keys of a source, whatever its weights are.
+    """
+    bins = keyed.groupBy("source", F.floor(F.log2("weight") * BINS_PER_OCTAVE).alias("bin")).agg(
+        F.avg("weight").alias("w"), F.count(F.lit(1)).alias("n"))
+    return bins.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("w", "n"))).alias("shares"))
+
+
+def _key_rank(key: Column, shares: Column, rows: Column) -> Column:
+    """The expected share of a source's keys that are at most ``key``; it never falls as the key grows."""
+    return F.aggregate(shares, F.lit(0.0), lambda sum_, s: sum_ + s["n"] * (F.lit(1.0) - F.exp(-s["w"] * key))) / rows
+
+
+def with_buckets(sized: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
+    """Adds the key and its bucket, buckets of a source being in the order of keys and about equally full."""
+    uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 11) + 0.5) / float(1 << 53)
+    shares = _key_shares(sized).withColumnRenamed("source", "_source")
+    # Written, for means of doubles may differ in their last bits when they are computed again, and so may the edges.
+    table = kept(targets.join(shares, F.col("source").eqNullSafe(F.col("_source"))).drop("_source"), "sources-of-keys")
+    # The table of sources is joined by whatever way Spark finds right for its size; a source that holds
+    # many documents is a skewed join, which adaptive execution splits.
+    keyed = sized.withColumn("key", -F.log(uniform) / F.col("weight")).join(
+        table, sized["source"].eqNullSafe(table["source"])).drop(table["source"])
+    buckets = F.ceil(F.col("rows") / ROWS_PER_BUCKET)
+    return keyed.withColumn("bucket", F.floor(
+        _key_rank(F.col("key"), F.col("shares"), F.col("rows")) * buckets)).drop("shares")
+
+
+def _earlier(totals: DataFrame) -> DataFrame:
+    """_source, _bucket, base: the words of all buckets of the source before this one.
+
+    Pages of buckets are summed first, so the longest window holds a millionth of a source's rows.
+    """
+    paged = totals.withColumn("page", F.floor(F.col("bucket") / BUCKETS_PER_PAGE))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    pages = paged.groupBy("source", "page").agg(F.sum("in_bucket").alias("in_page"))
+    pages = pages.select(
+        F.col("source").alias("_of"), F.col("page").alias("_page"),
+        F.coalesce(F.sum("in_page").over(before.partitionBy("source").orderBy("page")), F.lit(0)).alias("ahead"))
+    inside = F.coalesce(F.sum("in_bucket").over(before.partitionBy("source", "page").orderBy("bucket")), F.lit(0))
+    return paged.withColumn("_inside", inside).join(
+        pages, F.col("source").eqNullSafe(F.col("_of")) & (F.col("page") == F.col("_page"))).select(
+        F.col("source").alias("_source"), F.col("bucket").alias("_bucket"), (F.col("ahead") + F.col("_inside")).alias("base"))
+
+
 def mix(documents: DataFrame, cycle: tuple[int, ...] = (5, 2, 1), percent: int = 150, max_epochs: int = 2,
         seed: int = 0, weight: str | None = None, doc_id: str = "doc_id", text: str = "text",
         source: str = "source", keep: str | None = None) -> DataFrame:
@@ -114,31 +166,24 @@ def mix(documents: DataFrame, cycle: tuple[int, ...] = (5, 2, 1), percent: int =
 
     The prefix sums of a source run in buckets of the key: each bucket is summed on its own on top of the
     totals of the buckets before it, so one source with a third of all rows is no single task's work. The
-    number of buckets follows the number of rows of the source.
+    number of buckets follows the number of rows of the source, their edges the distribution of its keys.
     """
     columns = {"doc_id": doc_id, "text": text, "source": source} | ({"given": weight} if weight else {})
     docs = pick(documents, **columns, **({"_copy": keep} if keep else {}))
     more = ["_copy"] if keep else []
     size = n_words(F.col("text"))
+    if weight:
+        given = F.coalesce(F.nanvl(F.col("given").cast("double"), F.lit(1.0)), F.lit(1.0))
+        weights = F.least(F.greatest(given, F.lit(LEAST_WEIGHT)), F.lit(MOST_WEIGHT))
+    else:
+        weights = quality_weight(F.col("text"), size)
     sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), size.alias("size"),
-                        (F.greatest(F.lit(LEAST_WEIGHT), F.coalesce(F.col("given").cast("double"), F.lit(1.0)))
-                         if weight else quality_weight(F.col("text"), size)).alias("weight"), *more)
+                        weights.alias("weight"), *more)
     sized = kept(sized, "sizes")  # all that follows reads a few bytes a document
     targets = source_targets(sized, cycle, percent, max_epochs)
 
-    uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 11) + 0.5) / float(1 << 53)
-    # The table of sources is joined by whatever way Spark finds right for its size; a source that holds
-    # many documents is a skewed join, which adaptive execution splits.
-    keyed = sized.withColumn("key", -F.log(uniform) / F.col("weight")).join(
-        targets, sized["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    buckets = F.ceil(F.col("rows") / ROWS_PER_BUCKET)
-    # 1 - exp(-key) spreads the keys over 0..1, evenly where all weights are 1.
-    keyed = keyed.withColumn("bucket", F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * buckets))
-
-    totals = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
-    earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = totals.select(F.col("source").alias("_source"), F.col("bucket").alias("_bucket"),
-                         F.coalesce(F.sum("in_bucket").over(earlier), F.lit(0)).alias("base"))
+    keyed = with_buckets(sized, targets, seed)
+    base = _earlier(keyed.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket")))
     inside = (Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     summed = keyed.withColumn("inside", F.sum("size").over(inside)).join(
