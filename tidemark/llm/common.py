@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,6 +55,20 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [b"" if x is None else x for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
+def released(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The task, after which its worker gives freed memory back: Spark keeps idle workers for the tasks to come."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+            if trim:
+                trim(0)
+
+    return run
+
+
 def words_column(text: Column) -> Column:
     """Words of a text as an array; null and blank texts give an empty one."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != F.lit(""))

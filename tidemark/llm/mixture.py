@@ -92,7 +92,8 @@ def mixed_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     own, body, origin = (f"_in{names.index(n)}" for n in (doc_id, text, source))
     inner = inner.withColumn("_copy", _copy_key(own, body, origin))
     taken = mix(inner, doc_id=own, text=body, source=origin, keep="_copy", **settings).filter("taken > 0")
-    taken = _numbered(taken.select("doc_id", "_copy", "size", "taken"), "doc_id").withColumnRenamed("_nth", "_n")
+    taken = kept(taken.select("doc_id", "_copy", "size", "taken"), "taken")  # so the whole texts meet a small plan
+    taken = _numbered(taken, "doc_id").withColumnRenamed("_nth", "_n")
     taken = taken.withColumnRenamed("_copy", "_c").withColumnRenamed("doc_id", "_id")
     joined = _numbered(inner, own).join(taken, F.col(own).eqNullSafe(F.col("_id")) & (F.col("_copy") == F.col("_c"))
                                         & (F.col("_nth") == F.col("_n")))

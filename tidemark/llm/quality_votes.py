@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import pick, texts_of
+from tidemark.llm.common import pick, released, texts_of
 from tidemark.llm.rolling import TABLE64, mixed, slabs
 
 MARKS = 64           # term numbers for marks of structure; the rest is shared by trigrams and shapes
@@ -225,7 +225,7 @@ def classify(documents: DataFrame, labels: DataFrame, settings: VoteSettings = V
             score = votes(texts_of(batch, f"_in{place}"), model.value, settings)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, "score"])
 
-    return inner.mapInArrow(work, f"{schema}, score double")
+    return inner.mapInArrow(released(work), f"{schema}, score double")
 
 
 def scores(documents: DataFrame, labels: DataFrame, settings: VoteSettings = VoteSettings(), doc_id: str = "doc_id",
