@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import (bpe, bwt, byte_repeats, line_rules, mixture, passages, pseudonyms, quality_votes, simhash,
-                          voronoi_knn, warc)
+                          sketch, voronoi_knn, warc)
 from tidemark.llm.components import components
 from tidemark.llm.sketch import SketchShape
 
@@ -326,6 +326,51 @@ def test_passages_with_a_full_sketch(docs):
     assert bag(passages.remove_repeated(docs, shape=full).collect()) == bag(passages.remove_repeated(docs, shape=SMALL_SKETCH).collect())
 
 
+SPLIT_SKETCH = SketchShape(cells=1 << 12, slice_cells=1 << 10)
+
+
+def test_sketches_by_range_do_not_fill_up(spark):
+    """Anchors that occur once stay out however many there are, since ranges follow their number; none that repeats does."""
+    rng = np.random.default_rng(5)
+    once, twice = rng.integers(0, 1 << 63, 60_000).astype(np.uint64), rng.integers(0, 1 << 63, 2_000).astype(np.uint64)
+    shape = SPLIT_SKETCH
+    rows = [(bytearray(h.tobytes()),) for h in np.array_split(np.concatenate([once, twice, twice]), 40)]
+    frame = spark.createDataFrame(rows, "hashes binary").repartition(4)
+
+    def hashes(batch):
+        for own in batch.column("hashes").to_pylist():
+            yield np.frombuffer(own, np.uint64), 1
+
+    passed = {}
+    for expected in (1, 64_000):
+        found, n = sketch.stored_sketch(frame, hashes, shape, expected)
+        assert n == 40 and found.maybe_repeated(twice).all()
+        passed[found.ranges] = found.maybe_repeated(once).mean()
+    assert sorted(passed) == [1, 63]
+    assert passed[1] > 0.95 and passed[63] < 0.08
+
+
+@pytest.mark.parametrize("held", [1, 1 << 20])
+def test_repeats_with_many_ranges(docs, monkeypatch, held):
+    for module in (passages, byte_repeats):
+        monkeypatch.setattr(module, "HELD_TEXT", held)
+    split = SketchShape(cells=1 << 10, slice_cells=1 << 8)
+    for module, remove in ((passages, passages.remove_repeated), (byte_repeats, byte_repeats.remove_repeats)):
+        one = bag(tuple(map(str, r)) for r in remove(docs, shape=SMALL_SKETCH).collect())
+        ranges = []
+
+        def stored(*given):
+            found = sketch.stored_sketch(*given)
+            ranges.append(found[0].ranges)
+            return found
+
+        with monkeypatch.context() as patch:
+            patch.setattr(module, "text_bytes", lambda frame: 20_000)   # enough for some ranges, not for hundreds
+            patch.setattr(module, "stored_sketch", stored)
+            assert bag(tuple(map(str, r)) for r in remove(docs, shape=split).collect()) == one
+        assert ranges[0] > 1
+
+
 def plain_bytes(rows, width):
     first = {}
     for i, t in rows:

@@ -39,7 +39,7 @@ from tidemark.llm.bwt import collection_bwt, suffix_rows
 from tidemark.llm.common import kept, pick, texts_of
 from tidemark.llm.packing import by_group, counts_of, counts_to, distinct, group_of, key_of, keys_of, positions_of, split_by_key, steps_of
 from tidemark.llm.rolling import slabs, sliding_argmin, windows
-from tidemark.llm.sketch import SketchShape, among, hot_anchors, keys_present, maybe_present, maybe_repeated, merged_sketch, squeezed, unsqueezed
+from tidemark.llm.sketch import SketchShape, StoredSketch, among, hot_anchors, keys_present, maybe_present, squeezed, stored_sketch, text_bytes, unsqueezed
 
 ANCHOR_BYTES = 24
 WINDOWS_A_BUCKET = 3_000_000
@@ -47,6 +47,7 @@ HELD_BYTES = 48 << 20
 HELD_FRAGMENTS = 1_000_000
 HOT_FRAGMENTS = 1 << 16
 SLAB = 1 << 19
+HELD_TEXT = 48 << 20     # bytes of text that wait for the ranges of a sketch
 _LENGTH_BITS = 8   # a run of windows in a fragment is at most 255 long
 
 
@@ -192,15 +193,23 @@ def _solved(pieces: list[bytes], anchors: np.ndarray, doc: np.ndarray, at: np.nd
     return doc[row], (at[row] + begin) << _LENGTH_BITS | (end - begin)
 
 
-def repeated_runs(docs: DataFrame, width: int, anchor: int, shape: SketchShape, buckets: int, groups: int, bits,
+def repeated_runs(docs: DataFrame, width: int, anchor: int, sketch: StoredSketch, buckets: int, groups: int,
                   n_windows: int) -> DataFrame:
     """grp, keys, counts, at: runs of window starts to remove, packed by group of documents."""
-    def kinds(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def screened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        def found() -> Iterator[tuple]:
+            for batch in batches:
+                texts, ids = texts_of(batch), batch.column("doc_id").to_pylist()
+                for a, b in slabs(texts, SLAB):
+                    own = Fragments(texts[a:b], width, anchor)
+                    yield len(own.data), own.anchors, (own, texts[a:b], ids[a:b])
+
+        for hit, thing in sketch.screened(found(), HELD_TEXT):
+            yield np.flatnonzero(hit), *thing
+
+    def kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Two fragments of an anchor are alike if their first and last windows are."""
-        texts = texts_of(batch)
-        for a, b in slabs(texts, SLAB):
-            found = Fragments(texts[a:b], width, anchor)
-            chosen = np.flatnonzero(maybe_repeated(found.anchors, bits.value, shape))
+        for chosen, found, _, _ in screened(batches):
             if len(chosen):
                 hashes = windows(np.frombuffer(found.data, np.uint8), width)
                 start = found.start[chosen]
@@ -210,36 +219,32 @@ def repeated_runs(docs: DataFrame, width: int, anchor: int, shape: SketchShape,
 
     def fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         home = _Home(width, buckets, groups)
-        for batch in batches:
-            texts, ids = texts_of(batch), batch.column("doc_id").to_pylist()
-            for a, b in slabs(texts, SLAB):
-                found = Fragments(texts[a:b], width, anchor)
-                chosen = np.flatnonzero(maybe_repeated(found.anchors, bits.value, shape))
-                known: dict[int, int] = {}
-                much = among(found.anchors[chosen], hot).tolist()
-                for s, n, o, h, m in zip(found.start[chosen].tolist(), found.size[chosen].tolist(), found.owner[chosen].tolist(),
-                                         found.anchors[chosen].tolist(), much, strict=True):
-                    if ids[a + o] is None:
-                        continue
-                    if o not in known:
-                        key = key_of(ids[a + o], texts[a + o])
-                        # What a row loses is known by its id and text: rows that repeat here have all been said.
-                        known[o] = -1 if key in home.seen else len(home.ids)
-                        if known[o] >= 0:
-                            home.seen.add(key)
-                            home.ids.append(ids[a + o])
-                            home.keys.append(key)
-                    if known[o] < 0:
-                        continue
-                    at = s - int(found.first[o])
-                    if m:
-                        for i in range(n):
-                            window = found.data[s + i:s + i + width]
-                            home.add(window, xxhash.xxh64_intdigest(window), known[o], at + i)
-                    else:
-                        home.add(found.data[s:s + n + width - 1], h, known[o], at)
-                if home.held >= HELD_BYTES:
-                    yield from home.send()
+        for chosen, found, texts, ids in screened(batches):
+            known: dict[int, int] = {}
+            much = among(found.anchors[chosen], hot).tolist()
+            for s, n, o, h, m in zip(found.start[chosen].tolist(), found.size[chosen].tolist(), found.owner[chosen].tolist(),
+                                     found.anchors[chosen].tolist(), much, strict=True):
+                if ids[o] is None:
+                    continue
+                if o not in known:
+                    key = key_of(ids[o], texts[o])
+                    # What a row loses is known by its id and text: rows that repeat here have all been said.
+                    known[o] = -1 if key in home.seen else len(home.ids)
+                    if known[o] >= 0:
+                        home.seen.add(key)
+                        home.ids.append(ids[o])
+                        home.keys.append(key)
+                if known[o] < 0:
+                    continue
+                at = s - int(found.first[o])
+                if m:
+                    for i in range(n):
+                        window = found.data[s + i:s + i + width]
+                        home.add(window, xxhash.xxh64_intdigest(window), known[o], at + i)
+                else:
+                    home.add(found.data[s:s + n + width - 1], h, known[o], at)
+            if home.held >= HELD_BYTES:
+                yield from home.send()
         yield from home.send()
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,11 +294,10 @@ def remove_repeats(documents: DataFrame, width: int = 50, anchor: int = ANCHOR_B
             found = Fragments(texts[a:b], width, anchor)
             yield found.anchors, found.windows
 
-    merged, n_windows = merged_sketch(docs, sketched, shape)
-    bits = documents.sparkSession.sparkContext.broadcast(merged)
+    # Of random hashes, two in width - anchor + 2 are the least of their window.
+    sketch, n_windows = stored_sketch(docs, sketched, shape, text_bytes(docs) * 2 / (width - anchor + 2))
     parts = max(8, n_windows // WINDOWS_A_BUCKET)  # sized by the windows that were counted
-    repeats = kept(repeated_runs(docs, width, anchor, shape, parts, parts, bits, n_windows), "repeated-bytes")
-    bits.destroy()  # the result is written; nothing reads the first sketch again
+    repeats = kept(repeated_runs(docs, width, anchor, sketch, parts, parts, n_windows), "repeated-bytes")
     present = documents.sparkSession.sparkContext.broadcast(keys_present(repeats))
     kind = docs.schema["doc_id"].dataType.simpleString()
     results = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + (["cleaned"] if with_text else [])

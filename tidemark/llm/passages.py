@@ -28,12 +28,14 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import kept, pick, texts_of
 from tidemark.llm.packing import by_group, counts_of, counts_to, distinct, group_of, key_of, keys_of, positions_of, split_by_key, steps_of
 from tidemark.llm.rolling import joined_windows, slabs, sliding_argmin
-from tidemark.llm.sketch import SketchShape, among, hot_anchors, keys_present, maybe_present, maybe_repeated, merged_sketch, squeezed, unsqueezed
+from tidemark.llm.sketch import SketchShape, StoredSketch, among, hot_anchors, keys_present, maybe_present, squeezed, stored_sketch, text_bytes, unsqueezed
 
 ANCHOR_WORDS = 10
 WINDOWS_A_TASK = 1_000_000
 HELD_WINDOWS = 3_000_000
 HOT_WINDOWS = 1 << 18
+HELD_TEXT = 16 << 20     # bytes of text that wait for the ranges of a sketch
+WORD_BYTES = 4           # a word and its space have more on average; only a guess for the number of ranges
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\x0b\x0c")] = True
 
@@ -132,41 +134,38 @@ class _Candidates:
         self.clear()
 
 
-def repeated_windows(docs: DataFrame, width: int, anchor: int, shape: SketchShape, buckets: int, groups: int,
-                     bits, n_windows: int) -> DataFrame:
+def repeated_windows(docs: DataFrame, width: int, anchor: int, sketch: StoredSketch, buckets: int, groups: int,
+                     n_windows: int) -> DataFrame:
     """grp, keys, counts, at: window starts that are repeated, packed by group of documents."""
-    def kinds(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        texts = texts_of(batch)
-        for a, b in slabs(texts):
-            words = Words(texts[a:b])
-            one = words.hashes(0)
-            starts, number, anchors = anchored(words, width, anchor, one)
-            if len(starts):
-                chosen = maybe_repeated(anchors, bits.value, shape)[number]
-                yield anchors[number[chosen]], joined_windows(one, width)[starts[chosen]]
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            texts, ids = texts_of(batch), batch.column("doc_id").to_pylist()
+            for a, b in slabs(texts):
+                words = Words(texts[a:b])
+                starts, number, anchors = anchored(words, width, anchor, words.hashes(0))
+                if len(starts):
+                    yield len(words.data), anchors, (words, starts, number, anchors, texts[a:b], ids[a:b])
+
+    def kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for hit, (words, starts, number, anchors, _, _) in sketch.screened(found(batches), HELD_TEXT):
+            chosen = hit[number]
+            yield anchors[number[chosen]], joined_windows(words.hashes(0), width)[starts[chosen]]
 
     hot = hot_anchors(docs, kinds, HELD_WINDOWS, HOT_WINDOWS, n_windows)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Candidates(buckets, groups, hot)
-        for batch in batches:
-            texts, ids = texts_of(batch), batch.column("doc_id").to_pylist()
-            for a, b in slabs(texts):
-                words = Words(texts[a:b])
-                one = words.hashes(0)
-                starts, number, anchors = anchored(words, width, anchor, one)
-                if not len(starts):
-                    continue
-                chosen = maybe_repeated(anchors, bits.value, shape)[number]
-                starts, number = starts[chosen], number[chosen]
-                if not len(starts):
-                    continue
-                owner = words.owner[starts]
-                docs_here, place = np.unique(owner, return_inverse=True)
-                held.add(joined_windows(one, width)[starts], joined_windows(words.hashes(1), width)[starts], anchors[number], place,
-                         starts - words.first[owner], [key_of(ids[a + d], texts[a + d]) for d in docs_here])
-                if held.size >= HELD_WINDOWS:
-                    yield from held.send()
+        for hit, (words, starts, number, anchors, texts, ids) in sketch.screened(found(batches), HELD_TEXT):
+            chosen = hit[number]
+            starts, number = starts[chosen], number[chosen]
+            if not len(starts):
+                continue
+            owner = words.owner[starts]
+            docs_here, place = np.unique(owner, return_inverse=True)
+            high, low = (joined_windows(words.hashes(i), width)[starts] for i in (0, 1))
+            held.add(high, low, anchors[number], place, starts - words.first[owner], [key_of(ids[d], texts[d]) for d in docs_here])
+            if held.size >= HELD_WINDOWS:
+                yield from held.send()
         yield from held.send()
 
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,11 +221,10 @@ def remove_repeated(documents: DataFrame, width: int = 35, anchor: int = ANCHOR_
             starts, _, anchors = anchored(words, width, anchor, words.hashes(0))
             yield anchors, len(starts)
 
-    found, n_windows = merged_sketch(docs, sketched, shape)
-    bits = spark.sparkContext.broadcast(found)
+    # Of random hashes, two in width - anchor + 2 are the least of their window.
+    sketch, n_windows = stored_sketch(docs, sketched, shape, text_bytes(docs) / WORD_BYTES * 2 / (width - anchor + 2))
     parts = max(8, n_windows // WINDOWS_A_TASK)  # sized by the windows that were counted
-    repeats = kept(repeated_windows(docs, width, anchor, shape, parts * 4, parts, bits, n_windows), "repeated-windows")
-    bits.destroy()  # the result is written; nothing reads the first sketch again
+    repeats = kept(repeated_windows(docs, width, anchor, sketch, parts * 4, parts, n_windows), "repeated-windows")
     present = spark.sparkContext.broadcast(keys_present(repeats))
     kind = docs.schema["doc_id"].dataType.simpleString()
     results = ["doc_id", "n_words", "n_removed", "kept_sha256"] + (["cleaned"] if with_text else [])

@@ -5,23 +5,32 @@ equal anchors, so a window can only be repeated if its anchor is counted at leas
 of all runs, since neighbouring windows share them.
 
 Each task counts its anchors in a sketch of ``depth`` rows with ``cells`` counters that stop at two, and sends only what
-it has touched, by slices of the rows. Slices are merged in parallel. What remains is one bit per counter, so the merged
-sketch has ``depth * cells / 8`` bytes at any size of the input and may be broadcast. Counters are only ever too high:
-with more input the sketch lets more through, and never holds back a repeated window.
+it has touched, by slices of the rows. Slices are merged in parallel. What remains is one bit per counter.
+
+A sketch of one size lets nearly everything through once the anchors outnumber its cells. So the anchors are split into
+ranges of a hash, as many as keep ``load`` anchors a cell, and each range has a sketch of its own. All are counted in one pass
+and written to a table in the shared folder. A task that asks holds what it found in many texts and opens one range after
+the other, ``depth * cells / 8`` bytes at a time; nothing of them goes through the driver. Counters are only ever too
+high: a repeated window is never held back.
 """
 
 from __future__ import annotations
 
+import math
 import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.rolling import mixed
+from tidemark.session import scratch
 
 FLUSH = 4_000_000
 KEY_BYTES = 12              # of the key of a document
@@ -32,11 +41,15 @@ class SketchShape:
     depth: int = 2
     cells: int = 1 << 28         # a row; a power of two. 2 rows of 2^28 bits are at most 64 MB, less while sparse
     slice_cells: int = 1 << 20
+    load: float = 0.25           # anchors a cell: of those that occur once, (1 - exp(-load)) ** depth pass, here 5 %
 
     @property
     def slices(self) -> int:
         return self.cells // self.slice_cells
 
+    def ranges(self, anchors: float) -> int:
+        return max(1, math.ceil(anchors / (self.cells * self.load)))
+
 
 #: Of documents there are far fewer than of anchors: 4 MB at most.
 DOCUMENTS = SketchShape(cells=1 << 24)
@@ -79,27 +92,36 @@ def cells_of(hashes: np.ndarray, shape: SketchShape) -> Iterator[np.ndarray]:
         yield (mixed(hashes + np.uint64(row * 2 + 1)) & np.uint64(shape.cells - 1)).astype(np.int64)
 
 
-def _sent(hashes: np.ndarray, shape: SketchShape) -> Iterator[pa.RecordBatch]:
-    """Touched cells of one task's sketch: per slice, steps between cells counted once, and more than once."""
-    names, slices, once, often = ["slice", "once", "often"], [], [], []
-    for row, cells in enumerate(cells_of(hashes, shape)):
-        cell, n = np.unique(cells, return_counts=True)
-        bounds = np.searchsorted(cell, np.arange(shape.slices + 1) * shape.slice_cells)
-        for s in np.flatnonzero(np.diff(bounds)):
-            part, many = cell[bounds[s]:bounds[s + 1]] - s * shape.slice_cells, n[bounds[s]:bounds[s + 1]] > 1
-            slices.append(row * shape.slices + int(s))
-            once.append(squeezed(np.diff(part[~many], prepend=0).astype("<u4").tobytes()))
-            often.append(squeezed(np.diff(part[many], prepend=0).astype("<u4").tobytes()))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(slices, pa.int32()), pa.array(once, pa.binary()), pa.array(often, pa.binary())], names=names)
-
-
-def merged_sketch(docs: DataFrame, anchors: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, int]]],
-                  shape: SketchShape) -> tuple[PackedBits, int]:
-    """The bits of all counters that reached two, and the number of windows in all.
-
-    ``anchors(batch)`` gives hashes of anchors, and the windows that they stand for.
-    """
+def range_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
+    """The range of each hash, by other bits than its cells."""
+    return ((mixed(hashes ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+
+
+def _sent(hashes: np.ndarray, shape: SketchShape, ranges: int) -> Iterator[pa.RecordBatch]:
+    """Touched cells of one task's sketches: per range and slice, steps between cells counted once, and more than once."""
+    names = ["range", "slice", "once", "often", "windows"]
+    number = range_of(hashes, ranges)
+    order = np.argsort(number, kind="stable")
+    limits = np.searchsorted(number[order], np.arange(ranges + 1))
+    for r in np.flatnonzero(np.diff(limits)).tolist():
+        own = hashes if ranges == 1 else hashes[order[limits[r]:limits[r + 1]]]
+        slices, once, often = [], [], []
+        for row, cells in enumerate(cells_of(own, shape)):
+            cell, n = np.unique(cells, return_counts=True)
+            bounds = np.searchsorted(cell, np.arange(shape.slices + 1) * shape.slice_cells)
+            for s in np.flatnonzero(np.diff(bounds)):
+                part, many = cell[bounds[s]:bounds[s + 1]] - s * shape.slice_cells, n[bounds[s]:bounds[s + 1]] > 1
+                slices.append(row * shape.slices + int(s))
+                once.append(squeezed(np.diff(part[~many], prepend=0).astype("<u4").tobytes()))
+                often.append(squeezed(np.diff(part[many], prepend=0).astype("<u4").tobytes()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r] * len(slices), pa.int32()), pa.array(slices, pa.int32()), pa.array(once, pa.binary()),
+             pa.array(often, pa.binary()), pa.array([0] * len(slices), pa.int64())], names=names)
+
+
+def _merged(docs: DataFrame, anchors: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, int]]], shape: SketchShape,
+            ranges: int, parts: int) -> DataFrame:
+    """range, slice, bits: the counters that reached two; and, under range -1, windows: how many there are."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, windows = [], 0, 0
         for batch in batches:
@@ -107,49 +129,124 @@ def merged_sketch(docs: DataFrame, anchors: Callable[[pa.RecordBatch], Iterator[
                 held.append(hashes)
                 size, windows = size + len(hashes), windows + n
                 if size >= FLUSH:
-                    yield from _sent(np.concatenate(held), shape)
+                    yield from _sent(np.concatenate(held), shape, ranges)
                     held, size = [], 0
         if held:
-            yield from _sent(np.concatenate(held), shape)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([-1], pa.int32()), pa.array([np.array([windows], "<i8").tobytes()], pa.binary()),
-             pa.array([b""], pa.binary())], names=["slice", "once", "often"])
+            yield from _sent(np.concatenate(held), shape, ranges)
+        if windows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([-1], pa.int32()), pa.array([0], pa.int32()), pa.array([b""], pa.binary()),
+                 pa.array([b""], pa.binary()), pa.array([windows], pa.int64())], names=["range", "slice", "once", "often", "windows"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters: dict[int, np.ndarray] = {}
-        windows = 0
+        counters: dict[tuple[int, int], np.ndarray] = {}
+        total = 0
         for batch in batches:
-            for s, once, often in zip(*(batch.column(c).to_pylist() for c in ("slice", "once", "often")), strict=True):
-                if s < 0:
-                    windows += int(np.frombuffer(once, "<i8")[0])
+            for r, s, once, often, windows in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if r < 0:
+                    total += windows
                     continue
-                if s not in counters:
-                    counters[s] = np.zeros(shape.slice_cells, np.uint8)
+                if (r, s) not in counters:
+                    counters[r, s] = np.zeros(shape.slice_cells, np.uint8)
+                own = counters[r, s]
                 at = np.cumsum(np.frombuffer(unsqueezed(once), "<u4").astype(np.int64))
-                counters[s][at] = np.minimum(2, counters[s][at] + 1)
-                counters[s][np.cumsum(np.frombuffer(unsqueezed(often), "<u4").astype(np.int64))] = 2
-        out = [(s, squeezed(np.packbits(c > 1).tobytes())) for s, c in counters.items()]
-        out.append((-1, np.array([windows], "<i8").tobytes()))
+                own[at] = np.minimum(2, own[at] + 1)
+                own[np.cumsum(np.frombuffer(unsqueezed(often), "<u4").astype(np.int64))] = 2
+        rows = [(r, s, squeezed(np.packbits(c > 1).tobytes()), 0) for (r, s), c in counters.items()]
+        rows += [(-1, 0, b"", total)] if total else []
         yield pa.RecordBatch.from_arrays(
-            [pa.array([s for s, _ in out], pa.int32()), pa.array([b for _, b in out], pa.binary())],
-            names=["slice", "bits"])
+            [pa.array([x[i] for x in rows], k) for i, k in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.int64()))],
+            names=["range", "slice", "bits", "windows"])
 
-    touched = docs.mapInArrow(count, "slice int, once binary, often binary")
-    bits = np.zeros((shape.depth * shape.slices, shape.slice_cells // 8), np.uint8)
-    windows = 0
-    # The number of slices is fixed by the shape, so all that comes to the driver is the size of one sketch.
-    for r in touched.repartition(min(shape.depth * shape.slices, 64), "slice").mapInArrow(
-            merge, "slice int, bits binary").collect():
-        if r["slice"] < 0:
-            windows += int(np.frombuffer(r["bits"], "<i8")[0])
-        else:
-            bits[r["slice"]] = np.frombuffer(unsqueezed(r["bits"]), np.uint8)
-    return PackedBits(bits.reshape(shape.depth, -1)), windows
-
-
-def maybe_repeated(hashes: np.ndarray, packed: PackedBits, shape: SketchShape) -> np.ndarray:
-    """False only for hashes that were counted once at most."""
-    hit, bits = np.ones(len(hashes), bool), packed.bits()
+    touched = docs.mapInArrow(count, "range int, slice int, once binary, often binary, windows long")
+    # A task merges some slices of one range, so that a range is a few files.
+    return touched.repartition(parts * ranges, "range", F.col("slice") % parts).mapInArrow(merge, _SLICES)
+
+
+_SLICES = "range int, slice int, bits binary, windows long"
+_opened: dict[tuple[str, int], np.ndarray] = {}     # the one range that this process asked last
+
+
+@dataclass(frozen=True)
+class StoredSketch:
+    """Where the merged sketches are; small enough to go with every task."""
+
+    path: str
+    shape: SketchShape
+    ranges: int
+
+    def bits(self, number: int) -> np.ndarray:
+        if (self.path, number) not in _opened:
+            _opened.clear()
+            shape = self.shape
+            bits = np.zeros((shape.depth * shape.slices, shape.slice_cells // 8), np.uint8)
+            system, root = fs.FileSystem.from_uri(self.path)
+            for file in system.get_file_info(fs.FileSelector(f"{root}/range={number}", allow_not_found=True)):
+                if file.base_name.endswith(".parquet"):
+                    with system.open_input_file(file.path) as source:
+                        for batch in pq.ParquetFile(source).iter_batches(16, columns=["slice", "bits"]):
+                            for s, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                                bits[s] = np.frombuffer(unsqueezed(data), np.uint8)
+            _opened[self.path, number] = bits.reshape(shape.depth, -1)
+        return _opened[self.path, number]
+
+    def maybe_repeated(self, hashes: np.ndarray) -> np.ndarray:
+        """False only for hashes that were counted once at most."""
+        if self.ranges == 1:
+            return _hits(hashes, self.bits(0), self.shape)
+        hit, number = np.zeros(len(hashes), bool), range_of(hashes, self.ranges)
+        order = np.argsort(number, kind="stable")
+        limits = np.searchsorted(number[order], np.arange(self.ranges + 1))
+        for r in np.flatnonzero(np.diff(limits)).tolist():
+            own = order[limits[r]:limits[r + 1]]
+            hit[own] = _hits(hashes[own], self.bits(r), self.shape)
+        return hit
+
+    def screened(self, found: Iterator[tuple[int, np.ndarray, Any]], held: int) -> Iterator[tuple[np.ndarray, Any]]:
+        """``found`` gives bytes of text, hashes, and anything; back come which hashes may be repeated, and the same thing.
+
+        With several ranges about ``held`` bytes of text wait for each other, so that a range is opened once for all of them.
+        """
+        waiting: list[tuple[np.ndarray, Any]] = []
+        size = 0
+
+        def told() -> Iterator[tuple[np.ndarray, Any]]:
+            hit = self.maybe_repeated(np.concatenate([h for h, _ in waiting])) if waiting else None
+            done = 0
+            while waiting:
+                hashes, thing = waiting.pop(0)
+                yield hit[done:done + len(hashes)], thing
+                done += len(hashes)
+
+        for n, hashes, thing in found:
+            waiting.append((hashes, thing))
+            size += n
+            if self.ranges == 1 or size >= held:
+                yield from told()
+                size = 0
+        yield from told()
+
+
+def stored_sketch(docs: DataFrame, anchors: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, int]]],
+                  shape: SketchShape, expected: float) -> tuple[StoredSketch, int]:
+    """Sketches of the anchors, of which about ``expected`` will come, and the number of windows in all.
+
+    ``anchors(batch)`` gives hashes of anchors, and the windows that they stand for. More anchors than expected only
+    let more through.
+    """
+    spark, ranges = docs.sparkSession, shape.ranges(expected)
+    path = scratch(spark, "llm-sketch")
+    _merged(docs, anchors, shape, ranges, 16).write.partitionBy("range").parquet(path)
+    windows = spark.read.schema(_SLICES).parquet(path).filter("range = -1").agg(F.sum("windows")).first()[0]
+    return StoredSketch(path, shape, ranges), windows or 0
+
+
+def text_bytes(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def _hits(hashes: np.ndarray, bits: np.ndarray, shape: SketchShape) -> np.ndarray:
+    hit = np.ones(len(hashes), bool)
     for row, cells in enumerate(cells_of(hashes, shape)):
         hit &= (bits[row][cells >> 3] >> (7 - (cells & 7)).astype(np.uint8) & 1).astype(bool)
     return hit
@@ -165,18 +262,23 @@ def keys_present(packed: DataFrame) -> PackedBits:
         for own in batch.column("keys").to_pylist():
             yield np.repeat(_key_hashes(np.frombuffer(own, np.uint8).reshape(-1, KEY_BYTES)), 2), 0  # twice: seen is enough
 
-    return merged_sketch(packed.select("keys"), keys, DOCUMENTS)[0]
+    shape = DOCUMENTS
+    bits = np.zeros((shape.depth * shape.slices, shape.slice_cells // 8), np.uint8)
+    # The number of slices is fixed by the shape, so all that comes to the driver is the size of one sketch.
+    for r in _merged(packed.select("keys"), keys, shape, 1, shape.depth * shape.slices).collect():
+        bits[r["slice"]] = np.frombuffer(unsqueezed(r["bits"]), np.uint8)
+    return PackedBits(bits.reshape(shape.depth, -1))
 
 
 def maybe_present(keys: list[bytes], packed: PackedBits) -> np.ndarray:
     """False only for documents that have nothing to remove."""
-    return maybe_repeated(_key_hashes(np.frombuffer(b"".join(keys), np.uint8).reshape(-1, KEY_BYTES)), packed, DOCUMENTS)
+    return _hits(_key_hashes(np.frombuffer(b"".join(keys), np.uint8).reshape(-1, KEY_BYTES)), packed.bits(), DOCUMENTS)
 
 
 def hot_anchors(docs: DataFrame, kinds, held: int, bound: int, items: int) -> np.ndarray:
     """Anchors, in order, with at least ``bound`` kinds of neighbourhoods, each kind counted once every ``held`` items.
 
-    ``kinds`` yields anchors and hashes of neighbourhoods for a batch. A count is sent where it is a share of the bound that
+    ``kinds`` yields anchors and hashes of neighbourhoods for the batches of a task. A count is sent where it is a share of the bound that
     as many senders could add up to a quarter of it, so few rows travel, and no anchor above 5/4 of the bound is missed. At
     most ``items / bound`` anchors come to the driver.
     """
@@ -198,13 +300,12 @@ def hot_anchors(docs: DataFrame, kinds, held: int, bound: int, items: int) -> np
                 yield pa.RecordBatch.from_arrays([pa.array(anchors[many].view(np.int64)), pa.array(n[many], pa.int64())], names=["anchor", "n"])
 
         size = 0
-        for batch in batches:
-            for anchors, hashes in kinds(batch):
-                have.append(np.stack([anchors, hashes], axis=1))
-                size += len(anchors)
-                if size >= held:
-                    yield from told()
-                    size = 0
+        for anchors, hashes in kinds(batches):
+            have.append(np.stack([anchors, hashes], axis=1))
+            size += len(anchors)
+            if size >= held:
+                yield from told()
+                size = 0
         yield from told()
 
     rows = docs.mapInArrow(counted, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).filter(F.col("n") >= bound)
