@@ -13,6 +13,7 @@ from tidemark.plans.schema import Dataset
 from tidemark.plans.verification import files_per_release, source_population
 from tidemark.session import scratch, stored
 from tidemark.sources import csv_release as csv
+from tidemark.sources import digest_tree as D
 from tidemark.sources import manifest as M
 from tidemark.sources.export import export, member_coverage
 from tidemark.sources.tables import literal_rows, read_table
@@ -213,6 +214,38 @@ def manifest_verification(spark: SparkSession, folder: str) -> DataFrame:
     return found.join(listed, "release_tag").select("release_tag", "violation", (C("files") == C("listed")).alias("in_every_file"))
 
 
+@query("S14 S15", """
+    SELECT release_tag, count(*) + CASE release_tag WHEN 'v2024.10.0' THEN count(c_name) ELSE 0 END AS line_feeds,
+           true AS bytes_agree, release_tag = 'v2024.2.0' AS changed, true AS as_planted
+    FROM t_snapshots GROUP BY release_tag""")
+def file_range_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed files by digests of byte ranges, against stored digests of which those of one release are planted."""
+    store = land_customers(spark, folder, "ranges")
+    out = []
+    for tag in TAGS:
+        path = csv.release_path(store.landing, CUSTOMERS, tag)
+        now = stored(D.range_digests(spark, path, range_bytes=1 << 14, glob="*.csv"), "range-digests")
+        # Every third range of one release was another one when the digests were stored.
+        other = (C("number") % 3 == 0) & F.lit(tag == "v2024.2.0")
+        then = now.withColumn("sha256", F.when(other, F.sha2("sha256", 256)).otherwise(C("sha256")))
+        planted = now.filter(other).select("file", "number")
+        found = stored(D.changed_ranges(D.tree(now, 8), D.tree(then, 8), 8), "changed-ranges")
+        wrong = planted.join(found, ["file", "number"], "full").filter(
+            C("change").isNull() | (C("change") != "changed")).union(
+            found.join(planted, ["file", "number"], "left_anti").select("file", "number", "change"))
+        sizes = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).agg(
+            F.sum("length").alias("file_bytes"), F.count(F.lit(1)).alias("files"))
+        facts = now.agg(F.sum("length").alias("range_bytes"), F.sum("line_feeds").alias("lines"))
+        # One row each: they meet under a constant key.
+        one = [f.withColumn("release_tag", F.lit(tag)) for f in (
+            sizes, facts, found.agg((F.count(F.lit(1)) > 0).alias("changed")), wrong.agg((F.count(F.lit(1)) == 0).alias("as_planted")))]
+        joined = one[0].join(one[1], "release_tag").join(one[2], "release_tag").join(one[3], "release_tag")
+        # Every file starts with a header line.
+        out.append(joined.select("release_tag", (C("lines") - C("files")).alias("line_feeds"),
+                                 (C("file_bytes") == C("range_bytes")).alias("bytes_agree"), "changed", "as_planted"))
+    return union_rows(out)
+
+
 @query("S17", """
     SELECT 'csv' AS format, o_orderpriority, o_orderstatus, count(*) AS n FROM orders GROUP BY 2, 3
     UNION ALL SELECT 'json', o_orderpriority, o_orderstatus, count(*) FROM orders GROUP BY 2, 3""")
