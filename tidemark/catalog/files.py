@@ -236,13 +236,16 @@ def file_range_digests(spark: SparkSession, folder: str) -> DataFrame:
         sizes = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).agg(
             F.sum("length").alias("file_bytes"), F.count(F.lit(1)).alias("files"))
         facts = now.agg(F.sum("length").alias("range_bytes"), F.sum("line_feeds").alias("lines"))
-        # One row each: they meet under a constant key.
-        one = [f.withColumn("release_tag", F.lit(tag)) for f in (
-            sizes, facts, found.agg((F.count(F.lit(1)) > 0).alias("changed")), wrong.agg((F.count(F.lit(1)) == 0).alias("as_planted")))]
-        joined = one[0].join(one[1], "release_tag").join(one[2], "release_tag").join(one[3], "release_tag")
+        # One row each, laid over each other.
+        changed = found.agg((F.count(F.lit(1)) > 0).alias("changed"))
+        as_planted = wrong.agg((F.count(F.lit(1)) == 0).alias("as_planted"))
+        one = sizes
+        for other_fact in (facts, changed, as_planted):
+            one = one.unionByName(other_fact, allowMissingColumns=True)
+        told = one.agg(*[F.max(c).alias(c) for c in one.columns])
         # Every file starts with a header line.
-        out.append(joined.select("release_tag", (C("lines") - C("files")).alias("line_feeds"),
-                                 (C("file_bytes") == C("range_bytes")).alias("bytes_agree"), "changed", "as_planted"))
+        out.append(told.select(F.lit(tag).alias("release_tag"), (C("lines") - C("files")).alias("line_feeds"),
+                               (C("file_bytes") == C("range_bytes")).alias("bytes_agree"), "changed", "as_planted"))
     return union_rows(out)
 
 
