@@ -125,3 +125,16 @@ def test_header_of_any_length_is_read_whole(spark):
     manifest = build_manifest(spark, landing, {"circuits": ["v2026.1.0"]})
     assert len(",".join(names)) > 100_000 and manifest.first()["columns"] == names
     assert manifest_violations(manifest, DATASETS).isEmpty() and rows(expected_rows(manifest))[0][2] == 1
+
+
+def test_names_joined_to_orders_are_those_joined_to_lines(spark, small):
+    """Teams that come twice or have no nation multiply or drop the same rows."""
+    from tidemark.plans import gold
+
+    retail = checks.Retail(spark, small)
+    customers = spark.read.parquet(f"{small}/customer.parquet")
+    retail._tables["customer"] = customers.filter("c_custkey % 5 <> 0").unionByName(
+        customers.filter("c_custkey % 7 = 0").withColumn("c_name", F.concat("c_name", F.lit("*"))))
+    plain = gold.session_results(retail.facts, retail.drivers, retail.constructors)
+    assert plain.columns == retail.session_results.columns and plain.count() < retail.facts.count()
+    assert bag_diff(plain, retail.session_results).isEmpty() and bag_diff(plain, retail.session_results_from_union).isEmpty()

@@ -81,8 +81,7 @@ def race_dimension(spark: SparkSession, folder: str) -> DataFrame:
     SELECT * EXCLUDE (qualifying_position, pit_stops, gap_ms) REPLACE (points::DOUBLE AS points)
     FROM t_session_results""")
 def session_results(spark: SparkSession, folder: str) -> DataFrame:
-    r = Retail(spark, folder)
-    return gold.session_results(r.facts_from_union, r.drivers, r.constructors)
+    return Retail(spark, folder).session_results_from_union
 
 
 _SEASON_DOUBLES = """source_points::DOUBLE AS source_points, calculated_points::DOUBLE AS calculated_points,

@@ -32,10 +32,10 @@ def race_dimension(races: DataFrame, circuits: DataFrame, release_seq: int) -> D
         F.lit(release_seq).cast("bigint").alias("_release_seq"))
 
 
-def tag_sessions(race_results: DataFrame, sprint_results: DataFrame) -> DataFrame:
+def tag_sessions(race_results: DataFrame, sprint_results: DataFrame, extras: Sequence[str] = ()) -> DataFrame:
     """Both result tables as one, told apart by ``session_type``."""
     def one(frame: DataFrame, session: str) -> DataFrame:
-        return frame.select(*FACT_COLUMNS, F.lit(session).alias("session_type"))
+        return frame.select(*FACT_COLUMNS, F.lit(session).alias("session_type"), *extras)
 
     return one(race_results, R.RACE).unionByName(one(sprint_results, R.SPRINT))
 
@@ -61,13 +61,12 @@ def session_facts(sessions: DataFrame, release_seq: int, extras: Sequence[str] =
     )
 
 
-def session_results(facts: DataFrame, drivers: DataFrame, constructors: DataFrame) -> DataFrame:
-    """Facts with the current driver and team names."""
-    return (
-        facts.join(drivers.select("driver_id", "driver_name"), "driver_id")
-        .join(constructors.select("constructor_id", "constructor_name"), "constructor_id")
-        .select(*facts.columns, "driver_name", "constructor_name")
-    )
+def session_results(facts: DataFrame, drivers: DataFrame, constructors: DataFrame | None = None) -> DataFrame:
+    """Facts with the current driver and team names; without ``constructors``, the facts have the team's already."""
+    named = facts.join(drivers.select("driver_id", "driver_name"), "driver_id")
+    if constructors is not None:
+        named = named.join(constructors.select("constructor_id", "constructor_name"), "constructor_id")
+    return named.select(*[c for c in facts.columns if c != "constructor_name"], "driver_name", "constructor_name")
 
 
 def driver_race_rows(facts: DataFrame, *keys: str) -> DataFrame:
@@ -168,7 +167,13 @@ def build_gold(silver: Mapping[str, DataFrame], release_seq: int,
                keep: Callable[[str, DataFrame], DataFrame] = lambda _name, frame: frame) -> dict[str, DataFrame]:
     """All four tables. ``keep`` may store each one; the season tables then read stored results."""
     facts = session_facts(tag_sessions(silver["race_results"], silver["sprint_results"]), release_seq)
-    results = keep("session_results", session_results(facts, silver["drivers"], silver["constructors"]))
+    return gold_of(silver, session_results(facts, silver["drivers"], silver["constructors"]), release_seq, keep)
+
+
+def gold_of(silver: Mapping[str, DataFrame], named: DataFrame, release_seq: int,
+            keep: Callable[[str, DataFrame], DataFrame]) -> dict[str, DataFrame]:
+    """All four tables, from session results with their names."""
+    results = keep("session_results", named)
     return {
         "race_dimension": keep("race_dimension", race_dimension(silver["races"], silver["circuits"], release_seq)),
         "session_results": results,
