@@ -126,6 +126,26 @@ def test_header_of_any_length_is_read_whole(spark):
     assert len(",".join(names)) > 100_000 and manifest.first()["columns"] == names
     assert manifest_violations(manifest, DATASETS).isEmpty() and rows(expected_rows(manifest))[0][2] == 1
 
+def test_parity_counts_rows_of_every_season(spark, small):
+    """Nothing is left out of the second build; a table that is empty keeps its row."""
+    r = {x.dataset: x for x in checks.gold_parity(spark, small).collect()}
+    retail = checks.Retail(spark, small)
+    assert {n: x.row_count for n, x in r.items()} == {n: f.count() for n, f in retail.stored_gold.items()}
+    assert all((x.missing, x.extra) == (0, 0) for x in r.values())
+    empty = retail.races.filter("false")
+    assert rows(verification.parity_report({"races": (retail.races, empty, ["race_id"])})) == [("races", retail.races.count(), 0, 0, 0)]
+    assert rows(verification.parity_report({"races": (empty, empty, ["race_id"])})) == [("races", 0, 0, 0, 0)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_parity_by_hashes_counts_what_rows_would(spark, seed):
+    left, right = spark.createDataFrame(table(seed), SCHEMA), spark.createDataFrame(table(seed + 5)[:300] + table(seed)[100:], SCHEMA)
+    diff = [s for *_, s in bag_diff(left, right).collect()]
+    report = verification.parity_report({"t": (left, right.select("n", "b", "a", "k"), ["k"])}).first()
+    assert (report.missing, report.extra) == (sum(s for s in diff if s > 0), -sum(s for s in diff if s < 0)) and report.missing
+    assert report.row_count == right.count()
+    assert report.duplicate_keys == right.groupBy("k").count().filter("count > 1").count()
+
 
 def test_names_joined_to_orders_are_those_joined_to_lines(spark, small):
     """Teams that come twice or have no nation multiply or drop the same rows."""

@@ -11,7 +11,6 @@ from tidemark.catalog.exploring import FIRST, LAST, PROGRESSION_SQL, SEASON, TEA
 from tidemark.catalog.oracle_tables import SEQ
 from tidemark.catalog.registry import query
 from tidemark.catalog.state import KEYS, TAGS, TRACKED, all_snapshots, release_ledger, snapshot
-from tidemark.operators import fingerprint
 from tidemark.operators import history as H
 from tidemark.operators import ledger as L
 from tidemark.operators.folds import recomputed, sorted_totals
@@ -92,38 +91,12 @@ def _parity_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
-def parity_of_builds(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """``(dataset, missing, extra, row_count, duplicate_keys)``: one scan of each build, and the ranges that differ row by row."""
-    spark = next(iter(pairs.values()))[0].sparkSession
-    sides = stored(union_rows([
-        fingerprint.fingerprints(frame, _TABLE_KEYS[name], pairs[name][0].columns).select(
-            F.lit(name).alias("dataset"), F.lit(side).alias("side"), "*")
-        for name, pair in pairs.items() for side, frame in ((1, pair[0]), (-1, pair[1]))]), "fingerprints")
-    ranges = stored(fingerprint.differing_ranges(sides), "ranges")
-    counts = sides.filter("side = -1").groupBy("dataset").agg(F.sum("n").alias("row_count"))
-    open_ = {r["dataset"] for r in ranges.select("dataset").distinct().collect()}  # names of tables
-    found = [spark.createDataFrame([], "dataset string, missing bigint, extra bigint")]
-    repeated = []
-    for name, (left, right) in pairs.items():
-        keys = _TABLE_KEYS[name]
-        repeated.append(right.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(C("n") > 1).alias("duplicate_keys")).select(
-            F.lit(name).alias("dataset"), "duplicate_keys"))
-        if name in open_:
-            rows = fingerprint.differences(left, right, keys, left.columns, ranges.filter(C("dataset") == name).select("range"))
-            found.append(rows.agg(
-                F.coalesce(F.sum(F.greatest("surplus", F.lit(0))), F.lit(0)).cast("bigint").alias("missing"),
-                F.coalesce(F.sum(F.greatest(-C("surplus"), F.lit(0))), F.lit(0)).cast("bigint").alias("extra")).select(
-                F.lit(name).alias("dataset"), "missing", "extra"))
-    return counts.join(union_rows(repeated), "dataset").join(union_rows(found), "dataset", "left").select(
-        "dataset", F.coalesce("missing", F.lit(0)).alias("missing"), F.coalesce("extra", F.lit(0)).alias("extra"),
-        "row_count", "duplicate_keys")
-
-
 @query("D26 U3 H6", _parity_sql())
 def build_parity(spark: SparkSession, folder: str) -> DataFrame:
     """Thirteen tables built twice; the second build has lost rows and changed others."""
     pairs = two_builds(spark, folder)
-    return parity_of_builds({name: (left, stored(_planted(name, right), f"planted-{name}")) for name, (left, right) in pairs.items()})
+    return verification.parity_report({
+        name: (left, stored(_planted(name, right), f"planted-{name}"), _TABLE_KEYS[name]) for name, (left, right) in pairs.items()})
 
 
 @query("Q13 D26", """

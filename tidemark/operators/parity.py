@@ -22,7 +22,11 @@ def bag_diff(left: DataFrame, right: DataFrame, columns: Sequence[str] | None =
 
 def bag_report(name: str, left: DataFrame, right: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(dataset, missing, extra)``: rows only on the left, rows only on the right."""
-    diff = bag_diff(left, right, columns)
+    return both_ways(name, bag_diff(left, right, columns))
+
+
+def both_ways(name: str, diff: DataFrame) -> DataFrame:
+    """``(dataset, missing, extra)`` of rows with ``surplus``."""
     return diff.agg(
         F.coalesce(F.sum(F.greatest("surplus", F.lit(0))), F.lit(0)).cast("bigint").alias("missing"),
         F.coalesce(F.sum(F.greatest(-F.col("surplus"), F.lit(0))), F.lit(0)).cast("bigint").alias("extra"),

@@ -11,10 +11,11 @@ from tidemark.functions import results as R
 from tidemark.functions.measures import count_where, flag, zero_fill
 from tidemark.functions.text import is_blank
 from tidemark.operators import history as H
-from tidemark.operators import parity, quality
+from tidemark.operators import fingerprint, parity, quality
 from tidemark.operators.ledger import completion_counts
 from tidemark.plans.gold import car_rows
 from tidemark.plans.schema import DATASETS, GOLD_KEYS, TERMINAL_TASKS
+from tidemark.session import stored
 
 C = F.col
 
@@ -171,15 +172,27 @@ def history_verification(
 
 
 def parity_report(pairs: Mapping[str, tuple[DataFrame, DataFrame, Sequence[str]]]) -> DataFrame:
-    """Bag equality of two builds of each table, with the size and key duplicates of the second."""
-    out = []
+    """``(dataset, missing, extra, row_count, duplicate_keys)``: bag equality of two builds of each table, with the size and key
+    duplicates of the second. One scan of each build; rows of ranges that differ are told apart by their hashes alone."""
+    sides = stored(quality.union_rows([
+        fingerprint.fingerprints(frame, keys, left.columns).select(F.lit(name).alias("dataset"), F.lit(side).alias("side"), "*")
+        for name, (left, right, keys) in pairs.items() for side, frame in ((1, left), (-1, right))]), "fingerprints")
+    ranges = stored(fingerprint.differing_ranges(sides), "ranges")
+    counts = sides.filter("side = -1").groupBy("dataset").agg(F.sum("n").alias("row_count"))
+    open_ = {r["dataset"] for r in ranges.select("dataset").distinct().collect()}  # names of tables
+    found = [sides.sparkSession.createDataFrame([], "dataset string, missing bigint, extra bigint")]
+    repeated = []
     for name, (left, right, keys) in pairs.items():
         per_key = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        out.append(parity.bag_report(name, left, right).select(
-            "*",
-            right.agg(F.count(F.lit(1))).scalar().alias("row_count"),
-            per_key.agg(F.count_if(C("n") > 1)).scalar().alias("duplicate_keys")))
-    return quality.union_rows(out)
+        repeated.append(per_key.agg(F.count_if(C("n") > 1).alias("duplicate_keys")).select(
+            F.lit(name).alias("dataset"), "duplicate_keys"))
+        if name in open_:
+            rows = fingerprint.surplus(left, right, keys, left.columns, ranges.filter(C("dataset") == name).select("range"))
+            found.append(parity.both_ways(name, rows))
+    zero = F.lit(0).cast("bigint")
+    return quality.union_rows(repeated).join(counts, "dataset", "left").join(quality.union_rows(found), "dataset", "left").select(
+        "dataset", F.coalesce("missing", zero).alias("missing"), F.coalesce("extra", zero).alias("extra"),
+        F.coalesce("row_count", zero).alias("row_count"), "duplicate_keys")
 
 
 def history_parity(left: DataFrame, right: DataFrame) -> DataFrame:
