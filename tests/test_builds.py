@@ -158,3 +158,19 @@ def test_names_joined_to_orders_are_those_joined_to_lines(spark, small):
     plain = gold.session_results(retail.facts, retail.drivers, retail.constructors)
     assert plain.columns == retail.session_results.columns and plain.count() < retail.facts.count()
     assert bag_diff(plain, retail.session_results).isEmpty() and bag_diff(plain, retail.session_results_from_union).isEmpty()
+
+
+def test_files_are_cut_to_what_a_task_may_take(spark, small, monkeypatch):
+    from tidemark import session
+    from tidemark.catalog import QUERIES
+
+    held = {key: spark.conf.get(key, None) for key in session.TABLE_TASKS}
+    monkeypatch.setitem(session.TABLE_TASKS, "spark.sql.files.maxPartitionBytes", "2k")
+    monkeypatch.setitem(session.TABLE_TASKS, "spark.sql.files.openCostInBytes", "1")
+    try:
+        assert QUERIES["silver_constructor_standings"](spark, small) is not None
+        assert spark.read.parquet(f"{small}/lineitem.parquet").rdd.getNumPartitions() > 20
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        for key, value in held.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)

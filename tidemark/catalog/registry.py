@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.catalog.oracle_tables import with_tables
-from tidemark.session import tune
+from tidemark.session import TABLE_TASKS, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,7 +43,7 @@ def query(ids: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(function: Query) -> Query:
         @functools.wraps(function)
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return plain(function(tune(spark), folder))
+            return plain(function(tune(spark, TABLE_TASKS), folder))
 
         name = function.__name__
         if name in QUERIES:

@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,9 +33,18 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else built."""
-    for key, value in RUNTIME.items():
+#: What a task of a table query takes, whatever the size of the tables: a hash aggregate, a sort or a join side holds as many rows
+#: as its task is given. Files are cut, and shuffles dealt finely enough to be put together again, to about this much.
+TABLE_TASKS = {
+    "spark.sql.files.maxPartitionBytes": "32m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "24m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
+}
+
+
+def tune(spark: SparkSession, more: Mapping[str, str] | None = None) -> SparkSession:
+    """Apply the runtime settings, and ``more``, to a session somebody else built."""
+    for key, value in {**RUNTIME, **(more or {})}.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
