@@ -36,7 +36,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 #: What a task of a table query takes, whatever the size of the tables: a hash aggregate, a sort or a join side holds as many rows
 #: as its task is given. Files are cut, and shuffles dealt finely enough to be put together again, to about this much.
 TABLE_TASKS = {
-    "spark.sql.files.maxPartitionBytes": "32m",
+    "spark.sql.files.maxPartitionBytes": "8m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "24m",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
 }
