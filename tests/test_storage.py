@@ -9,8 +9,9 @@ from tidemark.operators import ledger as L
 from tidemark.operators import quality
 from tidemark.operators.entries import ConcurrentWrite, NumberedLog
 from tidemark.operators.history_store import HistoryStore
-from tidemark.operators.snapshot import VersionedTable
+from tidemark.operators.snapshot import VersionedTable, classify_changes, empty_like
 from tidemark.session import scratch
+from tidemark.sources import csv_release as csv
 from tidemark.sources.csv_release import names_in
 from tidemark.streaming.merge import SnapshotStream
 from test_release_run import R1, R2, land, release_files
@@ -148,3 +149,21 @@ def test_the_end_of_a_release_deletes_what_it_lacks(spark):
     assert table.read().count() == 4 and table.merge_end(2) and not table.merge_end(2)
     assert rows(table.read()) == [("a", "1", 2), ("b", "2", 2), ("d", None, 2)]
     assert dict(rows(table.changes_of(2))) == {"insert": 1, "update": 1, "unchanged": 1, "delete": 1}
+
+
+def test_a_first_release_is_merged_without_a_shuffle(spark):
+    new = spark.range(1_000).select("id", F.lit("x").alias("v"))
+    changes = classify_changes(empty_like(new), new, ["id"])
+    assert {r["_change"]: r["n"] for r in changes.groupBy("_change").agg(F.count("*").alias("n")).collect()} == {"insert": 1_000}
+    plan = changes._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan, plan
+
+
+def test_releases_land_in_one_pass_and_none_is_missing(spark):
+    landing = scratch(spark, "landing")
+    both = spark.createDataFrame([("1", "a", "v2010.1.0"), ("2", 'b "c", d', "v2010.1.0")], "id string, name string, release_tag string")
+    csv.write_releases(both, landing, "things", ["v2010.1.0", "v2010.2.0"])
+    assert csv.landed_releases(spark, landing, "things") == ["v2010.1.0", "v2010.2.0"]
+    first, second = (csv.read_snapshot(spark, landing, "things", tag) for tag in ("v2010.1.0", "v2010.2.0"))
+    assert rows(first.select("id", "name")) == rows(both.select("id", "name"))
+    assert second.columns == first.columns and second.isEmpty()

@@ -290,18 +290,22 @@ def land_streamed(spark: SparkSession, folder: str) -> str:
     for name, (_, key, changed, moving) in STREAMED.items():
         raw_key = next(raw for raw, clean, _ in DATASETS[name].columns if clean == key)
         text = C(raw_key)
-        rows = r.raw(name, extras=False).drop("release_tag")
+        cleaned = getattr(r, name)
         if name.endswith("_results"):
-            alone = Window.partitionBy("raceId", "driverId", "driverNumber")  # a row a key, but for repeats
-            rows = rows.withColumn("_n", F.count(F.lit(1)).over(alone)).filter("_n = 1").drop("_n")
+            # A row a key, but for repeats; on the columns that the rows have just been joined by, so they stay where they are.
+            alone = Window.partitionBy(*DATASETS[name].keys)
+            cleaned = cleaned.withColumn("_n", F.count(F.lit(1)).over(alone)).filter("_n = 1").drop("_n")
+        rows = r.raw(name, extras=False, frame=cleaned).drop("release_tag")
         kind = next(t for raw, _, t in DATASETS[name].columns if raw == changed)
         number = "decimal(18,2)" if kind.startswith("decimal") else "bigint"
         value = F.concat(C(changed), F.lit("*")) if kind == "string" else (C(changed).cast(number) + 1).cast("string")
-        first = rows.filter(~text.like("%5")) if moving else rows
-        second = (rows.filter(~text.like("%7")) if moving else rows).withColumn(
-            changed, F.when(text.like("%3"), value).otherwise(C(changed)))
-        for tag, frame in zip(STREAM_TAGS, (first, second), strict=True):
-            csv.write_release(frame, landing, name, tag)
+        # Both releases from one pass: each row goes to those that hold it.
+        versions = ((~text.like("%5"), C(changed)), (~text.like("%7"), F.when(text.like("%3"), value).otherwise(C(changed))))
+        held = F.filter(F.array(*[
+            F.struct(F.lit(tag).alias("tag"), (there if moving else F.lit(True)).alias("there"), as_is.alias("value"))
+            for tag, (there, as_is) in zip(STREAM_TAGS, versions, strict=True)]), lambda version: version["there"])
+        both = rows.withColumn("_v", F.explode(held)).withColumns({changed: C("_v.value"), "release_tag": C("_v.tag")}).drop("_v")
+        csv.write_releases(both, landing, name, STREAM_TAGS)
     return landing
 
 

@@ -71,8 +71,8 @@ def overwrite_current(table: VersionedTable, snapshot: DataFrame, version: int)
 
 
 def empty_like(frame: DataFrame) -> DataFrame:
-    """A table with the frame's columns and no rows; the source is not scanned."""
-    return frame.sparkSession.createDataFrame([], frame.schema)
+    """A table with the frame's columns and no rows. The source is not scanned, and what is joined to it is not shuffled."""
+    return frame.limit(0)
 
 
 class VersionedTable:

@@ -46,12 +46,17 @@ def expectations(name: str, tag: str) -> dict[str, Column]:
 
 def table_checks(name: str, frame: DataFrame, tag: str, parents: Mapping[str, DataFrame]) -> DataFrame:
     """What a cleaned dataset must meet as a whole: unique keys, and references to current parents."""
-    report = [quality.unique_check(frame, DATASETS[name].keys)]
+    return quality.union_rows([quality.unique_check(frame, DATASETS[name].keys), *reference_checks(name, frame, tag, parents)])
+
+
+def reference_checks(name: str, frame: DataFrame, tag: str, parents: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """References to current parents, for tables whose keys have been checked as they were written."""
+    report = []
     for parent, keys in DATASETS[name].references:
         current = quality.check_current(parents[parent], parse_tag(tag))
         report.append(current.withColumn("check_name", F.lit(f"current:{parent}")))
         report.append(quality.check_reference(frame, parents[parent], keys, parent))
-    return quality.union_rows(report)
+    return report
 
 
 def checks(name: str, frame: DataFrame, tag: str, parents: Mapping[str, DataFrame]) -> DataFrame:

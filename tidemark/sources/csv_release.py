@@ -84,6 +84,19 @@ def raw_schema(columns: Sequence[str]) -> StructType:
     return text.add(INGESTED_AT, "timestamp")
 
 
+def write_releases(frame: DataFrame, landing: str, dataset: str, tags: Sequence[str]) -> None:
+    """Land several releases of a dataset in one pass, as compressed files: ``release_tag`` tells the release of a row.
+
+    A release without rows still gets its folder, with a header.
+    """
+    frame.write.options(header="true", escape='"', compression="gzip").partitionBy("release_tag").csv(f"{landing.rstrip('/')}/{dataset}")
+    landed = landed_releases(frame.sparkSession, landing, dataset)
+    for tag in tags:
+        if tag not in landed:
+            nothing = frame.sparkSession.createDataFrame([], frame.drop("release_tag").schema)
+            write_release(nothing, landing, dataset, tag)
+
+
 def write_release(frame: DataFrame, landing: str, dataset: str, tag: str) -> str:
     """Land a frame of text columns as CSV files of one release: one per partition of the frame."""
     path = release_path(landing, dataset, tag)
