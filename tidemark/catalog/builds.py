@@ -65,8 +65,8 @@ def two_builds(spark: SparkSession, folder: str) -> dict[str, tuple[DataFrame, D
     """Eight current and four analytical tables and a history, each stored twice: from typed columns, and from raw text."""
     r = Retail(spark, folder)
     typed = {name: stored(frame.select(*DATASETS[name].clean_names), f"typed-{name}") for name, frame in r.silver.items()}
-    cleaned = {name: stored(silver.clean(name, r.raw(name, extras=False), TAG, 1995, points=MONEY).select(*DATASETS[name].clean_names),
-                            f"cleaned-{name}") for name in DATASETS}
+    cleaned = {name: stored(silver.clean(name, r.raw(name, extras=False, frame=typed[name]), TAG, 1995, points=MONEY)
+                            .select(*DATASETS[name].clean_names), f"cleaned-{name}") for name in DATASETS}
     marts = [gold.build_gold(tables, SEQ, lambda name, frame, kind=kind: stored(frame, f"{kind}-{name}"))
              for kind, tables in (("typed", typed), ("cleaned", cleaned))]
     store = HistoryStore(spark, scratch(spark, "history-build"), KEYS, TRACKED)
