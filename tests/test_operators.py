@@ -203,3 +203,23 @@ def test_snapshot_source_hands_out_only_newer_versions(spark):
     assert source(2026008001)[1] == 2026008002
     assert source(2026008002) is None
     assert source(2026014000) is None
+
+
+def test_team_seasons_fold_where_the_races_are(spark):
+    from tidemark.plans import gold
+
+    facts = spark.createDataFrame(
+        [(1, "RACE", "1", 5, 1), (1, "RACE", "1", 5, 1), (1, "RACE", "2", 3, 0), (2, "SPRINT", "1", 2, 0), (None, "RACE", "1", 1, 0)],
+        "race_id long, session_type string, car_number string, points long, win int").selectExpr(
+        "race_id", "session_type", "car_number", "cast(points as decimal(10,2)) AS points", "win = 1 AS is_race_win",
+        "win = 1 AS is_race_podium", "2000L AS season", "'t' AS constructor_id", "'e' AS engine_manufacturer_id").repartition(4, "race_id")
+    standings = spark.sql("""SELECT 2000L AS season, 't' AS constructor_id, 'e' AS engine_manufacturer_id, 'RANKED' AS entry_category,
+        1L AS standing, '1' AS standing_status, cast(16 AS decimal(10,2)) AS points, true AS championship_won""")
+    teams = spark.sql("SELECT 't' AS constructor_id, 'T' AS constructor_name, 'x' AS country_id")
+    table = gold.constructor_season(standings, teams, facts, 1)
+    plan = table._jdf.queryExecution().executedPlan().toString()  # before it has run
+    row = table.collect()[0]
+    assert (row.calculated_points, row.race_weekends, row.race_car_entries, row.race_wins, row.race_podiums) == (16, 1, 3, 1, 1)
+    assert table.schema["calculated_points"].dataType.simpleString() == "decimal(30,2)"
+    # Nothing is dealt by race but the facts themselves.
+    assert sum("Exchange hashpartitioning" in line and "race_id" in line for line in plan.splitlines()) <= 1, plan

@@ -141,10 +141,16 @@ def constructor_season(constructor_standings: DataFrame, constructors: DataFrame
     """One row per team, engine and season; wins and podiums counted once per car."""
     grain = ["season", "constructor_id", "engine_manufacturer_id"]
     raced = R.is_race(F.col("session_type"))
-    computed = car_rows(facts, *grain).groupBy(*grain).agg(
-        F.sum("points").alias("calculated_points"),
-        F.count_distinct(F.when(raced, F.col("race_id"))).alias("race_weekends"),
-        F.sum(flag(raced)).alias("race_car_entries"),
+    cars = car_rows(facts, *grain)
+    total = cars.agg(F.sum("points")).schema[0].dataType
+    # Cars, then races, then seasons: facts that are dealt by race stay where they are until the last step.
+    races = cars.groupBy(*grain, "race_id").agg(
+        F.sum("points").alias("points"), F.sum(flag(raced)).alias("cars"),
+        F.sum("won").alias("won"), F.sum("on_podium").alias("on_podium"))
+    computed = races.groupBy(*grain).agg(
+        F.sum("points").cast(total).alias("calculated_points"),
+        count_where(F.col("race_id").isNotNull() & (F.col("cars") > 0)).alias("race_weekends"),
+        F.sum("cars").alias("race_car_entries"),
         F.sum("won").alias("race_wins"),
         F.sum("on_podium").alias("race_podiums"),
     )
@@ -174,13 +180,15 @@ def gold_of(silver: Mapping[str, DataFrame], named: DataFrame, release_seq: int,
             keep: Callable[[str, DataFrame], DataFrame]) -> dict[str, DataFrame]:
     """All four tables, from session results with their names."""
     results = keep("session_results", named)
+    # Dealt once by a team's race, which is as many rows as its cars, and folded there by car and by race.
+    by_race = results.repartition("season", "constructor_id", "engine_manufacturer_id", "race_id")
     return {
         "race_dimension": keep("race_dimension", race_dimension(silver["races"], silver["circuits"], release_seq)),
         "session_results": results,
         "driver_season": keep("driver_season", driver_season(
             silver["driver_standings"], silver["drivers"], results, release_seq)),
         "constructor_season": keep("constructor_season", constructor_season(
-            silver["constructor_standings"], silver["constructors"], results, release_seq)),
+            silver["constructor_standings"], silver["constructors"], by_race, release_seq)),
     }
 
 

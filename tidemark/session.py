@@ -39,7 +39,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 #: as its task is given. Files are cut, and shuffles dealt finely enough to be put together again, to about this much.
 TABLE_TASKS = {
     "spark.sql.files.maxPartitionBytes": "8m",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "24m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
 }
 
