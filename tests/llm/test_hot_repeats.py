@@ -50,6 +50,23 @@ def test_byte_repeats_with_hot_anchors(spark, monkeypatch):
     assert sum(r[2] for r in expected) > 0
 
 
+def test_byte_repeats_sort_few_fragments_together(spark, monkeypatch):
+    """What a task sorts at a time does not follow its bucket: before, a whole bucket was opened at once."""
+    rng = random.Random(3)
+    passages_ = ["".join(rng.choice("abcdefgh ") for _ in range(90)) for _ in range(60)]
+    rows = [(i, passages_[i % 60] + f"{i:05d}" + passages_[i * 7 % 60]) for i in range(300)]
+    expected = runs(rows, spark)
+    solved = byte_repeats._solved
+
+    def few(pieces, *more):
+        assert len(pieces) <= 20, len(pieces)
+        return solved(pieces, *more)
+
+    monkeypatch.setattr(byte_repeats, "SOLVED_PIECES", 10, raising=False)
+    monkeypatch.setattr(byte_repeats, "_solved", few)
+    assert runs(rows, spark) == expected and sum(r[2] for r in expected) > 0
+
+
 def test_passages_with_hot_anchors(spark, monkeypatch):
     rows = hot_rows("the " * 12)
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)

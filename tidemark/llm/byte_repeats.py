@@ -36,16 +36,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bwt import collection_bwt, suffix_rows
-from tidemark.llm.common import kept, pick, texts_of
+from tidemark.llm.common import kept, pick, released, texts_of
 from tidemark.llm.packing import by_group, counts_of, counts_to, distinct, group_of, key_of, keys_of, positions_of, split_by_key, steps_of
 from tidemark.llm.rolling import slabs, sliding_argmin, windows
-from tidemark.llm.sketch import SketchShape, StoredSketch, among, hot_anchors, keys_present, maybe_present, squeezed, stored_sketch, text_bytes, unsqueezed
+from tidemark.llm.sketch import SketchShape, StoredSketch, among, forget, hot_anchors, keys_present, maybe_present, squeezed, stored_sketch, text_bytes, unsqueezed
 
 ANCHOR_BYTES = 24
 WINDOWS_A_BUCKET = 3_000_000
 HELD_BYTES = 48 << 20
 HELD_FRAGMENTS = 1_000_000
 HOT_FRAGMENTS = 1 << 16
+SOLVED_PIECES = 50_000   # fragments that are sorted together; all of one anchor, however many
 SLAB = 1 << 19
 HELD_TEXT = 48 << 20     # bytes of text that wait for the ranges of a sketch
 _LENGTH_BITS = 8   # a run of windows in a fragment is at most 255 long
@@ -193,6 +194,14 @@ def _solved(pieces: list[bytes], anchors: np.ndarray, doc: np.ndarray, at: np.nd
     return doc[row], (at[row] + begin) << _LENGTH_BITS | (end - begin)
 
 
+def parts_of(anchors: list[np.ndarray], size: int) -> Iterator[np.ndarray]:
+    """Which of the 16-bit anchors are in each part: neighbours, about ``size`` occurrences together, one anchor at least."""
+    n = sum(np.bincount(a, minlength=1 << 16) for a in anchors)
+    number = (np.cumsum(n) - n) // size
+    for part in np.unique(number[n > 0]):
+        yield (number == part) & (n > 0)
+
+
 def repeated_runs(docs: DataFrame, width: int, anchor: int, sketch: StoredSketch, buckets: int, groups: int,
                   n_windows: int) -> DataFrame:
     """grp, keys, counts, at: runs of window starts to remove, packed by group of documents."""
@@ -254,7 +263,8 @@ def repeated_runs(docs: DataFrame, width: int, anchor: int, sketch: StoredSketch
                 pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3))],
                 names=["grp", "keys", "counts", "at"])
 
-        pieces, keys, ids, doc, at, anchors = [], [], [], [], [], []
+        forget()
+        keys, ids, doc, at, anchors, texts = [], [], [], [], [], []
         n_keys = 0
         for batch in batches:
             for r in batch.to_pylist():
@@ -262,23 +272,35 @@ def repeated_runs(docs: DataFrame, width: int, anchor: int, sketch: StoredSketch
                 if not r["ids"]:  # decided at home; only passed on to its group
                     yield out([(int(group_of(own[:1], groups)[0]), r["keys"], r["counts"], r["at"])])
                     continue
-                doc.append(np.repeat(np.arange(len(own)) + n_keys, counts_of(r["counts"])))
+                doc.append(np.repeat(np.arange(len(own), dtype=np.int32) + n_keys, counts_of(r["counts"])))
                 n_keys += len(own)
                 keys.append(own)
                 ids.append(positions_of(r["ids"]))
-                at.append(positions_of(r["at"]))
-                anchors.append(np.frombuffer(r["anchors"], "<u2").astype(np.int64))
-                ends = np.cumsum(np.frombuffer(unsqueezed(r["sizes"]), np.uint8)).tolist()
-                data = unsqueezed(r["data"])
-                pieces += [data[x:y] for x, y in zip([0, *ends[:-1]], ends, strict=True)]
-        if pieces:
-            doc, runs = _solved(pieces, np.concatenate(anchors), np.concatenate(doc), np.concatenate(at),
-                                np.concatenate(ids), width)
-            yield out(by_group(doc, runs, np.concatenate(keys), groups))
-
-    sent = docs.mapInArrow(fragments, "bucket int, keys binary, ids binary, counts binary, at binary, anchors binary, "
+                at.append(positions_of(r["at"]).astype(np.int32))  # of bytes in a text, which is below 2 GiB
+                anchors.append(np.frombuffer(r["anchors"], "<u2"))
+                texts.append((r["sizes"], r["data"]))
+        if not texts:
+            return
+        keys, ids = np.concatenate(keys), np.concatenate(ids)
+        # Fragments wait as they came, and are opened and sorted by parts of the anchors: what can be equal is in one part.
+        results = []
+        for part in parts_of(anchors, SOLVED_PIECES):
+            chosen = [np.flatnonzero(part[a]) for a in anchors]
+            pieces: list[bytes] = []
+            for own, (sizes, data) in zip(chosen, texts, strict=True):
+                if len(own):
+                    ends = np.cumsum(np.frombuffer(unsqueezed(sizes), np.uint8), dtype=np.int64)
+                    opened = unsqueezed(data)
+                    begin = np.concatenate([[0], ends[:-1]])
+                    pieces += [opened[x:y] for x, y in zip(begin[own].tolist(), ends[own].tolist(), strict=True)]
+            results.append(_solved(pieces, *(
+                np.concatenate([x[own] for own, x in zip(chosen, column, strict=True)]).astype(np.int64)
+                for column in (anchors, doc, at)), ids, width))
+        yield out(by_group(*map(np.concatenate, zip(*results, strict=True)), keys, groups))
+
+    sent = docs.mapInArrow(released(fragments), "bucket int, keys binary, ids binary, counts binary, at binary, anchors binary, "
                                       "sizes binary, data binary")
-    return sent.repartition(buckets, "bucket").mapInArrow(solve, "grp int, keys binary, counts binary, at binary")
+    return sent.repartition(buckets, "bucket").mapInArrow(released(solve), "grp int, keys binary, counts binary, at binary")
 
 
 def remove_repeats(documents: DataFrame, width: int = 50, anchor: int = ANCHOR_BYTES, shape: SketchShape = SketchShape(),
@@ -321,6 +343,7 @@ def remove_repeats(documents: DataFrame, width: int = 50, anchor: int = ANCHOR_B
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """All documents; those that lose nothing are finished here and travel without their text."""
+        forget()
         for batch in batches:
             texts, ids = texts_of(batch), batch.column("doc_id")
             for a, b in slabs(texts, SLAB):
@@ -352,6 +375,6 @@ def remove_repeats(documents: DataFrame, width: int = 50, anchor: int = ANCHOR_B
         return pa.table({"copies": own.column("copies"), "doc_id": own.column("doc_id")} | {
             n: pa.array(columns[n], k) for n, k in zip(results[1:], kinds, strict=True)})
 
-    rows = docs.mapInArrow(marked, f"grp int, key binary, text binary, copies int, {schema}")
+    rows = docs.mapInArrow(released(marked), f"grp int, key binary, text binary, copies int, {schema}")
     told_once = rows.groupBy("grp").cogroup(repeats.groupBy("grp")).applyInArrow(finished, f"copies int, {schema}")
     return told_once.select(*results, F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("_copy")).drop("_copy")

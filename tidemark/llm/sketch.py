@@ -29,6 +29,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import released
 from tidemark.llm.rolling import mixed
 from tidemark.session import scratch
 
@@ -158,15 +159,20 @@ def _merged(docs: DataFrame, anchors: Callable[[pa.RecordBatch], Iterator[tuple[
             [pa.array([x[i] for x in rows], k) for i, k in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.int64()))],
             names=["range", "slice", "bits", "windows"])
 
-    touched = docs.mapInArrow(count, "range int, slice int, once binary, often binary, windows long")
+    touched = docs.mapInArrow(released(count), "range int, slice int, once binary, often binary, windows long")
     # A task merges some slices of one range, so that a range is a few files.
-    return touched.repartition(parts * ranges, "range", F.col("slice") % parts).mapInArrow(merge, _SLICES)
+    return touched.repartition(parts * ranges, "range", F.col("slice") % parts).mapInArrow(released(merge), _SLICES)
 
 
 _SLICES = "range int, slice int, bits binary, windows long"
 _opened: dict[tuple[str, int], np.ndarray] = {}     # the one range that this process asked last
 
 
+def forget() -> None:
+    """For tasks after the last question: their process may still hold what an earlier task has asked."""
+    _opened.clear()
+
+
 @dataclass(frozen=True)
 class StoredSketch:
     """Where the merged sketches are; small enough to go with every task."""
@@ -308,7 +314,7 @@ def hot_anchors(docs: DataFrame, kinds, held: int, bound: int, items: int) -> np
                 size = 0
         yield from told()
 
-    rows = docs.mapInArrow(counted, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).filter(F.col("n") >= bound)
+    rows = docs.mapInArrow(released(counted), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).filter(F.col("n") >= bound)
     return np.sort(np.array([r["anchor"] for r in rows.collect()], np.int64).view(np.uint64))
 
 
