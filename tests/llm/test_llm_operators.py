@@ -206,6 +206,16 @@ def test_bpe_joins_inside_words(spark):
     assert [b"".join(c) for c in bpe.chunked([b"", b"a" * 5000, b"b c " * 900])] == [b"", b"a" * 5000, b"b c " * 900]
 
 
+def test_bpe_remembers_a_bounded_number_of_words():
+    """What a worker remembers does not follow the words that it has seen; before, it held all of these."""
+    encoder = bpe.Encoder(PATH)
+    for first in range(0, 500_000, 50_000):
+        text = " ".join(f"w{i}" for i in range(first, first + 50_000)).encode()
+        list(encoder.encode(list(bpe.chunked([text]))))
+    assert len(encoder.words) + len(encoder.older) <= 2 * (100_000 + 50_000 + 2)
+    assert encoder.chunk_bytes <= (24 << 20) + (4 << 20)
+
+
 def test_bpe_empty(none):
     assert bpe.digests(none, PATH).collect() == []
 

@@ -30,12 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from tidemark.llm.common import pick, texts_of
+from tidemark.llm.common import pick, released, texts_of
 from tidemark.llm.rolling import gear, slabs
 
 CUT_BITS = 9                # chunks of 512 bytes on average
-CHUNK_CACHE_BYTES = 48 << 20
-WORD_CACHE = 350_000        # words of the newer half; the older half holds as many at most
+CHUNK_CACHE_BYTES = 24 << 20
+WORD_CACHE = 100_000        # words of the newer half; the older half holds as many, and those of a step
+STEP_BYTES = 2 << 20        # of texts that are encoded together
 _SPACES = b" \t\n\r\x0b\x0c"
 
 
@@ -202,11 +203,11 @@ def encoded(documents: DataFrame, path: str, work, schema: str, text: str = "tex
         encoder = Encoder.load(path)
         for batch in batches:
             texts = texts_of(batch)
-            for first, last in slabs(texts, 4 << 20):
+            for first, last in slabs(texts, STEP_BYTES):
                 results = list(encoder.encode(list(chunked(texts[first:last]))))
                 yield work(batch.slice(first, last - first), results)
 
-    return near.mapInArrow(run, schema)
+    return near.mapInArrow(released(run), schema)
 
 
 def digests(documents: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
