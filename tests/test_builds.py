@@ -106,6 +106,21 @@ def test_row_count_gates_see_a_dropped_row(spark, small, monkeypatch):
     assert missing(checks.history_verification, "modern_session_coverage") == 0
 
 
+def test_career_totals_shuffle_no_row_that_counts_nothing(spark, small, monkeypatch):
+    """Before, all results were dealt out for the totals, and each of them for the races that they refer to."""
+    seen = []
+    for name in ("driver_totals", "constructor_totals"):
+        monkeypatch.setattr(verification, name, lambda facts, plain=getattr(verification, name): seen.append(facts) or plain(facts))
+    monkeypatch.setattr(verification.quality, "missing_references",
+                        lambda frame, *more, plain=verification.quality.missing_references: seen.append(frame) or plain(frame, *more))
+    told = dict(rows(checks.history_verification(spark, small).select("check_name", "failures")))
+    assert told["race_join_coverage"] == 0 and told["driver_career_vs_source"] > 0
+    scored, shared, referring = seen
+    for frame in (scored, shared):
+        assert frame.count() > 0 and frame.filter("NOT (is_race_win OR is_race_podium)").isEmpty()
+    assert referring.count() == referring.select("race_id", "season", "round").distinct().count()
+
+
 def test_table_manifest_counts_each_file(spark):
     path = scratch(spark, "counted")
     spark.range(10).repartition(3).write.parquet(path)
