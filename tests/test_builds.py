@@ -43,6 +43,16 @@ def test_fingerprints_find_exactly_the_ranges_that_differ(spark, edit):
     assert rows(fingerprint.differences(left, right, ["k"], left.columns, ranges.select("range"), 4)) == rows(expected)
 
 
+def test_fingerprints_add_up_in_longs(spark):
+    """Sums of whole hashes would not fit a long, and a decimal of 38 digits is an object a row."""
+    frame = spark.createDataFrame(table(3), SCHEMA)
+    sums = fingerprint.fingerprints(frame, ["k"], frame.columns, 0)
+    assert {f.dataType.simpleString() for f in sums.schema if f.name != "range"} == {"bigint"}
+    hashes = frame.select(F.xxhash64(F.lit(1), *[x for c in sorted(frame.columns) for x in (F.col(c).isNull(), F.col(c))]).alias("h"))
+    row = sums.first()
+    assert (row["h1_high"] << 32) + row["h1_low"] == sum(r["h"] for r in hashes.collect()) and row["n"] == hashes.count()
+
+
 def test_sorted_totals_equal_an_aggregate(spark):
     rng = random.Random(2)
     data = [("hot" if i % 3 else rng.choice(["a", "b", None]), rng.randrange(4) or None, i, rng.randrange(-5, 9)) for i in range(3000)]

@@ -28,21 +28,24 @@ def _hash(columns: Sequence[str], seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *parts)
 
 
-def _row_hash(columns: Sequence[str], seed: int) -> Column:
-    return _hash(columns, seed).cast("decimal(38,0)")
+def _hash_sums(column: str) -> list[Column]:
+    """The sum of a hash as those of its halves: longs, which hold the halves of two billion rows of a range."""
+    low = F.col(column).bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
+    return [F.sum(low).alias(f"{column}_low"), F.sum(F.shiftright(F.col(column), 32)).alias(f"{column}_high")]
 
 
 def fingerprints(frame: DataFrame, keys: Sequence[str], columns: Sequence[str], bits: int = RANGE_BITS) -> DataFrame:
-    """``(range, n, h1, h2)``: rows and hash sums of each range of keys; columns are taken in the order of their names."""
+    """``(range, n)`` and sums of two hashes: the rows of each range of keys; columns are taken in the order of their names."""
     names = sorted(columns)
-    return frame.groupBy(key_range(keys, bits).alias("range")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(_row_hash(names, 1)).alias("h1"), F.sum(_row_hash(names, 2)).alias("h2"))
+    rows = frame.select(key_range(keys, bits).alias("range"), *[_hash(names, seed).alias(f"h{seed}") for seed in (1, 2)])
+    return rows.groupBy("range").agg(F.count(F.lit(1)).alias("n"), *_hash_sums("h1"), *_hash_sums("h2"))
 
 
 def differing_ranges(sides: DataFrame) -> DataFrame:
     """``(dataset, range)`` from fingerprints of both builds, tagged ``dataset`` and ``side`` (1 or -1): those that do not cancel."""
-    signed = [F.sum(F.col(c) * F.col("side")).alias(c) for c in ("n", "h1", "h2")]
-    return sides.groupBy("dataset", "range").agg(*signed).filter("n <> 0 OR h1 <> 0 OR h2 <> 0").select("dataset", "range")
+    sums = ("n", "h1_low", "h1_high", "h2_low", "h2_high")
+    signed = [F.sum(F.col(c) * F.col("side")).alias(c) for c in sums]
+    return sides.groupBy("dataset", "range").agg(*signed).filter(" OR ".join(f"{c} <> 0" for c in sums)).select("dataset", "range")
 
 
 def differences(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequence[str], ranges: DataFrame,

@@ -41,8 +41,12 @@ TABLE_TASKS = {
     "spark.sql.files.maxPartitionBytes": "8m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0b",
 }
 
+#: For joins of wide rows with narrow ones: where one side of a shuffled join fits a task everywhere, it is hashed and neither sorted.
+HASHED_JOINS = {"spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "8m"}
+
 
 def tune(spark: SparkSession, more: Mapping[str, str] | None = None) -> SparkSession:
     """Apply the runtime settings, and ``more``, to a session somebody else built."""
